@@ -377,6 +377,9 @@ _BODIES = {
     "cluster_by_keys": """
         SELECT fhir_patient_id, count(*) AS encounters, min(CAST(period_start AS DATE)) AS first_day,
             max(CAST(period_start AS DATE)) AS last_day FROM encounter GROUP BY 1""",
+    "table_create_replace": "SELECT gender_code, count(*) AS patients FROM patient GROUP BY 1",
+    "vocab_tsv_inferred": """
+        SELECT 'bigint' AS id_type, 'string' AS name_type, true AS absent_is_none, count(*) AS concepts FROM raw_concept""",
     # -- streaming
     "stream_bronze": """
         SELECT c_custkey // 100 AS chunk, 'Patient' AS resource_type, 'cust-' || c_custkey AS fhir_resource_id FROM customer

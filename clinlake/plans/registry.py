@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from clinlake import config
 from clinlake.functions import exprs as X
 from clinlake.operators import bronze, extensions, gold, joins, quality, reports, silver, vocab
-from clinlake.plans import workload as wl
 from clinlake.plans.workload import Workload
 from clinlake.sources import contracts, files, tables
 from clinlake.streaming import ingest
@@ -247,24 +247,12 @@ def trace_lineage(w: Workload) -> DataFrame:
 @query
 def cdm_contract_violations(w: Workload) -> DataFrame:
     """Per data-model table: rows, and rows with a null in a required column."""
-    parts = []
-    for table, frame in w.gold.items():
-        name = table.removeprefix("omop_")
-        conformed = contracts.to_cdm(frame, name)
-        parts.append(
-            conformed.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count")).join(
-                F.broadcast(
-                    contracts.contract_violations(conformed, contracts.CDM[name]).agg(
-                        F.lit(name).alias("table_name"), F.count("*").alias("violations")
-                    )
-                ),
-                "table_name",
-            )
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    names = [table.removeprefix("omop_") for table in w.gold]
+    parts = [
+        contracts.contract_report(contracts.to_cdm(frame, name), contracts.CDM[name], name)
+        for name, frame in zip(names, w.gold.values())
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # -- tables -----------------------------------------------------------------------------------
@@ -339,6 +327,34 @@ def cluster_by_keys(w: Workload) -> DataFrame:
     )
 
 
+@query
+def table_create_replace(w: Workload) -> DataFrame:
+    """A schema, a table replaced by another content, a view over it, and what the view holds."""
+    schema, location = _fresh("clin"), tables.work_dir(w.spark)
+    tables.ensure_schema(w.spark, schema)
+    name, view = f"{schema}.patient", _fresh("patient_view")
+    tables.write_overwrite(w.patient.select("fhir_patient_id", "state"), name, location=location)
+    tables.write_overwrite(w.patient.select("fhir_patient_id", "gender_code"), name, location=location)
+    tables.create_view(tables.read_table(w.spark, name), view)
+    return w.spark.table(view).groupBy("gender_code").agg(F.count("*").alias("patients"))
+
+
+@query
+def vocab_tsv_inferred(w: Workload) -> DataFrame:
+    """The same vocabulary file read without a schema, and a missing one."""
+    path = f"{tables.work_dir(w.spark)}/{_fresh('concept')}"
+    w.raw_concept.write.option("sep", "\t").option("header", True).option("quote", "").csv(path)
+    inferred = files.read_vocab_tsv(w.spark, path, schema=None)
+    missing = files.optional_vocab(w.spark, f"{path}/absent") is None
+    kinds = {f.name: f.dataType.simpleString() for f in inferred.schema}
+    return inferred.agg(
+        F.lit(kinds["concept_id"]).alias("id_type"),
+        F.lit(kinds["concept_name"]).alias("name_type"),
+        F.lit(missing).alias("absent_is_none"),
+        F.count("*").alias("concepts"),
+    )
+
+
 # -- streaming ---------------------------------------------------------------------------------
 
 @query
@@ -478,7 +494,7 @@ def ext_map_source_to_standard(w: Workload) -> DataFrame:
 def ext_drug_name_normalize(w: Workload) -> DataFrame:
     """Prescriptions named by a part, whose name stands for the ingredient."""
     parts = w.table("part").filter(F.col("p_partkey") % 2 == 0)
-    brands = parts.select(wl.text("PART ", F.col("p_partkey")).alias("brand_name"), F.col("p_name").alias("ingredient"))
+    brands = parts.selectExpr("concat('PART ', p_partkey) AS brand_name", "p_name AS ingredient")
     named = extensions.drug_name_normalize(w.medication, brands, w.concept)
     return named.select("fhir_medication_request_id", "ingredient", "ingredient_concept_id", "is_unmapped")
 

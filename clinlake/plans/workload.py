@@ -12,7 +12,7 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinlake import config
@@ -20,260 +20,172 @@ from clinlake.functions import exprs as X
 from clinlake.operators import bronze, gold, joins, silver, vocab
 from clinlake.sources import tables
 
-OFFSET = "+05:30"
+# SQL texts of the derivation. One text is one call to the JVM, where a tree of column
+# objects would be hundreds.
 
-
-def iso(ts: Column) -> Column:
-    """Wall-clock text of a timestamp with the source's offset."""
-    return F.concat(F.replace(ts.cast("timestamp_ntz").cast("string"), F.lit(" "), F.lit("T")), F.lit(OFFSET))
-
-
-def day(ts: Column) -> Column:
-    return ts.cast("timestamp_ntz").cast("date").cast("string")
-
-
-def minutes(n: Column) -> Column:
-    return F.make_dt_interval(mins=n.cast("int"))
-
-
-def text(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def obj(**fields: Column | str) -> Column:
-    return F.struct(*[(F.lit(v) if isinstance(v, str) else v).alias(k) for k, v in fields.items()])
+def _entry(resource: str) -> str:
+    return f"concat('{{\"resource\":', to_json({resource}), '}}')"
 
 
-def codings(system: Column | str, code: Column, display: Column) -> Column:
-    return obj(coding=F.array(obj(system=system, code=code.cast("string"), display=display)))
-
-
-def entry(resource: Column) -> Column:
-    return F.concat(F.lit('{"resource":'), F.to_json(resource), F.lit("}"))
-
-
-def bundle(entries: list[Column]) -> Column:
+def _bundle(entries: str) -> str:
     """Bundle text of the entries that are not null."""
-    listed = F.array_join(F.filter(F.array(*entries), lambda e: e.isNotNull()), ",")
-    return F.concat(F.lit('{"resourceType":"Bundle","type":"transaction","entry":['), listed, F.lit("]}"))
-
-
-def patient_entries() -> list[Column]:
-    k = F.col("c_custkey")
-    # Patients 9 of 60 are a second registration of the patient three keys before.
-    holder = F.when(k % 60 == 9, k - 3).otherwise(k)
-    part = lambda factor: F.lpad((holder * factor % 10000).cast("string"), 4, "0")
-    number = F.when(k % 30 == 0, text("ABHA", k)).otherwise(text("91-", part(1), "-", part(7), "-", part(13)))
-    health = F.when(k % 3 == 0, obj(system=config.HEALTH_ID_SYSTEM, value=number))
-    mrn = obj(system="https://hospital.example.in/mrn", value=text("MRN-", k))
-    identifiers = F.when(k % 2 == 0, F.array(health, mrn)).otherwise(F.array(mrn, health))
-    race = obj(
-        url=config.RACE_EXTENSION,
-        extension=F.array(
-            obj(url="ombCategory", valueCoding=obj(code=F.when(F.col("c_nationkey") % 10 == 0, "2028-9").otherwise("9999-9")))
-        ),
-    )
-    other = obj(
-        url="http://hl7.org/fhir/StructureDefinition/patient-religion",
-        extension=F.array(obj(url="other", valueCoding=obj(code=F.lit(None).cast("string")))),
-    )
-    patient = obj(
-        resourceType="Patient",
-        id=text("cust-", k),
-        identifier=F.filter(identifiers, lambda i: i.isNotNull()),
-        name=F.array(obj(family=F.col("c_name"))),
-        gender=F.when(k % 4 == 0, "male").when(k % 4 == 1, "female").when(k % 4 == 2, "other"),
-        birthDate=F.date_add(F.lit("1940-01-01").cast("date"), (k * 17 % 25000).cast("int")).cast("string"),
-        address=F.array(obj(state=text("STATE_", F.col("c_nationkey")), postalCode=(k % 900 + 100000).cast("string"))),
-        extension=F.when(F.col("c_nationkey") % 5 == 0, F.when(k % 2 == 0, F.array(race)).otherwise(F.array(other, race))),
-        deceasedBoolean=F.when(k % 10 == 1, True).when(k % 10 == 3, False),
-        deceasedDateTime=F.when(
-            k % 10 == 2,
-            text(F.date_add(F.lit("2021-01-01").cast("date"), (k % 365).cast("int")), f"T01:00:00{OFFSET}"),
-        ),
-    )
-    consent = obj(
-        resourceType="Consent",
-        id=text("consent-", k),
-        meta=obj(profile=F.array(F.when(k % 8 == 0, config.CONSENT_PROFILE).otherwise("http://example.org/consent"))),
-        status=F.when(k % 16 == 0, "inactive").otherwise("active"),
-        scope=obj(coding=F.array(obj(system="http://example.org/scope", code="HIPS"))),
-        patient=obj(reference=text("Patient/cust-", k)),
-        dateTime=text("2024-01-01T00:00:00", OFFSET),
-        organization=F.array(obj(reference=text("Organization/org-", k % 7))),
-        policy=F.array(obj(uri="https://example.org/privacy-policy")),
-    )
-    return [
-        entry(patient),
-        F.when(k % 4 == 0, entry(consent)),
-        F.when(k % 7 == 0, F.lit('{"fullUrl":"urn:uuid:none"}')),
-        F.when(k % 11 == 0, F.lit('{"resource":{"id":"untyped"}}')),
-        F.when(k % 13 == 0, F.lit('{"resource":{"resourceType":"Basic"}}')),
-        F.when(k % 17 == 0, F.lit("5")),
-    ]
-
-
-def encounter_entry() -> Column:
-    o = F.col("o_orderkey")
-    start = F.col("o_orderdate").cast("timestamp_ntz") + minutes(o % 1440)
-    priority = F.substring("o_orderpriority", 1, 1)
-    visit_class = (
-        F.when(priority == "1", "EMER").when(priority == "2", "IMP").when(priority == "3", "AMB")
-        .when(priority == "4", "HH").otherwise("VR")
-    )
-    registered = F.col("o_custkey") % 2 == 0
-    facility = obj(
-        system=F.when(registered, config.FACILITY_SYSTEM).otherwise("https://other-registry.example.org"),
-        value=text(F.when(registered, "HFR_").otherwise("OTHER_"), F.col("o_custkey") % 100),
-    )
-    practitioner = obj(
-        individual=obj(
-            display=text("Dr ", o % 50),
-            identifier=obj(system=config.PRACTITIONER_SYSTEM, value=text("HPR_", o % 50)),
-        )
-    )
-    return entry(
-        obj(
-            **{"resourceType": "Encounter", "id": text("ord-", o)},
-            subject=obj(reference=text("Patient/cust-", F.col("o_custkey"))),
-            status=F.when(F.col("o_orderstatus") == "O", "in-progress").otherwise("finished"),
-            **{"class": obj(code=visit_class)},
-            type=F.array(obj(coding=F.array(obj(code=text("T", o % 20), display=text("Type ", o % 20))))),
-            period=obj(
-                start=iso(start),
-                end=F.when(F.col("o_orderstatus") != "O", iso(start + minutes(o % 240))),
-            ),
-            participant=F.when(o % 3 == 0, F.array(practitioner)),
-            serviceProvider=F.when(
-                F.col("o_custkey") % 10 != 1,
-                obj(display=text("Facility ", F.col("o_custkey") % 100), identifier=facility),
-            ),
-        )
-    )
-
-
-def line_id(prefix: str) -> Column:
-    """Order key and line number alone are not unique."""
-    return text(
-        f"{prefix}-", F.col("l_orderkey"), "-", F.col("l_linenumber"), "-", F.col("l_partkey"), "-", F.col("l_suppkey")
-    )
-
-
-def condition_entry() -> Column:
-    line, supplier = F.col("l_linenumber"), F.col("l_suppkey")
-    shipped = day(F.col("l_shipdate"))
-    system = F.when(supplier % 10 == 0, "http://hl7.org/fhir/sid/icd-10").when(supplier % 10 != 1, "http://snomed.info/sct")
-    return entry(
-        obj(
-            resourceType="Condition",
-            id=line_id("cond"),
-            subject=obj(reference=text("Patient/cust-", F.col("o_custkey"))),
-            code=codings(system, F.col("l_partkey"), text("Part ", F.col("l_partkey"))),
-            onsetDateTime=F.when(line % 3 == 0, shipped),
-            onsetPeriod=F.when(line % 3 == 1, obj(start=shipped)),
-            recordedDate=F.date_add(shipped.cast("date"), 1).cast("string"),
-            clinicalStatus=obj(
-                coding=F.array(obj(code=F.when(F.col("l_linestatus") == "F", "resolved").otherwise("active")))
-            ),
-            verificationStatus=obj(coding=F.array(obj(code="confirmed"))),
-        )
+    return (
+        "concat('{\"resourceType\":\"Bundle\",\"type\":\"transaction\",\"entry\":[', "
+        f"array_join(filter({entries}, e -> e IS NOT NULL), ','), ']}}')"
     )
 
 
-def medication_entry() -> Column:
-    line, supplier = F.col("l_linenumber"), F.col("l_suppkey")
-    repeat = obj(frequency=line, period=supplier % 3, periodUnit=F.when(supplier % 5 == 0, "h").otherwise("d"))
-    dose = obj(doseQuantity=obj(value=F.col("l_quantity"), unit="mg"))
-    status = F.when(line == 1, "stopped").when(line == 2, "cancelled").when(line == 3, "on-hold").otherwise("active")
-    return entry(
-        obj(
-            resourceType="MedicationRequest",
-            id=line_id("med"),
-            subject=obj(reference=text("Patient/cust-", F.col("o_custkey"))),
-            medicationCodeableConcept=codings(
-                "http://www.nlm.nih.gov/research/umls/rxnorm", F.col("l_partkey"), text("Part ", F.col("l_partkey"))
-            ),
-            authoredOn=day(F.col("l_shipdate")),
-            status=status,
-            intent="order",
-            dosageInstruction=F.when(line != 7, F.array(obj(timing=obj(repeat=repeat), doseAndRate=F.array(dose)))),
-        )
-    )
+def _iso(ts: str) -> str:
+    """Wall-clock text of a timestamp with the source's offset."""
+    return f"concat(replace(CAST({ts} AS STRING), ' ', 'T'), '+05:30')"
 
 
-def observation_entry() -> Column:
-    e, kind = F.col("event_id"), F.col("event_type")
-    code = F.get_json_object("props", "$.k")
-    measured = kind.isin("purchase", "view")
-    at = iso(F.col("ts"))
-    category = (
-        F.when(measured, "vital-signs").when(kind == "click", "laboratory").otherwise("social-history")
-    )
-    return entry(
-        obj(
-            resourceType="Observation",
-            id=text("evt-", e),
-            subject=obj(reference=text("Patient/cust-", F.col("user_id"))),
-            encounter=F.when(e % 2 == 0, obj(reference=text("Encounter/ord-", e * 2))),
-            status=F.when(kind == "error", "registered").otherwise("final"),
-            category=F.array(obj(coding=F.array(obj(code=category)))),
-            code=codings(
-                F.when(e % 5 == 0, "http://snomed.info/sct").otherwise("http://loinc.org"), code, text("Code ", code)
-            ),
-            effectiveDateTime=F.when(e % 4 != 1, at),
-            effectivePeriod=F.when(e % 4 == 1, obj(start=at)),
-            valueQuantity=F.when(
-                measured,
-                obj(
-                    value=F.col("value"),
-                    unit=F.when(kind == "view", "beats/minute").otherwise("milligrams"),
-                    code=F.when(kind == "view", "/min").otherwise("mg"),
-                ),
-            ),
-            valueCodeableConcept=F.when(
-                (kind == "click") | ((kind == "purchase") & (e % 17 == 0)),
-                obj(coding=F.array(obj(code=code, display=text("Value ", code)))),
-            ),
-            valueString=F.when(kind == "signup", text("text ", e % 5)),
-            referenceRange=F.when(
-                e % 3 == 0, F.array(obj(low=obj(value=F.lit(10.5)), high=obj(value=F.lit(100.0))))
-            ),
-        )
+def _coding(system: str, code: str, display: str) -> str:
+    return (
+        f"named_struct('coding', array(named_struct('system', {system}, 'code', CAST({code} AS STRING), "
+        f"'display', {display})))"
     )
 
 
-def concept_rows() -> Column:
-    """The concepts a part stands for; the same code appears in several vocabularies."""
-    p = F.col("p_partkey")
-    valid_to = F.when(p % 13 == 0, "2015-12-31").otherwise(config.OPEN_END_DATE)
-
-    def row(present: Column, base: int, vocabulary: str, domain: Column | str, standard: Column | str | None) -> Column:
-        concept = obj(
-            concept_id=F.lit(base).cast("bigint") + p,
-            concept_name=F.col("p_name"),
-            domain_id=domain,
-            vocabulary_id=vocabulary,
-            concept_class_id=F.col("p_type"),
-            standard_concept=F.lit(None).cast("string") if standard is None else standard,
-            concept_code=p.cast("string"),
-            valid_start_date=F.lit("1970-01-01").cast("date"),
-            valid_end_date=valid_to.cast("date"),
-            invalid_reason=F.when(p % 13 == 0, "D"),
-        )
-        return F.when(present, concept)
-
-    size = F.col("p_size")
-    rows = F.array(
-        row(p % 3 != 0, 500_000_000, "LOINC", F.when(p % 2 == 0, "Measurement").otherwise("Observation"), "S"),
-        row(
-            p % 5 != 0, 1_000_000_000, "SNOMED",
-            F.when(size % 10 == 0, "Procedure").otherwise("Condition"), F.when(p % 11 != 0, "S"),
-        ),
-        row(p % 4 != 0, 2_000_000_000, "RxNorm", F.when(size % 7 == 0, "Device").otherwise("Drug"), "S"),
-        row(p % 6 == 0, 3_000_000_000, "RxNorm Extension", "Drug", "S"),
-        row(p % 2 == 0, 4_000_000_000, "ICD10", "Condition", None),
-    )
-    return F.filter(rows, lambda r: r.isNotNull())
+# Customers 9 of 60 are a second registration of the patient three keys before.
+HOLDER = "IF(c_custkey % 60 = 9, c_custkey - 3, c_custkey)"
+HEALTH_ID = f"""CASE WHEN c_custkey % 30 = 0 THEN concat('ABHA', c_custkey) ELSE concat(
+    '91-', lpad(CAST({HOLDER} % 10000 AS STRING), 4, '0'),
+    '-', lpad(CAST({HOLDER} * 7 % 10000 AS STRING), 4, '0'),
+    '-', lpad(CAST({HOLDER} * 13 % 10000 AS STRING), 4, '0')) END"""
+IDENTIFIERS = f"""transform(
+    CASE WHEN c_custkey % 3 <> 0 THEN array('mrn') WHEN c_custkey % 2 = 0 THEN array('health', 'mrn')
+         ELSE array('mrn', 'health') END,
+    kind -> IF(kind = 'mrn',
+        named_struct('system', 'https://hospital.example.in/mrn', 'value', concat('MRN-', c_custkey)),
+        named_struct('system', '{config.HEALTH_ID_SYSTEM}', 'value', {HEALTH_ID})))"""
+EXTENSIONS = f"""transform(
+    IF(c_custkey % 2 = 0, array('race'), array('other', 'race')),
+    kind -> named_struct(
+        'url', IF(kind = 'race', '{config.RACE_EXTENSION}', 'http://hl7.org/fhir/StructureDefinition/patient-religion'),
+        'extension', array(named_struct('url', kind, 'valueCoding', named_struct(
+            'code', CASE WHEN kind = 'race' THEN IF(c_nationkey % 10 = 0, '2028-9', '9999-9') END)))))"""
+PATIENT = f"""named_struct(
+    'resourceType', 'Patient', 'id', concat('cust-', c_custkey),
+    'identifier', {IDENTIFIERS},
+    'name', array(named_struct('family', c_name)),
+    'gender', CASE c_custkey % 4 WHEN 0 THEN 'male' WHEN 1 THEN 'female' WHEN 2 THEN 'other' END,
+    'birthDate', CAST(date_add(DATE'1940-01-01', CAST(c_custkey * 17 % 25000 AS INT)) AS STRING),
+    'address', array(named_struct(
+        'state', concat('STATE_', c_nationkey), 'postalCode', CAST(c_custkey % 900 + 100000 AS STRING))),
+    'extension', CASE WHEN c_nationkey % 5 = 0 THEN {EXTENSIONS} END,
+    'deceasedBoolean', CASE c_custkey % 10 WHEN 1 THEN true WHEN 3 THEN false END,
+    'deceasedDateTime', CASE WHEN c_custkey % 10 = 2 THEN
+        concat(date_add(DATE'2021-01-01', CAST(c_custkey % 365 AS INT)), 'T01:00:00+05:30') END)"""
+CONSENT = f"""named_struct(
+    'resourceType', 'Consent', 'id', concat('consent-', c_custkey),
+    'meta', named_struct('profile', array(IF(c_custkey % 8 = 0, '{config.CONSENT_PROFILE}', 'http://example.org/consent'))),
+    'status', IF(c_custkey % 16 = 0, 'inactive', 'active'),
+    'scope', named_struct('coding', array(named_struct('system', 'http://example.org/scope', 'code', 'HIPS'))),
+    'patient', named_struct('reference', concat('Patient/cust-', c_custkey)),
+    'dateTime', '2024-01-01T00:00:00+05:30',
+    'organization', array(named_struct('reference', concat('Organization/org-', c_custkey % 7))),
+    'policy', array(named_struct('uri', 'https://example.org/privacy-policy')))"""
+# Besides the patient: a consent, and entries that carry nothing to route.
+PATIENT_ENTRIES = f"""array(
+    {_entry(PATIENT)},
+    CASE WHEN c_custkey % 4 = 0 THEN {_entry(CONSENT)} END,
+    CASE WHEN c_custkey % 7 = 0 THEN '{{"fullUrl":"urn:uuid:none"}}' END,
+    CASE WHEN c_custkey % 11 = 0 THEN '{{"resource":{{"id":"untyped"}}}}' END,
+    CASE WHEN c_custkey % 13 = 0 THEN '{{"resource":{{"resourceType":"Basic"}}}}' END,
+    CASE WHEN c_custkey % 17 = 0 THEN '5' END)"""
+# One file in fifty is cut off, one in fifty is empty.
+PATIENT_BUNDLE = f"""CASE c_custkey % 50 WHEN 49 THEN substring({_bundle(PATIENT_ENTRIES)}, 1, 200) WHEN 24 THEN ''
+    ELSE {_bundle(PATIENT_ENTRIES)} END"""
+
+START = "CAST(o_orderdate AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, CAST(o_orderkey % 1440 AS INT))"
+ENCOUNTER = f"""named_struct(
+    'resourceType', 'Encounter', 'id', concat('ord-', o_orderkey),
+    'subject', named_struct('reference', concat('Patient/cust-', o_custkey)),
+    'status', IF(o_orderstatus = 'O', 'in-progress', 'finished'),
+    'class', named_struct('code', CASE substring(o_orderpriority, 1, 1)
+        WHEN '1' THEN 'EMER' WHEN '2' THEN 'IMP' WHEN '3' THEN 'AMB' WHEN '4' THEN 'HH' ELSE 'VR' END),
+    'type', array(named_struct('coding', array(named_struct(
+        'code', concat('T', o_orderkey % 20), 'display', concat('Type ', o_orderkey % 20))))),
+    'period', named_struct('start', {_iso(START)}, 'end', CASE WHEN o_orderstatus <> 'O' THEN
+        {_iso(f"({START} + make_dt_interval(0, 0, CAST(o_orderkey % 240 AS INT)))")} END),
+    'participant', CASE WHEN o_orderkey % 3 = 0 THEN array(named_struct('individual', named_struct(
+        'display', concat('Dr ', o_orderkey % 50),
+        'identifier', named_struct('system', '{config.PRACTITIONER_SYSTEM}', 'value', concat('HPR_', o_orderkey % 50))))) END,
+    'serviceProvider', CASE WHEN o_custkey % 10 <> 1 THEN named_struct(
+        'display', concat('Facility ', o_custkey % 100),
+        'identifier', named_struct(
+            'system', IF(o_custkey % 2 = 0, '{config.FACILITY_SYSTEM}', 'https://other-registry.example.org'),
+            'value', concat(IF(o_custkey % 2 = 0, 'HFR_', 'OTHER_'), o_custkey % 100))) END)"""
+
+# Order key and line number alone are not unique.
+LINE_ID = "concat('{}-', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey)"
+CONDITION_ID, MEDICATION_ID = LINE_ID.format("cond"), LINE_ID.format("med")
+SHIPPED = "CAST(l_shipdate AS DATE)"
+CONDITION_SYSTEM = """CASE l_suppkey % 10 WHEN 0 THEN 'http://hl7.org/fhir/sid/icd-10' WHEN 1 THEN NULL
+    ELSE 'http://snomed.info/sct' END"""
+CONDITION = f"""named_struct(
+    'resourceType', 'Condition', 'id', {CONDITION_ID},
+    'subject', named_struct('reference', concat('Patient/cust-', o_custkey)),
+    'code', {_coding(CONDITION_SYSTEM, "l_partkey", "concat('Part ', l_partkey)")},
+    'onsetDateTime', CASE WHEN l_linenumber % 3 = 0 THEN CAST({SHIPPED} AS STRING) END,
+    'onsetPeriod', CASE WHEN l_linenumber % 3 = 1 THEN named_struct('start', CAST({SHIPPED} AS STRING)) END,
+    'recordedDate', CAST(date_add({SHIPPED}, 1) AS STRING),
+    'clinicalStatus', named_struct('coding', array(named_struct('code', IF(l_linestatus = 'F', 'resolved', 'active')))),
+    'verificationStatus', named_struct('coding', array(named_struct('code', 'confirmed'))))"""
+MEDICATION = f"""named_struct(
+    'resourceType', 'MedicationRequest', 'id', {MEDICATION_ID},
+    'subject', named_struct('reference', concat('Patient/cust-', o_custkey)),
+    'medicationCodeableConcept',
+        {_coding("'http://www.nlm.nih.gov/research/umls/rxnorm'", "l_partkey", "concat('Part ', l_partkey)")},
+    'authoredOn', CAST({SHIPPED} AS STRING),
+    'status', CASE l_linenumber WHEN 1 THEN 'stopped' WHEN 2 THEN 'cancelled' WHEN 3 THEN 'on-hold' ELSE 'active' END,
+    'intent', 'order',
+    'dosageInstruction', CASE WHEN l_linenumber <> 7 THEN array(named_struct(
+        'timing', named_struct('repeat', named_struct(
+            'frequency', l_linenumber, 'period', l_suppkey % 3, 'periodUnit', IF(l_suppkey % 5 = 0, 'h', 'd'))),
+        'doseAndRate', array(named_struct('doseQuantity', named_struct('value', l_quantity, 'unit', 'mg'))))) END)"""
+
+CODE = "get_json_object(props, '$.k')"
+OBSERVATION = f"""named_struct(
+    'resourceType', 'Observation', 'id', concat('evt-', event_id),
+    'subject', named_struct('reference', concat('Patient/cust-', user_id)),
+    'encounter', CASE WHEN event_id % 2 = 0 THEN named_struct('reference', concat('Encounter/ord-', event_id * 2)) END,
+    'status', IF(event_type = 'error', 'registered', 'final'),
+    'category', array(named_struct('coding', array(named_struct('code', CASE
+        WHEN event_type IN ('purchase', 'view') THEN 'vital-signs' WHEN event_type = 'click' THEN 'laboratory'
+        ELSE 'social-history' END)))),
+    'code', {_coding("IF(event_id % 5 = 0, 'http://snomed.info/sct', 'http://loinc.org')", CODE, f"concat('Code ', {CODE})")},
+    'effectiveDateTime', CASE WHEN event_id % 4 <> 1 THEN {_iso("CAST(ts AS TIMESTAMP_NTZ)")} END,
+    'effectivePeriod', CASE WHEN event_id % 4 = 1 THEN named_struct('start', {_iso("CAST(ts AS TIMESTAMP_NTZ)")}) END,
+    'valueQuantity', CASE
+        WHEN event_type = 'view' THEN named_struct('value', value, 'unit', 'beats/minute', 'code', '/min')
+        WHEN event_type = 'purchase' THEN named_struct('value', value, 'unit', 'milligrams', 'code', 'mg') END,
+    'valueCodeableConcept', CASE WHEN event_type = 'click' OR (event_type = 'purchase' AND event_id % 17 = 0) THEN
+        named_struct('coding', array(named_struct('code', {CODE}, 'display', concat('Value ', {CODE})))) END,
+    'valueString', CASE WHEN event_type = 'signup' THEN concat('text ', event_id % 5) END,
+    'referenceRange', CASE WHEN event_id % 3 = 0 THEN array(named_struct(
+        'low', named_struct('value', 10.5D), 'high', named_struct('value', 100D))) END)"""
+
+
+def _concept(present: str, base: int, vocabulary: str, domain: str, standard: str) -> str:
+    return f"""CASE WHEN {present} THEN named_struct(
+        'concept_id', {base}L + p_partkey, 'concept_name', p_name, 'domain_id', {domain},
+        'vocabulary_id', '{vocabulary}', 'concept_class_id', p_type, 'standard_concept', {standard},
+        'concept_code', CAST(p_partkey AS STRING), 'valid_start_date', DATE'1970-01-01',
+        'valid_end_date', IF(p_partkey % 13 = 0, DATE'2015-12-31', DATE'{config.OPEN_END_DATE}'),
+        'invalid_reason', CASE WHEN p_partkey % 13 = 0 THEN 'D' END) END"""
+
+
+# The concepts a part stands for; the same code appears in several vocabularies.
+CONCEPTS = f"""filter(array(
+    {_concept("p_partkey % 3 <> 0", 500_000_000, "LOINC", "IF(p_partkey % 2 = 0, 'Measurement', 'Observation')", "'S'")},
+    {_concept("p_partkey % 5 <> 0", 1_000_000_000, "SNOMED", "IF(p_size % 10 = 0, 'Procedure', 'Condition')",
+              "CASE WHEN p_partkey % 11 <> 0 THEN 'S' END")},
+    {_concept("p_partkey % 4 <> 0", 2_000_000_000, "RxNorm", "IF(p_size % 7 = 0, 'Device', 'Drug')", "'S'")},
+    {_concept("p_partkey % 6 = 0", 3_000_000_000, "RxNorm Extension", "'Drug'", "'S'")},
+    {_concept("p_partkey % 2 = 0", 4_000_000_000, "ICD10", "'Condition'", "CAST(NULL AS STRING)")}
+), c -> c IS NOT NULL)"""
 
 
 # Concepts of the demographic vocabularies (id, name, vocabulary, code).
@@ -312,42 +224,41 @@ class Workload:
 
     # -- bundles --------------------------------------------------------------------
 
-    def _bundles(self, rows: DataFrame, folder: str, key: Column, bundle_json: Column) -> DataFrame:
-        named = rows.select(bundle_json.alias("bundle_json"), text(f"bundles/{folder}/", key).alias("_source_file"))
+    def _bundles(self, rows: DataFrame, folder: str, key: str, bundle_json: str) -> DataFrame:
+        named = rows.selectExpr(f"{bundle_json} AS bundle_json", f"concat('bundles/{folder}/', {key}) AS _source_file")
         return named.select(
             "bundle_json", "_source_file", self.loaded_at.alias("_loaded_at"),
             X.content_hash(F.col("bundle_json")).alias("_content_hash"),
         )
 
+    def _single(self, rows: DataFrame, folder: str, key: str, resource: str) -> DataFrame:
+        return self._bundles(rows, folder, key, _bundle(f"array({_entry(resource)})"))
+
     @cached_property
     def customer_bundles(self) -> DataFrame:
-        """Patients and consents; one file in fifty is cut off, one in fifty is empty."""
-        k = F.col("c_custkey")
-        whole = bundle(patient_entries())
-        damaged = F.when(k % 50 == 49, F.substring(whole, 1, 200)).when(k % 50 == 24, "").otherwise(whole)
-        return self._bundles(self.table("customer"), "customer", k, damaged)
+        """Patients and consents."""
+        return self._bundles(self.table("customer"), "customer", "c_custkey", PATIENT_BUNDLE)
 
     @cached_property
     def order_bundles(self) -> DataFrame:
-        return self._bundles(self.table("orders"), "order", F.col("o_orderkey"), bundle([encounter_entry()]))
+        return self._single(self.table("orders"), "order", "o_orderkey", ENCOUNTER)
 
-    def _lines(self) -> DataFrame:
+    def _lines(self, flags: str) -> DataFrame:
         orders = self.table("orders").select("o_orderkey", "o_custkey")
-        return self.table("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines = self.table("lineitem").filter(f"l_returnflag IN ({flags})")
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     @cached_property
     def condition_bundles(self) -> DataFrame:
-        lines = self._lines().filter(F.col("l_returnflag").isin("R", "A"))
-        return self._bundles(lines, "line", line_id("cond"), bundle([condition_entry()]))
+        return self._single(self._lines("'R', 'A'"), "line", CONDITION_ID, CONDITION)
 
     @cached_property
     def medication_bundles(self) -> DataFrame:
-        lines = self._lines().filter(F.col("l_returnflag") == "N")
-        return self._bundles(lines, "line", line_id("med"), bundle([medication_entry()]))
+        return self._single(self._lines("'N'"), "line", MEDICATION_ID, MEDICATION)
 
     @cached_property
     def event_bundles(self) -> DataFrame:
-        return self._bundles(self.table("events"), "event", F.col("event_id"), bundle([observation_entry()]))
+        return self._single(self.table("events"), "event", "event_id", OBSERVATION)
 
     @property
     def all_bundles(self) -> DataFrame:
@@ -362,15 +273,14 @@ class Workload:
 
         Customer keys are unique, so a file is bounded by the range of keys it covers.
         """
-        k = F.col("c_custkey")
-        chunk = F.floor(k / per_file)
-        entries = F.array_join(F.filter(F.array(*patient_entries()), lambda e: e.isNotNull()), ",")
-        grouped = self.table("customer").groupBy(chunk.alias("chunk")).agg(
-            F.array_sort(F.collect_list(F.struct(k.alias("k"), entries.alias("e")))).alias("es")
+        entries = f"array_join(filter({PATIENT_ENTRIES}, e -> e IS NOT NULL), ',')"
+        rows = self.table("customer").selectExpr(
+            f"c_custkey DIV {per_file} AS chunk", f"named_struct('k', c_custkey, 'e', {entries}) AS row"
         )
+        grouped = rows.groupBy("chunk").agg(F.array_sort(F.collect_list("row")).alias("rows"))
         whole = F.concat(
             F.lit('{"resourceType":"Bundle","type":"transaction","entry":[\n'),
-            F.array_join(F.transform("es", lambda x: x["e"]), ",\n"),
+            F.array_join(F.col("rows.e"), ",\n"),
             F.lit("\n]}"),
         )
         path = f"{tables.work_dir(self.spark)}/bundles-{uuid.uuid4().hex}"
@@ -415,33 +325,26 @@ class Workload:
 
     @cached_property
     def raw_concept(self) -> DataFrame:
-        parts = self.table("part").select(F.inline(concept_rows()))
-        literal = F.array(
-            *[
-                obj(concept_id=X.bigint(i), concept_name=name, vocabulary_id=vocabulary, concept_code=code)
-                for i, name, vocabulary, code in DEMOGRAPHIC_CONCEPTS
-            ]
-        )
-        demographic = self.spark.range(1).select(F.inline(literal)).select(
-            "concept_id", "concept_name", F.col("vocabulary_id").alias("domain_id"), "vocabulary_id",
-            F.col("vocabulary_id").alias("concept_class_id"), F.lit("S").alias("standard_concept"), "concept_code",
-            F.lit("1970-01-01").cast("date").alias("valid_start_date"),
-            F.lit(config.OPEN_END_DATE).cast("date").alias("valid_end_date"),
-            F.lit(None).cast("string").alias("invalid_reason"),
+        parts = self.table("part").selectExpr(f"inline({CONCEPTS})")
+        rows = ", ".join(str(row) for row in DEMOGRAPHIC_CONCEPTS)
+        demographic = self.spark.sql(
+            f"""SELECT CAST(concept_id AS BIGINT) AS concept_id, concept_name, vocabulary_id AS domain_id, vocabulary_id,
+                vocabulary_id AS concept_class_id, 'S' AS standard_concept, concept_code,
+                DATE'1970-01-01' AS valid_start_date, DATE'{config.OPEN_END_DATE}' AS valid_end_date,
+                CAST(NULL AS STRING) AS invalid_reason
+            FROM VALUES {rows} AS v(concept_id, concept_name, vocabulary_id, concept_code)"""
         )
         return parts.unionByName(demographic)
 
     @cached_property
     def relationship(self) -> DataFrame:
         """ICD10 concepts map to the SNOMED concept of the same part, which may not exist."""
-        p = F.col("p_partkey")
-        end = F.when(p % 17 == 0, "2020-01-01").otherwise(config.OPEN_END_DATE)
-        return self.table("part").filter(p % 2 == 0).select(
-            (F.lit(4_000_000_000).cast("bigint") + p).alias("concept_id_1"),
-            (F.lit(1_000_000_000).cast("bigint") + p).alias("concept_id_2"),
-            F.when(p % 8 == 0, "Mapped from").otherwise("Maps to").alias("relationship_id"),
-            F.lit("1970-01-01").cast("date").alias("valid_start_date"),
-            end.cast("date").alias("valid_end_date"),
+        return self.table("part").filter("p_partkey % 2 = 0").selectExpr(
+            "4000000000L + p_partkey AS concept_id_1",
+            "1000000000L + p_partkey AS concept_id_2",
+            "IF(p_partkey % 8 = 0, 'Mapped from', 'Maps to') AS relationship_id",
+            "DATE'1970-01-01' AS valid_start_date",
+            f"IF(p_partkey % 17 = 0, DATE'2020-01-01', DATE'{config.OPEN_END_DATE}') AS valid_end_date",
         )
 
     @cached_property
