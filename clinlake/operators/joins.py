@@ -24,6 +24,16 @@ def fits_broadcast(
     return found["n"] <= max_rows and (found["b"] or 0) <= max_bytes
 
 
+def own_shuffle(key: Column) -> Column:
+    """A text of the key that the optimizer takes for another column.
+
+    A side that was aggregated by the key is already partitioned by it and would not be
+    shuffled again for a join. Adaptive execution splits a hot partition only where both
+    sides of the join read a shuffle made for it, so joining on this text keeps that open.
+    """
+    return F.concat(key.cast("string"), F.lit(""))
+
+
 @dataclass(frozen=True)
 class Lookup:
     """A frame with at most one row per ``key``; ``small`` when counted below the broadcast bounds."""
@@ -41,9 +51,8 @@ def left_lookup(facts: DataFrame, lookup: Lookup, fact_key: Sequence[Column], sp
 
     * facts with a null key match nothing, so they get a key of their own taken from
       ``spread`` and are dealt over all tasks;
-    * the lookup keys pass through an expression, so that the lookup is shuffled for this
-      join alone. Adaptive execution splits a hot partition only where the join reads a
-      shuffle directly, not below an aggregation that happens to share its keys.
+    * the lookup is shuffled for this join alone, so that adaptive execution can split the
+      partition of a hot key.
     """
     names = [f"_k{i}" for i in range(len(fact_key))]
     values = [c for c in lookup.df.columns if c not in lookup.key]
@@ -53,7 +62,7 @@ def left_lookup(facts: DataFrame, lookup: Lookup, fact_key: Sequence[Column], sp
     else:
         stray = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(spread), F.lit(4096)).cast("string"))
         keyed_facts = facts.withColumns({n: F.coalesce(k, stray) for n, k in zip(names, fact_key)})
-        own = [F.concat(F.col(k), F.lit("")).alias(n) for n, k in zip(names, lookup.key)]
+        own = [own_shuffle(F.col(k)).alias(n) for n, k in zip(names, lookup.key)]
         keyed = lookup.df.select(*own, *values)
     return keyed_facts.join(keyed, names, "left").drop(*names)
 
@@ -142,8 +151,9 @@ def person_rollup(person: DataFrame, visit: DataFrame, condition: DataFrame, dru
         per_person = df.groupBy("person_id").agg(F.countDistinct(key).alias(name))
         counts = counts.join(per_person, "person_id", "left").withColumn(name, F.coalesce(name, X.bigint(0)))
     visits = visit.select("person_id", "visit_occurrence_id").distinct()
-    keyed = counts.withColumn("_k", F.col("person_id").cast("string")).drop("person_id")
-    with_visit = visits.withColumn("_k", F.col("person_id").cast("string")).join(keyed, "_k").drop("_k")
+    key = own_shuffle(F.col("person_id"))
+    keyed = counts.withColumn("_k", key).drop("person_id")
+    with_visit = visits.withColumn("_k", key).join(keyed, "_k").drop("_k")
     visited = visit.select("person_id").distinct()
     without = counts.join(visited, "person_id", "left_anti").withColumn("visit_occurrence_id", X.null_of("bigint"))
     return with_visit.unionByName(without)

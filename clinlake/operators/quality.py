@@ -184,12 +184,11 @@ def abha_fallback(person: DataFrame) -> DataFrame:
 def unresolved_references(gold: dict[str, DataFrame]) -> DataFrame:
     """Per fact table: rows, rows without a person, rows whose person is not in the person table."""
     known = gold["omop_person"].select("person_id").distinct().withColumn("known", F.lit(True))
-    known = known.withColumn("_k", F.col("person_id").cast("string")).drop("person_id")
-
+    
     def one(table: str) -> DataFrame:
         # Counted per person first, so a person with very many rows joins as one.
         per_person = gold[table].groupBy("person_id").agg(F.count("*").alias("n"))
-        joined = per_person.withColumn("_k", F.col("person_id").cast("string")).join(known, "_k", "left")
+        joined = per_person.join(known, "person_id", "left")
         missing = F.col("person_id").isNull()
         dangling = ~missing & F.col("known").isNull()
         return joined.agg(

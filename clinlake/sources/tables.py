@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinlake.operators.joins import fits_broadcast
+from clinlake.operators.joins import fits_broadcast, own_shuffle
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -111,22 +111,34 @@ def latest_per_key(df: DataFrame, key: str, order: str = "_loaded_at") -> DataFr
     return newest.unionByName(df.filter(F.col(key).isNull()))
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` evaluated once and kept in the checkpoint folder, where executors can be lost."""
+    work_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def merge_latest(target: DataFrame, source: DataFrame, key: str, order: str = "_loaded_at") -> DataFrame:
     """Target rows not named by the source, and the newest source row of every key.
 
-    When the source's keys are few they are broadcast and the target is not shuffled.
+    The source is read for its size, its keys and its rows, so it is staged first. When its
+    keys are few they are broadcast and the target is not shuffled.
     """
-    newest = latest_per_key(source, key, order)
-    keys = newest.select(key).filter(F.col(key).isNotNull())
-    if fits_broadcast(source.select(key)):
+    return _replace(target, staged(latest_per_key(source, key, order)), key)
+
+
+def _replace(target: DataFrame, newest: DataFrame, key: str) -> DataFrame:
+    keys = newest.filter(F.col(key).isNotNull()).select(own_shuffle(F.col(key)).alias("_k"))
+    if fits_broadcast(keys):
         keys = F.broadcast(keys)
-    return target.join(keys, key, "left_anti").select(*target.columns).unionByName(newest)
+    kept = target.withColumn("_k", own_shuffle(F.col(key))).join(keys, "_k", "left_anti")
+    return kept.select(*target.columns).unionByName(newest)
 
 
 def upsert(df: DataFrame, table: str, key: str, fmt: str = "parquet", location: str | None = None) -> None:
     """Insert new rows and replace those whose key matches; creates the table on first use.
 
-    A format with a transaction log merges in place. A plain one gets a new snapshot.
+    A format with a transaction log merges in place. A plain one gets a new snapshot, unless
+    there is nothing to merge.
     """
     spark = df.sparkSession
     logged = fmt == "delta"
@@ -143,7 +155,9 @@ def upsert(df: DataFrame, table: str, key: str, fmt: str = "parquet", location:
             "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
         )
     else:
-        publish(merge_latest(spark.table(table), df, key), table, fmt, location=location)
+        newest = staged(latest_per_key(df, key))
+        if not newest.isEmpty():
+            publish(_replace(spark.table(table), newest, key), table, fmt, location=location)
 
 
 def since_watermark(df: DataFrame, target: DataFrame | None, column: str = "_loaded_at") -> DataFrame:

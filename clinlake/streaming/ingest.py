@@ -56,13 +56,17 @@ def stream_upsert(
     table: str,
     checkpoint: str,
     location: str | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
     """Upsert new bronze rows of one type into its silver table.
 
     A batch that is run again after a failure replaces the same keys by the same rows.
     """
     _, key = SILVER_TABLES[resource_type]
-    bronze = spark.readStream.schema(BRONZE).parquet(bronze_path)
+    reader = spark.readStream.schema(BRONZE)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    bronze = reader.parquet(bronze_path)
 
     def merge(batch: DataFrame, _: int) -> None:
         upsert(batch, table, key, location=location)
