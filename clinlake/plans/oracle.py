@@ -530,8 +530,8 @@ _BODIES = {
         SELECT coalesce(c.n, 0) AS condition_count, coalesce(d.n, 0) AS drug_count, v.o IS NOT NULL AS has_visit,
             count(*) AS pairs
         FROM person p LEFT JOIN visit v ON p.k = v.k
-        LEFT JOIN (SELECT k, count(*) AS n FROM cond GROUP BY k) c ON p.k = c.k
-        LEFT JOIN (SELECT k, count(*) AS n FROM drug GROUP BY k) d ON p.k = d.k GROUP BY 1, 2, 3""",
+        LEFT JOIN (SELECT k, count(DISTINCT _lineage_id) AS n FROM cond GROUP BY k) c ON p.k = c.k
+        LEFT JOIN (SELECT k, count(DISTINCT _lineage_id) AS n FROM drug GROUP BY k) d ON p.k = d.k GROUP BY 1, 2, 3""",
     # -- extensions
     "ext_consent_audit": f"""
         SELECT 'consent-' || k AS fhir_consent_id, 'cust-' || k AS fhir_patient_id,
