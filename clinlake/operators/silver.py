@@ -50,8 +50,14 @@ _SHAPES = {
 
 
 def _parsed(bronze: DataFrame, resource_type: str) -> DataFrame:
+    """Resources with their text as struct ``r``.
+
+    The struct comes out of a generator and not a projection: a later filter on one of its
+    fields would be moved below a projection, and parse every text once more for itself.
+    """
     shape = " ".join(_SHAPES[resource_type].split())
-    return route(bronze, resource_type).select(F.from_json("resource_json", shape).alias("r"), *LINEAGE)
+    parsed = F.inline(F.array(F.struct(F.from_json("resource_json", shape).alias("r"))))
+    return route(bronze, resource_type).select(parsed, *LINEAGE)
 
 
 def _patient_id() -> Column:

@@ -278,10 +278,9 @@ _SAMPLE = """(SELECT '{kind}' AS kind, {prefix}_source_code AS source_code, {pre
 _BODIES = {
     # -- files and bronze
     "scan_bundles": """
-        SELECT c_custkey // 100 AS chunk,
-            count(*) + count(*) FILTER (WHERE c_custkey % 4 = 0) + count(*) FILTER (WHERE c_custkey % 13 = 0) AS resources,
-            count(*) AS patients, CAST(1 AS BIGINT) AS files
-        FROM customer GROUP BY 1""",
+        SELECT 'Patient' AS resource_type, 'cust-' || c_custkey AS fhir_resource_id, true AS traced FROM customer
+        UNION ALL SELECT 'Consent', 'consent-' || c_custkey, true FROM customer WHERE c_custkey % 4 = 0
+        UNION ALL SELECT 'Basic', NULL, true FROM customer WHERE c_custkey % 13 = 0""",
     "bronze_resources": "SELECT * FROM resources",
     "bronze_quarantine": """
         SELECT 'bundles/customer/' || c_custkey AS _source_file,
@@ -382,9 +381,9 @@ _BODIES = {
         SELECT 'bigint' AS id_type, 'string' AS name_type, true AS absent_is_none, count(*) AS concepts FROM raw_concept""",
     # -- streaming
     "stream_bronze": """
-        SELECT c_custkey // 100 AS chunk, 'Patient' AS resource_type, 'cust-' || c_custkey AS fhir_resource_id FROM customer
-        UNION ALL SELECT c_custkey // 100, 'Consent', 'consent-' || c_custkey FROM customer WHERE c_custkey % 4 = 0
-        UNION ALL SELECT c_custkey // 100, 'Basic', NULL FROM customer WHERE c_custkey % 13 = 0""",
+        SELECT 'Patient' AS resource_type, 'cust-' || c_custkey AS fhir_resource_id FROM customer
+        UNION ALL SELECT 'Consent', 'consent-' || c_custkey FROM customer WHERE c_custkey % 4 = 0
+        UNION ALL SELECT 'Basic', NULL FROM customer WHERE c_custkey % 13 = 0""",
     "stream_upsert": "SELECT fhir_patient_id, birth_date, gender_code, abha_id, is_deceased FROM all_patient",
     # -- quality
     "quality_bronze_nulls": """

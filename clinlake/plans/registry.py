@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from clinlake import config
 from clinlake.functions import exprs as X
-from clinlake.operators import bronze, extensions, gold, joins, quality, reports, silver, vocab
+from clinlake.operators import bronze, extensions, gold, joins, quality, reports, vocab
 from clinlake.plans.workload import Workload
 from clinlake.sources import contracts, files, tables
 from clinlake.streaming import ingest
@@ -39,21 +39,13 @@ def _fresh(prefix: str) -> str:
 
 # -- files and bronze -----------------------------------------------------------------------
 
-def _chunk() -> Column:
-    return F.regexp_extract("_source_file", r"chunk=(\d+)", 1).cast("bigint").alias("chunk")
-
-
 @query
 def scan_bundles(w: Workload) -> DataFrame:
-    """Bundle files written from the customers, read whole: one row per file."""
+    """Bundle files written from the customers, each read whole as one row."""
     scanned = files.scan_bundles(w.spark, w.write_patient_files(), w.loaded_at)
     resources = bronze.build_bronze(scanned)
-    per_file = resources.groupBy(_chunk()).agg(
-        F.count("*").alias("resources"),
-        F.count_if(F.col("resource_type") == "Patient").alias("patients"),
-        F.countDistinct("_content_hash").alias("files"),
-    )
-    return per_file
+    traced = F.col("_source_file").contains("chunk=") & (F.length("_content_hash") == 64)
+    return resources.select("resource_type", "fhir_resource_id", traced.alias("traced"))
 
 
 @query
@@ -366,7 +358,7 @@ def stream_bronze(w: Workload) -> DataFrame:
         run = ingest.stream_bronze(w.spark, source, f"{base}/bronze", f"{base}/checkpoint", loaded_at=w.loaded_at)
         run.awaitTermination()
     landed = w.spark.read.parquet(f"{base}/bronze")
-    return landed.select(_chunk(), F.col("resource_type").cast("string").alias("resource_type"), "fhir_resource_id")
+    return landed.select(F.col("resource_type").cast("string").alias("resource_type"), "fhir_resource_id")
 
 
 @query

@@ -269,13 +269,15 @@ class Workload:
         return out
 
     def write_patient_files(self, per_file: int = 100) -> str:
-        """Patient bundles as files, one folder each, up to ``per_file`` customers in a file.
+        """Patient bundles as files, one folder each, at most ``per_file`` customers in a file.
 
-        Customer keys are unique, so a file is bounded by the range of keys it covers.
+        Rows are numbered within their scan partition and cut into runs of that length, so no
+        file outgrows the bound whatever the keys are.
         """
         entries = f"array_join(filter({PATIENT_ENTRIES}, e -> e IS NOT NULL), ',')"
         rows = self.table("customer").selectExpr(
-            f"c_custkey DIV {per_file} AS chunk", f"named_struct('k', c_custkey, 'e', {entries}) AS row"
+            f"monotonically_increasing_id() DIV {per_file} AS chunk",
+            f"named_struct('k', c_custkey, 'e', {entries}) AS row",
         )
         grouped = rows.groupBy("chunk").agg(F.array_sort(F.collect_list("row")).alias("rows"))
         whole = F.concat(

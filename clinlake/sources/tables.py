@@ -17,13 +17,12 @@ def work_dir(spark: SparkSession) -> str:
     Only a local session, where driver and executors share a disk, may go without.
     """
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named is None:
-        if not context.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        if named is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="clinlake-"))
-        named = context.getCheckpointDir()
-    return named.rstrip("/")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="clinlake-"))
+    return (named or context.getCheckpointDir()).rstrip("/")
 
 
 # -- namespaces and tables ------------------------------------------------------------------

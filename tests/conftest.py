@@ -6,7 +6,6 @@ import sys
 
 import pytest
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
@@ -211,5 +210,3 @@ def one(df):
     assert len(rows) == 1
     return rows[0]
 
-
-__all__ = ["F"]
