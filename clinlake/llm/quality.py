@@ -1,8 +1,8 @@
 """A quality classifier from weak labels.
 
-Heuristic labellers look at each text and vote good, bad or abstain; people's labels, where there are some,
-are one more labeller. Votes are counted by pattern over all documents, and expectation-maximisation over those counts
-estimates each labeller's accuracies and the share of bad texts. The posteriors label a bounded sample of
+Heuristic labellers look at each text and vote bad or abstain, since the absence of one fault is no merit; people's
+labels, where there are some, are one more labeller of given reliability. Votes are counted by pattern over all documents, and
+expectation-maximisation over those counts estimates each heuristic's accuracies and the share of bad texts. The posteriors label a bounded sample of
 documents, on which a linear scorer over hashed words and shape features is trained; it judges every document. There is
 one such model for quality and one for toxicity, and a document is kept that both accept.
 """
@@ -19,23 +19,38 @@ from pyspark.sql import functions as F
 from clinlake.llm.common import stage, word_hashes
 
 #: The scorer is fitted on at most this many documents.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 10_000
 #: Words of a document that go into the fit, spread evenly over it; judging reads all.
 FIT_WORDS = 4_000
+#: Features that enter the scorer.
+MOST_FEATURES = 4_000
 HASH_BITS = 18
+#: Besides whole words, their first bytes are features: words are too rare to be learned one by one.
+PREFIXES = (4, 5, 6, 7)
+#: Weight of a document without a person's label in the fit.
+UNLABELLED_WEIGHT = 0.2
+#: How often a person's label is taken to be right.
+PERSON_RELIABILITY = 0.995
 TASKS = ("quality", "toxic")
-REJECT = 0.5
+#: A document is rejected from these probabilities on; clean documents lie far below.
+REJECT = {"quality": 0.3, "toxic": 0.4}
 GOOD, ABSTAIN, BAD = 0, 1, 2
 
-# Words of abuse, the seed of the toxicity labellers.
-ABUSE = ["idiot", "idiots", "moron", "morons", "stupid", "worthless", "clown", "pathetic", "loser", "scum", "trash", "disgusting", "hate", "kill", "dumb"]
+#: No heuristic is taken to see more than this share of the bad texts: people find what it has no words for.
+MAX_COVERAGE = 0.6
+
+# Words of abuse by kind, one toxicity labeller each.
+ABUSE = [
+    ["idiot", "idiots", "moron", "morons", "clown", "clowns", "loser", "losers", "scum", "fool", "jerk"],
+    ["stupid", "worthless", "pathetic", "trash", "garbage", "disgusting", "dumb", "hate", "shut"],
+]
 
 _MARKS = np.zeros(256, bool)
 _MARKS[[ord(c) for c in "!#$%&*|@^~<>{}[]=+\\"]] = True
 
 
-def shape(text: str) -> list[float]:
-    """Shares of a text: odd marks, upper case among letters, digits; mean word length; share of repeated lines; bars; size."""
+def shape(text: str, own: np.ndarray) -> list[float]:
+    """Of a text and its word hashes: odd marks a word, upper case among letters, digits, mean word length, repeated lines, bars a word, size, repeated words."""
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     n = max(1, len(raw))
     upper, lower = int(((raw >= 65) & (raw <= 90)).sum()), int((((raw >= 97) & (raw <= 122)) | (raw >= 128)).sum())
@@ -50,71 +65,83 @@ def shape(text: str) -> list[float]:
         1 - len(set(lines)) / max(1, len(lines)),
         float((raw == 124).sum()) / words,
         float(np.log2(len(raw) + 1)),
+        float((own[1:] == own[:-1]).mean()) if len(own) > 1 else 0.0,
     ]
 
 
-def votes(text: str, words: int, abusive: int) -> tuple[list[int], list[int]]:
+def votes(text: str, own: np.ndarray, abuse: list[np.ndarray]) -> tuple[list[int], list[int]]:
     """The votes of the quality and of the toxicity labellers on a text."""
-    marks, upper, digits, length, repeated, bars, size = shape(text)
-
-    def between(x: float, good: float, bad: float) -> int:
-        return GOOD if x <= good else BAD if x >= bad else ABSTAIN
-
-    quality = [
-        between(marks, 0.25, 0.5),
-        between(upper, 0.12, 0.3),
-        between(bars, 0.05, 0.2),
-        between(digits, 0.1, 0.3),
-        between(repeated, 0.2, 0.5),
-        BAD if length > 15 or words < 3 else GOOD if 2 <= length <= 12 else ABSTAIN,
-    ]
-    share = abusive / max(1, words)
-    toxic = [
-        GOOD if abusive == 0 else BAD if abusive >= 2 else ABSTAIN,
-        GOOD if share == 0 else BAD if share >= 0.01 else ABSTAIN,
-        BAD if abusive and words < 200 else GOOD if not abusive else ABSTAIN,
+    marks, upper, digits, length, repeated, bars, _, again = shape(text, own)
+    words = len(own)
+
+    faults = [
+        marks >= 0.5,
+        upper >= 0.3,
+        bars >= 0.2,
+        digits >= 0.3,
+        repeated >= 0.5,
+        again >= 0.4,
+        length > 15 or words < 3,
     ]
+    quality = [BAD if f else ABSTAIN for f in faults]
+    # A text without a listed word may be abusive in other words: no vote.
+    toxic = [BAD if np.isin(own, kind).any() else ABSTAIN for kind in abuse]
     return quality, toxic
 
 
 def fit_labellers(patterns: np.ndarray, counts: np.ndarray, prior: float, rounds: int = 60) -> tuple[np.ndarray, float, np.ndarray]:
     """Expectation-maximisation over counted vote patterns (rows of votes).
 
-    Returns p(vote | class) by class, labeller and vote, the share of the bad class, and the posterior of bad by pattern.
-    Labellers are taken to err independently and to be better than chance at first.
+    The last column are people's votes, whose reliability is given. Returns p(vote | class) by class, labeller and vote, the share of the bad
+    class, and the posterior of bad by pattern. Labellers are taken to err independently.
     """
-    k = patterns.shape[1]
-    given = np.tile(np.array([[0.7, 0.2, 0.1], [0.2, 0.3, 0.5]])[:, None, :], (1, k, 1))
+    k, sure = patterns.shape[1], PERSON_RELIABILITY
+    given = np.tile(np.array([[0.01, 0.96, 0.03], [0.01, 0.69, 0.3]])[:, None, :], (1, k, 1))
+    given[:, -1] = [[sure, 1, 1 - sure], [1 - sure, 1, sure]]  # whether a person looked says nothing
     weight = counts / max(1.0, counts.sum())
     posterior = np.full(len(patterns), prior)
     for _ in range(rounds):
         log = np.stack([np.log([1 - prior, prior][c]) + sum(np.log(given[c, i, patterns[:, i]]) for i in range(k)) for c in (0, 1)])
         posterior = 1 / (1 + np.exp(np.clip(log[0] - log[1], -50, 50)))
         for c, mass in enumerate((weight * (1 - posterior), weight * posterior)):
-            for i in range(k):
+            for i in range(k - 1):
                 seen = np.bincount(patterns[:, i], mass, minlength=3) + 1e-4
                 given[c, i] = seen / seen.sum()
+        seen = given[1, :-1, BAD]
+        over = seen > MAX_COVERAGE
+        given[1, :-1, ABSTAIN] += np.where(over, seen - MAX_COVERAGE, 0)
+        given[1, :-1, BAD] = np.where(over, MAX_COVERAGE, seen)
         prior = float(np.clip((weight * posterior).sum(), 1e-3, 0.5))
     return given, prior, posterior
 
 
-def _features(words: np.ndarray, text: str) -> np.ndarray:
-    """Distinct hashed places of a text's words and of its binned shape."""
-    places = np.unique(words >> np.uint64(64 - HASH_BITS)).astype(np.int64)
-    bins = [i * 32 + min(31, int(x)) for i, x in enumerate(np.multiply(shape(text), [8, 25, 25, 1, 10, 10, 1]))]
+def _features(words: np.ndarray, heads: np.ndarray, text: str) -> np.ndarray:
+    """Distinct hashed places of a text's words and of their first bytes, and of its binned shape."""
+    places = np.unique(np.concatenate([words, heads.ravel()]) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+    bins = [i * 32 + min(31, int(x)) for i, x in enumerate(np.multiply(shape(text, words), [8, 25, 25, 1, 10, 10, 1, 25]))]
     return np.append(places, (1 << HASH_BITS) + np.array(bins))
 
 
-FEATURES = (1 << HASH_BITS) + 7 * 32
+FEATURES = (1 << HASH_BITS) + 8 * 32
 
 
-def fit_scorer(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, rounds: int = 8) -> np.ndarray:
+def fit_scorer(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, rounds: int = 20) -> np.ndarray:
     """Logistic regression on sparse binary features by adaptive gradient steps; the last weight is the bias.
 
-    Features of fewer than eight texts are left out, since a word of its own explains its document only.
+    Only the features that tell most by a chi-square test enter: the others, millions of rare words, would drown them.
     """
-    common = np.bincount(np.concatenate(rows), minlength=FEATURES) >= 8 if rows else np.zeros(FEATURES, bool)
-    rows = [r[common[r]] for r in rows]
+    if not rows:
+        return np.zeros(FEATURES + 1)
+    size = np.array([len(r) for r in rows])
+    flat, mass = np.concatenate(rows), np.repeat(target * weight, size)
+    seen, bad = np.bincount(flat, np.repeat(weight, size), FEATURES), np.bincount(flat, mass, FEATURES)
+    share = float(np.clip((target * weight).sum() / weight.sum(), 1e-3, 1 - 1e-3))
+    tells = (bad - seen * share) ** 2 / np.maximum(seen * share * (1 - share), 1e-9)
+    tells[seen < 5] = 0
+    chosen = np.zeros(FEATURES, bool)
+    chosen[np.argsort(-tells)[:MOST_FEATURES]] = True
+    chosen &= tells > 10
+    rows = [r[chosen[r]] for r in rows]
     w, square, rng = np.zeros(FEATURES + 1), np.full(FEATURES + 1, 1e-6), np.random.default_rng(7)
     for _ in range(rounds):
         for i in rng.permutation(len(rows)):
@@ -126,12 +153,8 @@ def fit_scorer(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, r
     return w
 
 
-def _abuse_hashes() -> np.ndarray:
-    return np.sort(word_hashes([" ".join(w + end for w in ABUSE for end in ("", ".", ",", "!", "?"))])[0])
-
-
-def _is_abuse(words: np.ndarray, abuse: np.ndarray) -> int:
-    return int(np.isin(words, abuse).sum())
+def _abuse_hashes() -> list[np.ndarray]:
+    return [word_hashes([" ".join(w + end for w in kind for end in ("", ".", ",", "!", "?"))])[0] for kind in ABUSE]
 
 
 def vote_table(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -151,7 +174,7 @@ def vote_table(documents: DataFrame, labels: DataFrame) -> DataFrame:
                 words, counts = word_hashes(texts)
                 found, b = [], 0
                 for text, n in zip(texts, counts.tolist()):
-                    found.append(votes(text, n, _is_abuse(words[b : b + n], abuse)))
+                    found.append(votes(text, words[b : b + n], abuse))
                     b += n
                 yield pd.DataFrame(
                     {"doc_id": part["doc_id"].to_numpy(), "known": part["known"].to_numpy(), "quality": [bytes(q) for q, _ in found], "toxic": [bytes(t) for _, t in found]}
@@ -170,7 +193,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     """For each task the labellers' accuracies, the share of bad texts and the scorer's weights.
 
     Counts of vote patterns cover all documents. The scorer's sample are the documents with the smallest hashes
-    of their id: at most `sample_rows`, half of them from those with a person's label.
+    of their id: at most `sample_rows`, four fifths of them from those with a person's label.
     """
     table = vote_table(documents, labels)
     model: dict = {}
@@ -186,7 +209,7 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     ids = table.where("doc_id is not null").select("doc_id", "quality", "toxic", "quality_person", "toxic_person").dropDuplicates(["doc_id"])
     labelled = F.col("quality_person") + F.col("toxic_person") != 2 * ABSTAIN
     order = F.xxhash64("doc_id", F.lit(6))
-    sample = ids.where(labelled).orderBy(order).limit(sample_rows // 2).union(ids.where(~labelled).orderBy(order).limit(sample_rows // 2))
+    sample = ids.where(labelled).orderBy(order).limit(sample_rows * 4 // 5).union(ids.where(~labelled).orderBy(order).limit(sample_rows // 5))
     sample = F.broadcast(sample.withColumnsRenamed({t: f"__{t}" for t in ("quality", "toxic", "quality_person", "toxic_person")}))
     names = ["__quality", "__toxic", "__quality_person", "__toxic_person"]
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -195,12 +218,11 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
-            words, counts = word_hashes(texts)
+            words, counts, heads = word_hashes(texts, PREFIXES)
             found, b = [], 0
             for text, n in zip(texts, counts.tolist()):
-                own = words[b : b + n]
-                own = own if n <= FIT_WORDS else own[np.linspace(0, n - 1, FIT_WORDS).astype(int)]
-                found.append(_features(own, text).astype(np.int32).tobytes())
+                own = np.arange(b, b + n) if n <= FIT_WORDS else b + np.linspace(0, n - 1, FIT_WORDS).astype(int)
+                found.append(_features(words[own], heads[:, own], text).astype(np.int32).tobytes())
                 b += n
             yield batch[names].assign(features=found)
 
@@ -213,7 +235,8 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
             model[task] = None
             continue
         target = np.array([model[task]["posterior"][(*r[f"__{task}"], r[f"__{task}_person"])] for r in taken])
-        model[task]["weights"] = fit_scorer(rows, target, np.ones(len(rows)))
+        weight = np.array([UNLABELLED_WEIGHT if r[f"__{task}_person"] == ABSTAIN else 1.0 for r in taken])
+        model[task]["weights"] = fit_scorer(rows, target, weight)
     return model
 
 
@@ -225,12 +248,12 @@ def _weights(model: dict) -> dict[str, np.ndarray | None]:
 def _probabilities(column: pd.Series, weights: dict[str, np.ndarray | None]) -> np.ndarray:
     """For each task the probability that a text is bad; a text without words is of bad quality."""
     p = np.zeros((len(TASKS), len(column)))
-    for at in range(0, len(column), 512):
-        texts = [t if isinstance(t, str) else "" for t in column.iloc[at : at + 512]]
-        words, counts = word_hashes(texts)
+    for at in range(0, len(column), 256):
+        texts = [t if isinstance(t, str) else "" for t in column.iloc[at : at + 256]]
+        words, counts, heads = word_hashes(texts, PREFIXES)
         begin = 0
         for i, (text, n) in enumerate(zip(texts, counts.tolist()), at):
-            places = _features(words[begin : begin + n], text)
+            places = _features(words[begin : begin + n], heads[:, begin : begin + n], text)
             for k, task in enumerate(TASKS):
                 if n == 0:
                     p[k, i] = float(task == "quality")
@@ -256,7 +279,7 @@ def judge(documents: DataFrame, model: dict) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "known": batch["known"], "p_bad_quality": p[0], "p_toxic": p[1]})
 
     out = docs.mapInPandas(run, "doc_id long, known boolean, p_bad_quality double, p_toxic double")
-    kept = (F.col("p_bad_quality") < REJECT) & (F.col("p_toxic") < REJECT)
+    kept = (F.col("p_bad_quality") < REJECT["quality"]) & (F.col("p_toxic") < REJECT["toxic"])
     return out.select(F.when(F.col("known"), F.col("doc_id")).alias("doc_id"), "p_bad_quality", "p_toxic", kept.alias("kept"))
 
 
@@ -276,6 +299,7 @@ def keep_good(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE
 
     @F.pandas_udf("boolean")
     def good(texts: pd.Series) -> pd.Series:
-        return pd.Series((_probabilities(texts, weights) < REJECT).all(axis=0))
+        limits = np.array([[REJECT[t]] for t in TASKS])
+        return pd.Series((_probabilities(texts, weights) < limits).all(axis=0))
 
     return documents.where(good(F.col("text").cast("string")))
