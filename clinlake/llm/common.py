@@ -68,15 +68,18 @@ def _chunks(buffer: np.ndarray, space: np.ndarray) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def word_hashes(texts: list[str | None], lower_ascii: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words ([^\\x20\\x09-\\x0D]+, A-Z lower-cased) of the texts, and each text's number of words."""
+def word_hashes(texts: list[str | None], prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """64-bit hashes of all words ([^\\x20\\x09-\\x0D]+, A-Z lower-cased) of the texts, and each text's number of words.
+
+    With `prefixes`, a third result has a row of hashes for each length: of the words' first bytes.
+    """
     encoded = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     ends = np.cumsum(np.fromiter((len(e) + 1 for e in encoded), np.int64, len(encoded)))
     buffer = np.frombuffer(b" ".join(encoded) + b" ", np.uint8).copy() if encoded else np.zeros(0, np.uint8)
-    if lower_ascii:
+    if len(buffer):
         buffer[(buffer >= 65) & (buffer <= 90)] += 32
     space = (buffer == 32) | ((buffer >= 9) & (buffer <= 13))
-    letters, hashes, starts_all = _byte_table(), [], []
+    letters, hashes, heads, starts_all = _byte_table(), [], [], []
     for a, b in _chunks(buffer, space):
         part, blank = buffer[a:b], space[a:b]
         before = np.concatenate(([True], blank[:-1]))
@@ -90,11 +93,15 @@ def word_hashes(texts: list[str | None], lower_ascii: bool = True) -> tuple[np.n
         values = letters[part[inside]] * powers[place]
         first = np.searchsorted(inside, starts)
         hashes.append(mix(np.add.reduceat(values, first)))
+        heads.append([mix(np.add.reduceat(np.where(place < n, values, np.uint64(0)), first) + np.uint64(n)) for n in prefixes])
         starts_all.append(starts + a)
     words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     where = np.concatenate(starts_all) if starts_all else np.zeros(0, np.int64)
     upto = np.searchsorted(where, ends)
-    return words, np.diff(upto, prepend=0)
+    counts = np.diff(upto, prepend=0)
+    if not prefixes:
+        return words, counts
+    return words, counts, np.concatenate(heads, axis=1) if heads else np.zeros((len(prefixes), 0), np.uint64)
 
 
 def shingle_sets(texts: list[str | None], width: int = SHINGLE_WORDS) -> list[np.ndarray]:
