@@ -4,8 +4,9 @@ A text's signature is 64 minima. Each tree of the forest orders all distinct set
 the signature's values; neighbours in that order share the longest prefixes, so where texts are sparse
 short prefixes suffice, and in crowded regions the window keeps to deeper ones. Candidates are pairs
 in a window that share at least `MIN_DEPTH` values, have compatible set sizes and agree in enough of the
-whole signature. Links are confirmed on the sets themselves, in two rounds: each text's best and its
-smallest neighbour first, then all candidates between the components found so far, in a wider window.
+whole signature. Links are confirmed on the sets themselves, in rounds, since a candidate within a component that is
+known already decides nothing: each text's best and smallest neighbour first; then, in a wider window and with a longer signature, its best
+candidates in other components; last all candidates that are left between components.
 """
 
 from __future__ import annotations
@@ -27,7 +28,11 @@ MIN_DEPTH = 2
 THRESHOLD_PERCENT = 75
 # A pair at the threshold agrees in 48 of 64 values; under 33 it lies more than four deviations below.
 MIN_AGREEMENT = 33
+# Later rounds agree on 512 more values of 8 bits: 384 at the threshold.
+LONG_SIGNATURE, MIN_LONG_AGREEMENT = 512, 343
 WINDOW, WIDE_WINDOW = 32, 256
+#: Candidates a text tries in other components in the second round; the last round tries all that are left.
+TRIES = 4
 # Ids are broadcast only when they are counted below this (32 MB).
 BROADCAST_IDS = 4_000_000
 _BLOCK = 2048
@@ -37,14 +42,22 @@ def _seeds(salt: int, n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(salt << 32))
 
 
+def _minima(hashes: np.ndarray, length: int) -> np.ndarray:
+    masks, factors = _seeds(1, length), _seeds(2, length) | np.uint64(1)
+    low = np.full(length, np.iinfo(np.uint64).max, np.uint64)
+    for a in range(0, len(hashes), _BLOCK):
+        low = np.minimum(low, ((hashes[a : a + _BLOCK, None] ^ masks) * factors).min(axis=0))
+    return mix(low)
+
+
 def signature(hashes: np.ndarray) -> np.ndarray:
     """64 values of 16 bits, from the minima of as many orders of the hashes."""
-    masks, factors = _seeds(1, SIGNATURE), _seeds(2, SIGNATURE) | np.uint64(1)
-    low = np.full(SIGNATURE, np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, len(hashes), _BLOCK):
-        block = (hashes[a : a + _BLOCK, None] ^ masks) * factors
-        low = np.minimum(low, block.min(axis=0))
-    return (mix(low) >> np.uint64(48)).astype(np.uint16)
+    return (_minima(hashes, SIGNATURE) >> np.uint64(48)).astype(np.uint16)
+
+
+def long_signature(hashes: np.ndarray) -> np.ndarray:
+    """512 values of 8 bits."""
+    return (_minima(hashes, LONG_SIGNATURE) >> np.uint64(56)).astype(np.uint8)
 
 
 def tree_orders() -> np.ndarray:
@@ -98,14 +111,16 @@ def _forest(nodes: DataFrame) -> DataFrame:
     return rows.repartitionByRange(count, "tree", "prefix", "fp").sortWithinPartitions("tree", "prefix", "fp")
 
 
-def _windows(batches: Iterator[pd.DataFrame], window: int) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
+def _windows(
+    batches: Iterator[pd.DataFrame], window: int, compared: str, kind: type, least: int
+) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
     """Rows in order with the candidate pairs among them: later row, earlier row, values in common."""
     rest = None
     for batch in batches:
         rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
         old, n = 0 if rest is None else len(rest), len(rows)
         if n > 1:
-            values = np.frombuffer(b"".join(rows["signature"]), np.uint16).reshape(n, SIGNATURE)
+            values = np.frombuffer(b"".join(rows[compared]), kind).reshape(n, -1)
             head = np.frombuffer(b"".join(p[: 2 * MIN_DEPTH] for p in rows["prefix"]), np.uint16).reshape(n, MIN_DEPTH)
             tree, size = rows["tree"].to_numpy(), rows["n_shingles"].to_numpy()
             later, earlier, agree = [], [], []
@@ -119,7 +134,7 @@ def _windows(batches: Iterator[pd.DataFrame], window: int) -> Iterator[tuple[pd.
                 near = 100 * np.minimum(size[i], size[j]) >= THRESHOLD_PERCENT * np.maximum(size[i], size[j])
                 i, j = i[near], j[near]
                 same = (values[i] == values[j]).sum(axis=1)
-                good = same >= MIN_AGREEMENT
+                good = same >= least
                 later.append(i[good]), earlier.append(j[good]), agree.append(same[good])
             if later:
                 yield rows, np.concatenate(later), np.concatenate(earlier), np.concatenate(agree)
@@ -130,7 +145,7 @@ def _nearest(nodes: DataFrame) -> DataFrame:
     """For each node with candidates: its best neighbour and its smallest, over all trees."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows, i, j, same in _windows(batches, WINDOW):
+        for rows, i, j, same in _windows(batches, WINDOW, "signature", np.uint16, MIN_AGREEMENT):
             fp = rows["fp"].to_numpy()
             pairs = pd.DataFrame({"a": np.r_[fp[i], fp[j]], "b": np.r_[fp[j], fp[i]], "agree": np.r_[same, same]})
             best = pairs.sort_values(["agree", "b"], ascending=[False, True]).drop_duplicates("a")
@@ -141,24 +156,38 @@ def _nearest(nodes: DataFrame) -> DataFrame:
     return found.groupBy("a").agg(F.max(F.struct("agree", "b"))["b"].alias("best"), F.min("least").alias("least"))
 
 
-def _across(nodes: DataFrame) -> DataFrame:
-    """All candidate pairs of nodes whose components (column root) differ."""
+def _across(nodes: DataFrame, tries: int | None) -> DataFrame:
+    """Candidate pairs of nodes whose components (column root) differ: all, or each node's best."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows, i, j, _ in _windows(batches, WIDE_WINDOW):
-            fp, root = rows["fp"].to_numpy(), rows["root"].to_numpy()
-            apart = np.array([x != y for x, y in zip(root[i], root[j])], bool)
-            yield pd.DataFrame({"a": fp[i[apart]], "b": fp[j[apart]]})
-
-    return _pairs(_forest(nodes).mapInPandas(run, "a binary, b binary"))
+        for rows, i, j, same in _windows(batches, WIDE_WINDOW, "long", np.uint8, MIN_LONG_AGREEMENT):
+            fp, root = rows["fp"].to_numpy(), pd.factorize(rows["root"])[0]
+            apart = root[i] != root[j]
+            i, j, same = i[apart], j[apart], same[apart]
+            if tries is not None:
+                i, j, same = np.r_[i, j], np.r_[j, i], np.r_[same, same]
+            order = np.lexsort((j, -same, i))
+            i, j, same = i[order], j[order], same[order]
+            starts = np.flatnonzero(np.diff(i, prepend=-1))
+            found = [
+                [{"same": x, "fp": y} for x, y in zip(same[a:b][:tries].tolist(), fp[j[a:b][:tries]])]
+                for a, b in zip(starts, np.append(starts[1:], len(i)))
+            ]
+            yield pd.DataFrame({"a": fp[i[starts]], "found": found})
+
+    # A node's partners, of at most two windows a tree, are united before they become rows.
+    found = _forest(nodes).mapInPandas(run, "a binary, found array<struct<same int, fp binary>>")
+    best = F.array_sort(F.array_distinct(F.flatten(F.collect_list("found"))), lambda x, y: F.when(x["same"] > y["same"], -1).when(x["same"] < y["same"], 1).when(x["fp"] < y["fp"], -1).when(x["fp"] > y["fp"], 1).otherwise(0))
+    united = found.groupBy("a").agg((best if tries is None else F.slice(best, 1, tries)).alias("found"))
+    return _pairs(united.select("a", F.explode("found.fp").alias("b")))
 
 
 def _pairs(found: DataFrame) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the threshold; sets are made again for the texts in pairs only."""
+def _sets(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """fp, shingles of all nodes in pairs, made again from their texts."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     wanted = stage(nodes.join(ends, "fp", "left_semi").select("fp", F.col("rep").alias("doc_id")), "wanted")
     ids = wanted.select("doc_id").distinct()
@@ -172,8 +201,29 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame
                 yield pd.DataFrame({"fp": [blake2b(s.tobytes(), digest_size=16).digest() for s in sets], "shingles": [s.view(np.int64) for s in sets]})
 
     sets = docs.where("known").join(ids, "doc_id", "left_semi").select("text").mapInPandas(run, "fp binary, shingles array<long>")
-    sets = sets.join(wanted.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("shingles").alias("shingles"))
-    sets = stage(sets, "sets")
+    return sets.join(wanted.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.first("shingles").alias("shingles"))
+
+
+def _with_long(sets: DataFrame) -> DataFrame:
+    """fp, set size and both signatures."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = [np.asarray(s, np.int64).view(np.uint64) for s in batch["shingles"]]
+            yield pd.DataFrame(
+                {
+                    "fp": batch["fp"],
+                    "n_shingles": [len(s) for s in own],
+                    "signature": [signature(s).tobytes() for s in own],
+                    "long": [long_signature(s).tobytes() for s in own],
+                }
+            )
+
+    return sets.mapInPandas(run, "fp binary, n_shingles long, signature binary, long binary")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
     left, right = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
     return both.where(f"100L * common >= {THRESHOLD_PERCENT}L * (size(x) + size(y) - common)").select("a", "b")
@@ -223,15 +273,18 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     nodes = stage(nodes, "nodes")
     sketch = nodes.select("fp", "n_shingles", "signature")
 
-    near = stage(_nearest(sketch), "near")
-    links = stage(_confirmed(_pairs(near.select("a", F.explode(F.array("best", "least")).alias("b"))), docs, nodes), "links")
+    near = _nearest(nodes.select("fp", "n_shingles", "signature"))
+    pairs = stage(_pairs(near.select("a", F.explode(F.array("best", "least")).alias("b"))), "pairs")
+    sets = stage(_sets(pairs, docs, nodes), "sets")
+    busy = stage(_with_long(sets), "busy")
+    links = stage(_confirmed(pairs, sets), "links")
     roots = components(links).withColumnRenamed("node", "fp")
-    busy = near.select(F.col("a").alias("fp")).union(near.select("best")).distinct()
-    busy = sketch.join(busy, "fp", "left_semi").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    more = stage(_across(stage(busy, "busy")), "more")
-    if more.limit(1).count():
-        links = links.union(_confirmed(more, docs, nodes))
-        roots = components(links).withColumnRenamed("node", "fp")
+    for tries in (TRIES, None):
+        placed = busy.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        pairs = stage(_across(stage(placed, "placed"), tries), "pairs")
+        if pairs.limit(1).count():
+            links = links.union(stage(_confirmed(pairs, sets), "links"))
+            roots = components(links).withColumnRenamed("node", "fp")
 
     joined = nodes.join(roots, "fp").select("fp", "root", "rep")
     smallest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
