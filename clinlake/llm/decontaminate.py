@@ -22,8 +22,9 @@ ERROR_RATE = 0.1
 BLOCK_CHARS = 4_000_000
 _CHUNK_CHARS = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_TABLE_BITS = 24
-_SPACES = np.array([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 0x2007, 0x202F, 0x2028, 0x2029, 0x3000], np.uint32)
+_TABLE_BITS = 21
+_IS_SPACE = np.zeros(0x3002, bool)
+_IS_SPACE[[*range(33), 133, 160, 0x2007, 0x202F, 0x2028, 0x2029, 0x3000]] = True
 
 
 def normalized(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -33,9 +34,7 @@ def normalized(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if len(low) != len(text):
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
     codes = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
-    space = codes <= 32
-    if len(codes) and codes.max() > 127:
-        space |= np.isin(codes, _SPACES)
+    space = _IS_SPACE[np.minimum(codes, 0x3001)] if not text.isascii() else codes <= 32
     first = space & np.concatenate(([True], space[:-1])) if len(codes) else space
     places = np.flatnonzero(~first)
     codes = np.where(space[places], np.uint32(32), codes[places])
@@ -59,6 +58,15 @@ def edit_budget(m: int, rate: float) -> int:
     return min(int(rate * m), (m - Q) // Q)
 
 
+def _verbatim(item: np.ndarray, region: np.ndarray) -> int:
+    """Where the item stands in the region without edits, or -1."""
+    whole, part, at = region.tobytes(), item.tobytes(), -1
+    while (at := whole.find(part, at + 1)) >= 0:
+        if at % item.itemsize == 0:
+            return at // item.itemsize
+    return -1
+
+
 def _align(item: np.ndarray, regions: list[np.ndarray], band: int) -> list[tuple[int, int, int]]:
     """(edits, start, end) of the best occurrence of the item in each region, row by row over all regions at once.
 
@@ -114,6 +122,7 @@ class _Index:
         self.seen[self.grams >> np.uint64(64 - _TABLE_BITS)] = True
         self.m = np.array([len(t) for t in self.texts], int)
         self.k = np.array(self.budget, int)
+        self.bound = np.maximum(1, self.m - Q + 1 - self.k * Q)
 
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Item, place in the item and place in the codes of every shared q-gram."""
@@ -132,21 +141,22 @@ class _Index:
     def regions(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
         """Item, first diagonal and shared q-grams of the bands that reach the bound."""
         item, place, at = self.hits(codes)
-        if not len(item):
+        # Chance hits are many: items that fall short over the whole text go first, bands that fall short with repeats next.
+        some = (np.bincount(item, minlength=len(self.m)) >= self.bound)[item]
+        if not some.any():
             return []
-        diagonal, stride = at - place, self.k[item] + 1
-        keep = []
+        item, place, at = item[some], place[some], at[some]
+        stride, keep = self.k[item] + 1, []
+        band = (at - place) // stride
         for shift in (0, 1):
-            band = diagonal // stride - shift
-            key = np.stack([item, band, place])
-            key = np.unique(key, axis=1)
-            edge = np.flatnonzero(np.any(np.diff(key[:2], axis=1) != 0, axis=0)) + 1
-            starts = np.concatenate(([0], edge))
-            counts = np.diff(np.append(starts, key.shape[1]))
-            owner = key[0, starts]
-            bound = self.m[owner] - Q + 1 - self.k[owner] * Q
-            good = counts >= np.maximum(1, bound)
-            keep += zip(owner[good].tolist(), (key[1, starts[good]] * (self.k[owner[good]] + 1)).tolist(), counts[good].tolist())
+            key = (item << 40) + band - shift + (1 << 39)
+            keys, which, counts = np.unique(key, return_inverse=True, return_counts=True)
+            owner = keys >> 40
+            for i in np.flatnonzero(counts >= self.bound[owner]).tolist():
+                shared = len(np.unique(place[which == i]))
+                if shared >= self.bound[owner[i]]:
+                    first = (int(keys[i]) & ((1 << 40) - 1)) - (1 << 39)
+                    keep.append((int(owner[i]), first * (int(self.k[owner[i]]) + 1), shared))
         return keep
 
 
@@ -210,8 +220,13 @@ def _matches(index: _Index, text: str | None) -> list[tuple[int, int, int, int,
     for item, regions in found.items():
         k = int(index.k[item])
         regions = sorted(set(regions))
-        aligned = _align(index.texts[item], [codes[a:b].astype(np.int64) for a, b, _ in regions], 4 * k + 2)
-        best = sorted((cost, a + s, a + e, shared) for (cost, s, e), (a, _, shared) in zip(aligned, regions) if cost <= k)
+        text = index.texts[item]
+        exact = [_verbatim(text, codes[a:b]) for a, b, _ in regions]
+        best = [(0, a + s, a + s + len(text), shared) for s, (a, _, shared) in zip(exact, regions) if s >= 0]
+        regions = [r for s, r in zip(exact, regions) if s < 0]
+        aligned = _align(text, [codes[a:b].astype(np.int64) for a, b, _ in regions], 4 * k + 2) if regions else []
+        best += [(cost, a + s, a + e, shared) for (cost, s, e), (a, _, shared) in zip(aligned, regions) if cost <= k]
+        best.sort()
         taken: list[tuple[int, int]] = []
         for cost, s, e, shared in best:
             if all(e <= x or s >= y for x, y in taken):
