@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from clinlake.llm.common import stage, word_hashes
 
 #: The scorer is fitted on at most this many documents.
-SAMPLE_ROWS = 10_000
+SAMPLE_ROWS = 8_000
 #: Words of a document that go into the fit, spread evenly over it; judging reads all.
-FIT_WORDS = 4_000
+FIT_WORDS = 1_000
 #: Features that enter the scorer.
 MOST_FEATURES = 4_000
 HASH_BITS = 18
@@ -132,9 +132,10 @@ def fit_scorer(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, r
     """
     if not rows:
         return np.zeros(FEATURES + 1)
-    size = np.array([len(r) for r in rows])
-    flat, mass = np.concatenate(rows), np.repeat(target * weight, size)
-    seen, bad = np.bincount(flat, np.repeat(weight, size), FEATURES), np.bincount(flat, mass, FEATURES)
+    seen, bad = np.zeros(FEATURES), np.zeros(FEATURES)
+    for r, t, x in zip(rows, target, weight):
+        seen[r] += x
+        bad[r] += x * t
     share = float(np.clip((target * weight).sum() / weight.sum(), 1e-3, 1 - 1e-3))
     tells = (bad - seen * share) ** 2 / np.maximum(seen * share * (1 - share), 1e-9)
     tells[seen < 5] = 0
