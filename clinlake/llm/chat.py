@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
-PART = "<|text|>"  # between two text parts of a message
+PART = "<|text|>"  # before a text part that is not the first part
 PLACEHOLDERS = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
 #: Tokens an attachment expands to: an image by patches of 28 x 28 pixels, audio by second, a document by page.
 IMAGE_PATCH, AUDIO_TOKENS_PER_SECOND, DOCUMENT_TOKENS_PER_PAGE = 28, 25, 800

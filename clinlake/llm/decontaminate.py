@@ -146,17 +146,16 @@ class _Index:
         if not some.any():
             return []
         item, place, at = item[some], place[some], at[some]
-        stride, keep = self.k[item] + 1, []
-        band = (at - place) // stride
-        for shift in (0, 1):
-            key = (item << 40) + band - shift + (1 << 39)
-            keys, which, counts = np.unique(key, return_inverse=True, return_counts=True)
-            owner = keys >> 40
-            for i in np.flatnonzero(counts >= self.bound[owner]).tolist():
-                shared = len(np.unique(place[which == i]))
-                if shared >= self.bound[owner[i]]:
-                    first = (int(keys[i]) & ((1 << 40) - 1)) - (1 << 39)
-                    keep.append((int(owner[i]), first * (int(self.k[owner[i]]) + 1), shared))
+        # Band b holds the diagonals b * (k + 1) up to (b + 2) * (k + 1): each hit is in two bands.
+        band = (at - place) // (self.k[item] + 1)
+        key = (np.r_[item, item] << 40) + np.r_[band, band - 1] + (1 << 39)
+        keys, which, counts = np.unique(key, return_inverse=True, return_counts=True)
+        owner, twice, keep = keys >> 40, np.r_[place, place], []
+        for i in np.flatnonzero(counts >= self.bound[owner]).tolist():
+            shared, own = len(np.unique(twice[which == i])), int(owner[i])
+            if shared >= self.bound[own]:
+                first = (int(keys[i]) & ((1 << 40) - 1)) - (1 << 39)
+                keep.append((own, first * (int(self.k[own]) + 1), shared))
         return keep
 
 
