@@ -155,7 +155,7 @@ def host(url: str = "url") -> str:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Staged row, page_id, url, host and blocks of each page: text, whether it is the page's article, its subtrees.
+    """Staged row, page_id, url, host, whether an article is marked, and blocks of each page: text, whether it is the page's article, its subtrees.
 
     Blocks of the article are never template, so their subtrees are left out.
     """
@@ -168,19 +168,20 @@ def parsed(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
+            out, marked = [], []
             for html in batch["html"]:
                 found = blocks(html if isinstance(html, str) else "")
                 surest = max((a for t, a, _ in found if t is not None), default=0)
+                marked.append(surest > 0)
                 out.append(
                     [
                         {"text": t if a == surest else None, "trees": [] if surest and a == surest and t is not None else hashes}
                         for t, a, hashes in found
                     ]
                 )
-            yield batch.drop(columns="html").assign(blocks=out)
+            yield batch.drop(columns="html").assign(marked=marked, blocks=out)
 
-    schema = "page_id long, known boolean, url string, host string, blocks array<struct<text string, trees array<long>>>"
+    schema = "page_id long, known boolean, url string, host string, marked boolean, blocks array<struct<text string, trees array<long>>>"
     return stage(rows.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "pages")
 
 
@@ -194,26 +195,22 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """page_id, url, host, text, n_chars, n_template: one row per page (page_id, url, html).
+    """page_id, url, host, text, n_chars: one row per page (page_id, url, html).
 
     Where a page marks its article, the text is the article's; else all blocks but those in dropped elements and in template
-    subtrees, whose number is n_template. Blocks are joined by one space in page order.
+    subtrees. Blocks are joined by one space in page order.
     Null and empty pages, and pages without text, give an empty text. Pages without a host share one. Repeated rows give repeated rows
     (and count as pages of their host); null ids stay null. An empty table gives no rows; further columns are left out.
     """
     rows = parsed(pages)
     cut = templates(rows, min_pages, min_share)
-    blocks_in = rows.select("row", "host", F.posexplode("blocks").alias("place", "block"))
+    # Where an article is marked its blocks are the text, whatever is cut around them: only other pages meet the templates.
+    marked, unmarked = rows.where("marked"), rows.where("not marked")
+    blocks_in = unmarked.select("row", "host", F.posexplode("blocks").alias("place", "block"))
     gone = blocks_in.select("row", "place", "host", F.explode("block.trees").alias("tree")).join(cut, ["host", "tree"])
     gone = gone.groupBy("row").agg(F.collect_set("place").alias("gone"))
-    out = rows.join(gone, "row", "left")
-    left = "filter(blocks, (b, i) -> b.text is not null and (gone is null or not array_contains(gone, i)))"
-    out = out.withColumn("text", F.expr(f"array_join(transform({left}, b -> b.text), ' ')"))
-    return out.select(
-        F.when(F.col("known"), F.col("page_id")).alias("page_id"),
-        "url",
-        "host",
-        "text",
-        F.length("text").cast("long").alias("n_chars"),
-        F.expr("cast(coalesce(size(gone), 0) as long)").alias("n_template"),
-    )
+    left = unmarked.join(gone, "row", "left")
+    both = left.select(*rows.columns, "gone").union(marked.select(*rows.columns, F.lit(None).cast("array<int>").alias("gone")))
+    said = "filter(blocks, (b, i) -> b.text is not null and (gone is null or not array_contains(gone, i)))"
+    out = both.withColumn("text", F.expr(f"array_join(transform({said}, b -> b.text), ' ')"))
+    return out.select(F.when(F.col("known"), F.col("page_id")).alias("page_id"), "url", "host", "text", F.length("text").cast("long").alias("n_chars"))
