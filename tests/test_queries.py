@@ -11,12 +11,14 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
 import __spark_entry__ as entry  # noqa: E402
 from check_oracles import compare  # noqa: E402
 
+from clinlake.plans import oracle, registry  # noqa: E402
+
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables are not here")
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -25,7 +27,7 @@ def test_entry_runs(spark):
     assert len(df.collect()) == 10
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_equals_sql(spark, name):
-    text, _, ok = compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], SF_DIR)
+    text, _, ok = compare(spark, name, registry.queries()[name], oracle.oracle_sql()[name], SF_DIR)
     assert ok, text
