@@ -3,12 +3,13 @@
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clinlake.llm import ann, chat, queries, site_text, url_filter
+from clinlake.llm import ann, chat, oracle, queries, site_text, url_filter
 
 DIR = "/root/testdata/sf0.001"
 
@@ -163,3 +164,14 @@ def test_all_are_registered():
     names = entry.queries()
     assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
     assert set(queries.queries()) <= set(names)
+
+
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "conversations"):
+        con.execute(f"create view {t} as select * from read_parquet('{DIR}/{t}.parquet')")
+    want = con.execute(oracle.oracle_sql()[name])
+    columns = [c[0] for c in want.description]
+    got = queries.queries()[name](spark, DIR).select(*columns).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want.fetchall()))
