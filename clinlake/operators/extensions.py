@@ -60,10 +60,15 @@ def _place() -> Column:
     return F.concat_ws("|", F.coalesce("state", F.lit("")), F.coalesce("postal_code", F.lit("")))
 
 
+def _said(name: str) -> Column:
+    """A text column with empty texts as null."""
+    return F.when(F.col(name) != "", F.col(name))
+
+
 def location(patient: DataFrame) -> DataFrame:
-    """One row per state and postal code."""
-    places = patient.filter(F.col("state").isNotNull() | F.col("postal_code").isNotNull())
-    distinct = places.select("state", "postal_code").distinct()
+    """One row per state and postal code; an empty text is a missing one, so that no two rows share an id."""
+    distinct = patient.select(_said("state").alias("state"), _said("postal_code").alias("postal_code")).distinct()
+    distinct = distinct.filter(F.col("state").isNotNull() | F.col("postal_code").isNotNull())
     keyed = distinct.select(
         X.surrogate_key(_place()).alias("location_id"), "state", F.col("postal_code").alias("zip")
     )
@@ -72,7 +77,7 @@ def location(patient: DataFrame) -> DataFrame:
 
 def location_id(patient: DataFrame) -> DataFrame:
     """Patients with the id of their location. The id is made of the place, so no join is needed."""
-    known = F.col("state").isNotNull() | F.col("postal_code").isNotNull()
+    known = _said("state").isNotNull() | _said("postal_code").isNotNull()
     return patient.withColumn("location_id", F.when(known, X.surrogate_key(_place())))
 
 
