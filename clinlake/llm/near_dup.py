@@ -229,24 +229,25 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.where(f"100L * common >= {THRESHOLD_PERCENT}L * (size(x) + size(y) - common)").select("a", "b")
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller node, or none if others have edges to it: nothing is left to hook."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("below")).union(edges.select("v", F.lit(0), F.lit(1)))
+    ups = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("below").alias("below"))
+    return ups.where("up > 1 or up = 1 and below = 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) of a graph of links (a, b), by hooking on smaller neighbours."""
     edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
-    while True:
-        # Large star: the larger neighbours of each node link to the smallest node around it.
+    while not _is_stars(edges):
+        # Large star: the larger neighbours of each node link to the smallest node around it; no more rows than edges.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: each node and its smaller neighbours link to the smallest of them.
-        large = large.distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = stage(small.union(down.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
     nodes = edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
@@ -278,13 +279,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     sets = stage(_sets(pairs, docs, nodes), "sets")
     busy = stage(_with_long(sets), "busy")
     links = stage(_confirmed(pairs, sets), "links")
-    roots = components(links).withColumnRenamed("node", "fp")
+    roots = stage(components(links), "roots").withColumnRenamed("node", "fp")
     for tries in (TRIES, None):
         placed = busy.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
         pairs = stage(_across(stage(placed, "placed"), tries), "pairs")
-        if pairs.limit(1).count():
-            links = links.union(stage(_confirmed(pairs, sets), "links"))
-            roots = components(links).withColumnRenamed("node", "fp")
+        found = stage(_confirmed(pairs, sets), "links")
+        if not found.isEmpty():
+            # The components so far are stars, which new links join.
+            stars = roots.where("fp <> root").select(F.col("root").alias("a"), F.col("fp").alias("b"))
+            roots = stage(components(stars.union(found)), "roots").withColumnRenamed("node", "fp")
 
     joined = nodes.join(roots, "fp").select("fp", "root", "rep")
     smallest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
