@@ -152,8 +152,12 @@ def percent(part: Column, whole: Column, digits: int = 1) -> Column:
 
 
 def exact_avg(value: Column, digits: int) -> Column:
-    """Rounded mean of a DOUBLE column, summed as decimals.
+    """Rounded mean of all values of a DOUBLE column, summed as decimals.
 
-    Floating sums depend on the order in which partitions arrive; this one does not.
+    Floating sums depend on the order in which partitions arrive; this one does not. Where a
+    value is no decimal of six digits (huge, tiny, infinite or NaN), it is the floating mean.
     """
-    return F.round(F.avg(value.cast("decimal(28,6)")), digits).cast("double")
+    exact = value.try_cast("decimal(28,6)")
+    beyond = value.isNotNull() & (exact.isNull() | (exact.cast("double") != value))
+    mean = F.when(F.coalesce(F.bool_or(beyond), F.lit(False)), F.avg(value)).otherwise(F.avg(exact).cast("double"))
+    return F.round(mean, digits)

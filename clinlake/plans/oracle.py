@@ -364,6 +364,11 @@ _BODIES = {
     "upsert_latest": """
         SELECT fhir_encounter_id, CASE WHEN o % 5 = 0 THEN 'amended' WHEN o % 3 = 0 THEN 'corrected' ELSE status END AS status,
             encounter_class FROM encounter""",
+    "upsert_out_of_order": """
+        SELECT fhir_encounter_id, CASE WHEN o % 5 = 0 THEN 'amended' WHEN o % 3 = 0 THEN 'corrected' ELSE status END AS status,
+            encounter_class FROM encounter""",
+    "upsert_null_key_replay": """
+        SELECT o % 7 = 0 AS nameless, encounter_class, count(*) AS count FROM encounter GROUP BY 1, 2""",
     "upsert_snapshot": """
         SELECT CASE WHEN o % 5 = 0 THEN 'amended' WHEN o % 3 = 0 THEN 'corrected' ELSE status END AS status,
             encounter_class, count(*) AS count FROM encounter GROUP BY 1, 2""",

@@ -275,6 +275,24 @@ def upsert_latest(w: Workload) -> DataFrame:
     return merged.select("fhir_encounter_id", "status", "encounter_class")
 
 
+@query
+def upsert_out_of_order(w: Workload) -> DataFrame:
+    """The same merge, and then a delivery of all encounters that is older than what is there."""
+    first, second = _deliveries(w)
+    merged = tables.merge_latest(first, second, "fhir_encounter_id")
+    merged = tables.merge_latest(merged, _delivery(w, F.lit(True), "stale", -1), "fhir_encounter_id")
+    return merged.select("fhir_encounter_id", "status", "encounter_class")
+
+
+@query
+def upsert_null_key_replay(w: Workload) -> DataFrame:
+    """A delivery with every seventh id missing, merged into itself: no row is doubled."""
+    nameless = F.when(_order_key() % 7 != 0, F.col("fhir_encounter_id"))
+    delivery = w.encounter.withColumn("fhir_encounter_id", nameless)
+    merged = tables.merge_latest(delivery, delivery, "fhir_encounter_id")
+    return merged.groupBy(F.col("fhir_encounter_id").isNull().alias("nameless"), "encounter_class").agg(F.count("*").alias("count"))
+
+
 @query
 def upsert_snapshot(w: Workload) -> DataFrame:
     """The same merge through a stored table, in three deliveries."""

@@ -85,9 +85,17 @@ def publish(
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {snapshot}")
     for _, old in versions[: max(0, len(versions) - keep)]:
         drop_table(spark, old)
+        if location is not None:
+            _delete_folder(spark, f"{location}/{old}")
     return snapshot
 
 
+def _delete_folder(spark: SparkSession, folder: str) -> None:
+    """Files of a dropped table with a location of its own, which the catalog leaves."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _snapshots(spark: SparkSession, name: str) -> list[tuple[int, str]]:
     schema, _, base = name.rpartition(".")
     prefix = f"{base}__v"
@@ -98,16 +106,27 @@ def _snapshots(spark: SparkSession, name: str) -> list[tuple[int, str]]:
 
 # -- upsert and incremental read ---------------------------------------------------------
 
+LINEAGE_ID = "_lineage_id"
+
+
+def identity(df: DataFrame, key: str) -> Column:
+    """What a row is merged by: its key, its lineage id where the key is null; null without either."""
+    named = F.concat(F.lit("key "), F.col(key).cast("string"))
+    if LINEAGE_ID not in df.columns:
+        return named
+    return F.coalesce(named, F.concat(F.lit("row "), F.col(LINEAGE_ID)))
+
+
 def latest_per_key(df: DataFrame, key: str, order: str = "_loaded_at") -> DataFrame:
-    """The newest row of every key; rows without a key are all kept.
+    """The newest row of every identity; rows without one are all kept.
 
     A maximum over (order, row) is combined before the shuffle, so a key with very many
     versions never gathers them in one task. All columns take part, which settles ties.
     """
-    others = [c for c in df.columns if c not in (key, order)]
-    newest = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(order, *others)).alias("r"))
-    newest = newest.select(key, "r.*").select(*df.columns)
-    return newest.unionByName(df.filter(F.col(key).isNull()))
+    others = [c for c in df.columns if c != order]
+    named = df.withColumn("_id", identity(df, key))
+    newest = named.filter("_id IS NOT NULL").groupBy("_id").agg(F.max(F.struct(order, *others)).alias("r"))
+    return newest.select("r.*").select(*df.columns).unionByName(named.filter("_id IS NULL").drop("_id"))
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -117,26 +136,28 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def merge_latest(target: DataFrame, source: DataFrame, key: str, order: str = "_loaded_at") -> DataFrame:
-    """Target rows not named by the source, and the newest source row of every key.
+    """The newest row of every identity in the target and the source, whichever of them has it.
 
     The source is read for its size, its keys and its rows, so it is staged first. When its
     keys are few they are broadcast and the target is not shuffled.
     """
-    return _replace(target, staged(latest_per_key(source, key, order)), key)
+    return _merged(target, staged(latest_per_key(source, key, order)), key, order)
 
 
-def _replace(target: DataFrame, newest: DataFrame, key: str) -> DataFrame:
-    keys = newest.filter(F.col(key).isNotNull()).select(own_shuffle(F.col(key)).alias("_k"))
+def _merged(target: DataFrame, newest: DataFrame, key: str, order: str = "_loaded_at") -> DataFrame:
+    keys = newest.select(own_shuffle(identity(newest, key)).alias("_k")).filter("_k IS NOT NULL")
     if fits_broadcast(keys):
         keys = F.broadcast(keys)
-    kept = target.withColumn("_k", own_shuffle(F.col(key))).join(keys, "_k", "left_anti")
-    return kept.select(*target.columns).unionByName(newest)
+    named = target.withColumn("_k", own_shuffle(identity(target, key)))
+    untouched = named.join(keys, "_k", "left_anti").select(*target.columns)
+    rivals = named.join(keys, "_k", "left_semi").select(*target.columns)
+    return untouched.unionByName(latest_per_key(rivals.unionByName(newest), key, order))
 
 
 def upsert(df: DataFrame, table: str, key: str, fmt: str = "parquet", location: str | None = None) -> None:
-    """Insert new rows and replace those whose key matches; creates the table on first use.
+    """Insert new rows and replace older ones of the same identity; creates the table on first use.
 
-    A format with a transaction log merges in place. A plain one gets a new snapshot, unless
+    A delivery that comes again, or late, changes nothing that is newer. A format with a transaction log merges in place. A plain one gets a new snapshot, unless
     there is nothing to merge.
     """
     spark = df.sparkSession
@@ -149,24 +170,45 @@ def upsert(df: DataFrame, table: str, key: str, fmt: str = "parquet", location:
             publish(first, table, fmt, location=location)
     elif logged:
         latest_per_key(df, key).createOrReplaceTempView("_upsert_source")
+        same = f"t.{key} = s.{key}"
+        if LINEAGE_ID in df.columns:
+            same += f" OR t.{key} IS NULL AND s.{key} IS NULL AND t.{LINEAGE_ID} = s.{LINEAGE_ID}"
         spark.sql(
-            f"MERGE INTO {table} t USING _upsert_source s ON t.{key} = s.{key} "
-            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+            f"MERGE INTO {table} t USING _upsert_source s ON {same} "
+            "WHEN MATCHED AND s._loaded_at >= t._loaded_at THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
         )
     else:
         newest = staged(latest_per_key(df, key))
         if not newest.isEmpty():
-            publish(_replace(spark.table(table), newest, key), table, fmt, location=location)
+            publish(_merged(spark.table(table), newest, key), table, fmt, location=location)
 
 
 def since_watermark(df: DataFrame, target: DataFrame | None, column: str = "_loaded_at") -> DataFrame:
-    """Rows newer than anything in the target; all of them while it is absent or empty."""
+    """Rows newer than anything in the target; all of them while it is absent or empty.
+
+    For one load after the other. Loads that overlap need ``not_consumed``.
+    """
     if target is None:
         return df
     highest = target.agg(F.max(column)).scalar()
     return df.filter(F.col(column) > F.coalesce(highest, F.lit("0001-01-01").cast("timestamp")))
 
 
+def not_consumed(df: DataFrame, target: DataFrame | None) -> DataFrame:
+    """Rows of landed files of which the target holds no row, whatever their load's time stamp.
+
+    A file lands in one commit and is consumed in one, so files decide, not rows. A file whose
+    rows were all replaced by newer ones is read again, which changes nothing in an upsert.
+    """
+    if target is None:
+        return df
+    landed = ["_source_file", "_loaded_at"]
+    fresh = staged(df.select(*landed).distinct().join(target.select(*landed).distinct(), landed, "left_anti"))
+    if fits_broadcast(fresh):
+        fresh = F.broadcast(fresh)
+    return df.join(fresh, landed, "left_semi").select(*df.columns)
+
+
 def target_or_none(spark: SparkSession, table: str) -> DataFrame | None:
     return spark.table(table) if spark.catalog.tableExists(table) else None
 

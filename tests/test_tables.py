@@ -59,6 +59,31 @@ def test_merge_replaces_matches_and_keeps_the_rest(spark):
     assert content(merged) == [("a", 1), ("b", 21), ("c", 30), (None, 3), (None, 40)]
 
 
+def with_lineage(spark, *rows):
+    return spark.createDataFrame(list(rows), f"{SCHEMA}, _lineage_id string")
+
+
+def test_rows_without_a_key_are_merged_by_lineage(spark, name):
+    delivery = with_lineage(spark, (None, 1, day(1), "x"), (None, 2, day(1), "y"), ("a", 3, day(1), "z"))
+    for _ in range(3):
+        tables.upsert(delivery, name, "k")
+        assert content(spark.table(name)) == [("a", 3), (None, 1), (None, 2)]
+    tables.upsert(with_lineage(spark, (None, 5, day(2), "y")), name, "k")
+    assert content(spark.table(name)) == [("a", 3), (None, 1), (None, 5)]
+
+
+def test_an_older_row_does_not_replace_a_newer_one(spark, name):
+    tables.upsert(frame(spark, ("a", 1, day(5)), ("b", 2, day(1))), name, "k")
+    tables.upsert(frame(spark, ("a", 9, day(4)), ("b", 8, day(2)), ("c", 7, day(1))), name, "k")
+    assert content(spark.table(name)) == [("a", 1), ("b", 8), ("c", 7)]
+
+
+def test_dropped_snapshots_leave_no_files(spark, name, tmp_path):
+    for v in range(4):
+        tables.publish(frame(spark, ("a", v, day(1))), name, location=str(tmp_path))
+    assert len(list(tmp_path.iterdir())) == 2 and content(spark.table(name)) == [("a", 3)]
+
+
 def test_upsert_creates_then_merges_and_is_idempotent(spark, name):
     first, second = frame(spark, ("a", 1, day(1)), ("a", 2, day(2))), frame(spark, ("a", 5, day(3)), ("b", 6, day(3)))
     tables.upsert(first, name, "k")
@@ -114,6 +139,15 @@ def test_since_watermark(spark):
     assert tables.since_watermark(df, df.limit(0)).count() == 3
 
 
+def test_not_consumed_takes_late_files_of_earlier_loads(spark):
+    schema = "_source_file string, _loaded_at timestamp, v int"
+    raw = spark.createDataFrame([("f1", day(2), 1), ("f2", day(1), 2), ("f2", day(1), 3), ("f1", day(3), 4)], schema)
+    taken = spark.createDataFrame([("f1", day(2), 1)], schema)
+    fresh = tables.not_consumed(raw, taken)
+    assert fresh.columns == raw.columns and sorted(r.v for r in fresh.collect()) == [2, 3, 4]
+    assert tables.not_consumed(raw, None).count() == 4
+
+
 # -- layout -----------------------------------------------------------------------------------
 
 def test_partition_and_cluster(spark, tmp_path):
@@ -233,6 +267,25 @@ def test_layers_from_files_to_gold(spark, layers, tmp_path, raw_concept):
     assert stored["omop_condition_occurrence"].filter("stop_reason = 'Resolved'").count() == 1
 
 
+def test_overlapping_loads_lose_nothing(spark, layers, tmp_path, raw_concept):
+    everyone = (PATIENT, ENCOUNTER, CONDITION, MEDICATION, OBSERVATION)
+    write_bundles(tmp_path / "in", a=bundle_of(*everyone))
+    load(spark, layers, tmp_path / "in", raw_concept, day(5))
+    write_bundles(tmp_path / "in", late=bundle_of(without(PATIENT, id="pat-late")))
+    stored = load(spark, layers, tmp_path / "in", raw_concept, day(4))
+    assert stored["omop_person"].count() == 2
+
+
+def test_other_time_zones_are_refused(spark, layers):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for step in (build.refresh_silver, build.refresh_gold):
+            with pytest.raises(ValueError, match="UTC"):
+                step(spark, layers)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_gates_raise(spark, layers, tmp_path, raw_concept):
     write_bundles(tmp_path / "in", a=bundle_of(without(PATIENT, "birthDate"), CONDITION, ENCOUNTER, MEDICATION, OBSERVATION))
     load(spark, layers, tmp_path / "in", raw_concept, day(1))
