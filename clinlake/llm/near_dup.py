@@ -2,11 +2,12 @@
 
 A text's signature is 64 minima. Each tree of the forest orders all distinct sets by its own order of
 the signature's values; neighbours in that order share the longest prefixes, so where texts are sparse
-short prefixes suffice, and in crowded regions the window keeps to deeper ones. Candidates are pairs
+short prefixes suffice. Where a run of such neighbours is longer than the window, or cut by the edge of a partition,
+its sets are paired exactly, by their rarest shingles (a prefix filter). Other candidates are pairs
 in a window that share at least `MIN_DEPTH` values, have compatible set sizes and agree in enough of the
 whole signature. Links are confirmed on the sets themselves, in rounds, since a candidate within a component that is
 known already decides nothing: each text's best and smallest neighbour first; then, in a wider window and with a longer signature, its best
-candidates in other components; last all candidates that are left between components.
+candidates in other components; then all candidates that are left between components; last the exact pairs of cut runs.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ WINDOW, WIDE_WINDOW = 32, 256
 TRIES = 4
 # Ids are broadcast only when they are counted below this (32 MB).
 BROADCAST_IDS = 4_000_000
+# Shingles are counted in this many cells (2 MB) to order them by frequency.
+CELL_BITS = 18
 _BLOCK = 2048
 
 
@@ -113,17 +116,27 @@ def _forest(nodes: DataFrame) -> DataFrame:
 
 def _windows(
     batches: Iterator[pd.DataFrame], window: int, compared: str, kind: type, least: int
-) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]]:
-    """Rows in order with the candidate pairs among them: later row, earlier row, values in common."""
-    rest = None
+) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows in order with the candidate pairs among them: later row, earlier row, values in common; and the rows whose run of
+    shared prefixes goes on beyond the window or up to an edge of the partition, where partners may be out of sight."""
+    rest, first, passed, none = None, None, 0, np.zeros(0, np.int64)
     for batch in batches:
+        if not len(batch):
+            continue
         rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
         old, n = 0 if rest is None else len(rest), len(rows)
+        runs = np.array([b"%d " % t + p[: 2 * MIN_DEPTH] for t, p in zip(rows["tree"], rows["prefix"])], object)
+        first = runs[0] if first is None else first
+        far = np.arange(max(window, old), n)
+        far = far[runs[far] == runs[far - window]]
+        begin = np.arange(old, min(n, max(old, old + window - passed)))
+        cut = np.unique(np.r_[far, far - window, begin[runs[begin] == first]])
+        passed += len(batch)
+        later, earlier, agree = [], [], []
         if n > 1:
             values = np.frombuffer(b"".join(rows[compared]), kind).reshape(n, -1)
             head = np.frombuffer(b"".join(p[: 2 * MIN_DEPTH] for p in rows["prefix"]), np.uint16).reshape(n, MIN_DEPTH)
             tree, size = rows["tree"].to_numpy(), rows["n_shingles"].to_numpy()
-            later, earlier, agree = [], [], []
             for gap in range(1, min(window, n - 1) + 1):
                 i = np.arange(max(gap, old), n)
                 j = i - gap
@@ -136,31 +149,34 @@ def _windows(
                 same = (values[i] == values[j]).sum(axis=1)
                 good = same >= least
                 later.append(i[good]), earlier.append(j[good]), agree.append(same[good])
-            if later:
-                yield rows, np.concatenate(later), np.concatenate(earlier), np.concatenate(agree)
-        rest = rows.iloc[-window:].reset_index(drop=True)
+        if later or len(cut):
+            yield rows, *(np.concatenate([none, *x]) for x in (later, earlier, agree)), cut
+        rest, tail = rows.iloc[-window:].reset_index(drop=True), runs[-window:]
+    if rest is not None:
+        yield rest, none, none, none, np.flatnonzero(tail == tail[-1])
 
 
 def _nearest(nodes: DataFrame) -> DataFrame:
-    """For each node with candidates: its best neighbour and its smallest, over all trees."""
+    """For each node with candidates its best neighbour and its smallest, over all trees; and whether a run of the node is cut."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows, i, j, same in _windows(batches, WINDOW, "signature", np.uint16, MIN_AGREEMENT):
+        for rows, i, j, same, cut in _windows(batches, WINDOW, "signature", np.uint16, MIN_AGREEMENT):
             fp = rows["fp"].to_numpy()
             pairs = pd.DataFrame({"a": np.r_[fp[i], fp[j]], "b": np.r_[fp[j], fp[i]], "agree": np.r_[same, same]})
             best = pairs.sort_values(["agree", "b"], ascending=[False, True]).drop_duplicates("a")
             least = pairs.sort_values("b").drop_duplicates("a")[["a", "b"]].rename(columns={"b": "least"})
-            yield best.merge(least, on="a")
+            yield best.merge(least, on="a").assign(cut=False)
+            yield pd.DataFrame({"a": fp[cut], "b": None, "agree": -1, "least": None, "cut": True})
 
-    found = _forest(nodes).mapInPandas(run, "a binary, b binary, agree int, least binary")
-    return found.groupBy("a").agg(F.max(F.struct("agree", "b"))["b"].alias("best"), F.min("least").alias("least"))
+    found = _forest(nodes).mapInPandas(run, "a binary, b binary, agree int, least binary, cut boolean")
+    return found.groupBy("a").agg(F.max(F.struct("agree", "b"))["b"].alias("best"), F.min("least").alias("least"), F.max("cut").alias("cut"))
 
 
-def _across(nodes: DataFrame, tries: int | None) -> DataFrame:
-    """Candidate pairs of nodes whose components (column root) differ: all, or each node's best."""
+def _across(nodes: DataFrame, tries: int | None) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs of nodes whose components (column root) differ: all, or each node's best; and the nodes of cut runs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows, i, j, same in _windows(batches, WIDE_WINDOW, "long", np.uint8, MIN_LONG_AGREEMENT):
+        for rows, i, j, same, cut in _windows(batches, WIDE_WINDOW, "long", np.uint8, MIN_LONG_AGREEMENT):
             fp, root = rows["fp"].to_numpy(), pd.factorize(rows["root"])[0]
             apart = root[i] != root[j]
             i, j, same = i[apart], j[apart], same[apart]
@@ -173,22 +189,76 @@ def _across(nodes: DataFrame, tries: int | None) -> DataFrame:
                 [{"same": x, "fp": y} for x, y in zip(same[a:b][:tries].tolist(), fp[j[a:b][:tries]])]
                 for a, b in zip(starts, np.append(starts[1:], len(i)))
             ]
-            yield pd.DataFrame({"a": fp[i[starts]], "found": found})
+            yield pd.DataFrame({"a": fp[i[starts]], "found": pd.Series(found, dtype=object), "cut": False})
+            yield pd.DataFrame({"a": fp[cut], "found": pd.Series([[] for _ in cut], dtype=object), "cut": True})
 
     # A node's partners, of at most two windows a tree, are united before they become rows.
-    found = _forest(nodes).mapInPandas(run, "a binary, found array<struct<same int, fp binary>>")
+    found = _forest(nodes).mapInPandas(run, "a binary, found array<struct<same int, fp binary>>, cut boolean")
     best = F.array_sort(F.array_distinct(F.flatten(F.collect_list("found"))), lambda x, y: F.when(x["same"] > y["same"], -1).when(x["same"] < y["same"], 1).when(x["fp"] < y["fp"], -1).when(x["fp"] > y["fp"], 1).otherwise(0))
-    united = found.groupBy("a").agg((best if tries is None else F.slice(best, 1, tries)).alias("found"))
-    return _pairs(united.select("a", F.explode("found.fp").alias("b")))
+    united = found.groupBy("a").agg((best if tries is None else F.slice(best, 1, tries)).alias("found"), F.max("cut").alias("cut"))
+    united = stage(united, "across")
+    return _pairs(united.select("a", F.explode("found.fp").alias("b"))), united.where("cut").select(F.col("a").alias("fp"))
+
+
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How many shingles fall into each of 2 ** CELL_BITS cells."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                own = np.concatenate([np.asarray(s, np.int64) for s in batch["shingles"].iloc[at : at + 512]]).view(np.uint64)
+                counts += np.bincount((own >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(counts))
+        cells = np.flatnonzero(counts)
+        yield pd.DataFrame({"cell": cells, "n": counts[cells]})
+
+    table = sets.select("shingles").mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << CELL_BITS, np.int64)
+    counts[table["cell"].to_numpy()] = table["n"].to_numpy()
+    return counts
+
+
+def _rarest(nodes: DataFrame) -> DataFrame:
+    """All pairs of nodes (fp, shingles, root) of different components that can reach the threshold.
+
+    In one order of all shingles, from rare to frequent, two sets with so much in common share one of the first
+    `size - common + 1` of each; the smaller set needs fewer than the larger. What a crowd has in common comes last in that
+    order, so that it makes no pairs unless it is most of a text.
+    """
+    counts = _frequencies(nodes)
+    share = THRESHOLD_PERCENT
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                part, rare = batch.iloc[at : at + 512], []
+                for shingles in part["shingles"]:
+                    own = np.asarray(shingles, np.int64)
+                    n, cells = len(own), own.view(np.uint64) >> np.uint64(64 - CELL_BITS)
+                    rare.append(own[np.lexsort((own, counts[cells]))[: n - -(-share * n // 100) + 1]])
+                lengths = np.array([len(r) for r in rare])
+                size, place = np.repeat([len(s) for s in part["shingles"]], lengths), np.concatenate([np.arange(k) for k in lengths])
+                # Of the smaller set of a pair at least 2t / (1 + t) is common.
+                small = place <= size - -(-2 * share * size // (100 + share))
+                fp, mark = np.repeat(part["fp"].to_numpy(), lengths), np.repeat(part["mark"].to_numpy(), lengths)
+                yield pd.DataFrame({"shingle": np.concatenate(rare), "fp": fp, "mark": mark, "n": size, "place": place, "small": small})
+
+    marked = nodes.select("fp", F.xxhash64("root").alias("mark"), "shingles")
+    entries = stage(marked.mapInPandas(run, "shingle long, fp binary, mark long, n long, place long, small boolean"), "entries")
+    shared = entries.groupBy("shingle").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).where("low <> high").select("shingle")
+    entries = stage(entries.join(shared, "shingle", "left_semi"), "shared")
+    both = entries.alias("x").join(entries.where("small").alias("y"), F.expr("x.shingle = y.shingle AND x.mark <> y.mark AND (y.n, y.fp) < (x.n, x.fp)"))
+    # What is left of both from the first shared shingle on must do.
+    both = both.where(f"100 * y.n >= {share} * x.n AND {100 + share} * least(x.n - x.place, y.n - y.place) >= {share} * (x.n + y.n)")
+    return _pairs(both.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")))
 
 
 def _pairs(found: DataFrame) -> DataFrame:
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
 
 
-def _sets(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """fp, shingles of all nodes in pairs, made again from their texts."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+def _sets(ends: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """fp, shingles of the nodes in ends, made again from their texts."""
     wanted = stage(nodes.join(ends, "fp", "left_semi").select("fp", F.col("rep").alias("doc_id")), "wanted")
     ids = wanted.select("doc_id").distinct()
     if wanted.count() <= BROADCAST_IDS:
@@ -252,6 +322,14 @@ def components(links: DataFrame) -> DataFrame:
     return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
+def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """fp, root after new links: the components so far are stars, which the links join."""
+    if found.isEmpty():
+        return roots
+    stars = roots.where("fp <> root").select(F.col("root").alias("a"), F.col("fp").alias("b"))
+    return stage(components(stars.union(found)), "roots").withColumnRenamed("node", "fp")
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_md5: one row per row of documents (doc_id, text).
 
@@ -274,20 +352,20 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     nodes = stage(nodes, "nodes")
     sketch = nodes.select("fp", "n_shingles", "signature")
 
-    near = _nearest(nodes.select("fp", "n_shingles", "signature"))
-    pairs = stage(_pairs(near.select("a", F.explode(F.array("best", "least")).alias("b"))), "pairs")
-    sets = stage(_sets(pairs, docs, nodes), "sets")
+    near = stage(_nearest(nodes.select("fp", "n_shingles", "signature")), "near")
+    pairs = stage(_pairs(near.where("best is not null").select("a", F.explode(F.array("best", "least")).alias("b"))), "pairs")
+    crowded = near.where("cut").select(F.col("a").alias("fp"))
+    sets = stage(_sets(pairs.select(F.explode(F.array("a", "b")).alias("fp")).union(crowded).distinct(), docs, nodes), "sets")
     busy = stage(_with_long(sets), "busy")
     links = stage(_confirmed(pairs, sets), "links")
     roots = stage(components(links), "roots").withColumnRenamed("node", "fp")
     for tries in (TRIES, None):
         placed = busy.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-        pairs = stage(_across(stage(placed, "placed"), tries), "pairs")
-        found = stage(_confirmed(pairs, sets), "links")
-        if not found.isEmpty():
-            # The components so far are stars, which new links join.
-            stars = roots.where("fp <> root").select(F.col("root").alias("a"), F.col("fp").alias("b"))
-            roots = stage(components(stars.union(found)), "roots").withColumnRenamed("node", "fp")
+        pairs, cut = _across(stage(placed, "placed"), tries)
+        crowded = crowded.union(cut)
+        roots = _joined(roots, stage(_confirmed(stage(pairs, "pairs"), sets), "links"))
+    crowd = sets.join(crowded.distinct(), "fp", "left_semi").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    roots = _joined(roots, stage(_confirmed(stage(_rarest(stage(crowd, "crowd")), "pairs"), sets), "links"))
 
     joined = nodes.join(roots, "fp").select("fp", "root", "rep")
     smallest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
