@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 from clinlake.llm.common import stage, word_hashes
 
 #: The scorer is fitted on at most this many documents.
-SAMPLE_ROWS = 8_000
-#: Words of a document that go into the fit, spread evenly over it; judging reads all.
-FIT_WORDS = 1_000
+SAMPLE_ROWS = 10_000
 #: Features that enter the scorer.
 MOST_FEATURES = 4_000
 HASH_BITS = 18
+#: Weights are summed in whole parts of this size, so that their order does not matter.
+UNIT = 1 << 20
 #: Besides whole words, their first bytes are features: words are too rare to be learned one by one.
 PREFIXES = (4, 5, 6, 7)
 #: Weight of a document without a person's label in the fit.
@@ -125,24 +125,22 @@ def _features(words: np.ndarray, heads: np.ndarray, text: str) -> np.ndarray:
 FEATURES = (1 << HASH_BITS) + 8 * 32
 
 
-def fit_scorer(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, rounds: int = 20) -> np.ndarray:
-    """Logistic regression on sparse binary features by adaptive gradient steps; the last weight is the bias.
+def telling(seen: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Which features enter the scorer, from the weight of the documents and of the bad ones they are in; the last sum is of all documents.
 
     Only the features that tell most by a chi-square test enter: the others, millions of rare words, would drown them.
     """
-    if not rows:
-        return np.zeros(FEATURES + 1)
-    seen, bad = np.zeros(FEATURES), np.zeros(FEATURES)
-    for r, t, x in zip(rows, target, weight):
-        seen[r] += x
-        bad[r] += x * t
-    share = float(np.clip((target * weight).sum() / weight.sum(), 1e-3, 1 - 1e-3))
+    share = float(np.clip(bad[-1] / max(seen[-1], 1e-9), 1e-3, 1 - 1e-3))
+    seen, bad = seen[:-1], bad[:-1]
     tells = (bad - seen * share) ** 2 / np.maximum(seen * share * (1 - share), 1e-9)
     tells[seen < 5] = 0
     chosen = np.zeros(FEATURES, bool)
-    chosen[np.argsort(-tells)[:MOST_FEATURES]] = True
-    chosen &= tells > 10
-    rows = [r[chosen[r]] for r in rows]
+    chosen[np.argsort(-tells, kind="stable")[:MOST_FEATURES]] = True
+    return chosen & (tells > 10)
+
+
+def fit_scorer(rows: list[np.ndarray], target: np.ndarray, weight: np.ndarray, rounds: int = 20) -> np.ndarray:
+    """Logistic regression on sparse binary features by adaptive gradient steps; the last weight is the bias."""
     w, square, rng = np.zeros(FEATURES + 1), np.full(FEATURES + 1, 1e-6), np.random.default_rng(7)
     for _ in range(rounds):
         for i in rng.permutation(len(rows)):
@@ -207,38 +205,88 @@ def train(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
         counts = np.array([r["count"] for r in rows], float)
         given, share, posterior = fit_labellers(patterns, counts, 0.15)
         model[task] = {"given": given, "share": share, "posterior": {tuple(p): float(x) for p, x in zip(patterns.tolist(), posterior)}}
-    ids = table.where("doc_id is not null").select("doc_id", "quality", "toxic", "quality_person", "toxic_person").dropDuplicates(["doc_id"])
+    people = [f"{t}_person" for t in TASKS]
+    ids = table.where("doc_id is not null").groupBy("doc_id").agg(*[F.max(p).alias(p) for p in people])  # one per id anyway
     labelled = F.col("quality_person") + F.col("toxic_person") != 2 * ABSTAIN
     order = F.xxhash64("doc_id", F.lit(6))
     sample = ids.where(labelled).orderBy(order).limit(sample_rows * 4 // 5).union(ids.where(~labelled).orderBy(order).limit(sample_rows // 5))
-    sample = F.broadcast(sample.withColumnsRenamed({t: f"__{t}" for t in ("quality", "toxic", "quality_person", "toxic_person")}))
-    names = ["__quality", "__toxic", "__quality_person", "__toxic_person"]
+    sample = F.broadcast(sample.withColumnsRenamed({p: f"__{p}" for p in people}))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = texts.join(sample, "doc_id").select("text", *names)
+    # Of repeated ids the smallest text; its votes are taken anew, since the ids' votes may be those of another.
+    chosen = texts.join(sample, "doc_id").groupBy("doc_id", *[f"__{p}" for p in people]).agg(F.min("text").alias("text"))
+    chosen = stage(chosen, "sample")
+    fitted = {t: model[t]["posterior"] for t in TASKS if model[t] is not None}
+    sums = _feature_sums(chosen, fitted)
+    for task in TASKS:
+        if task not in fitted or not sums[task][0][-1]:
+            model[task] = None
+    used = {t: telling(*sums[t]) for t in TASKS if model[t] is not None}
+    if not used:
+        return model
+    either = np.any(list(used.values()), axis=0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch["text"]]
+        for part, places, targets in _sampled(batches, fitted):
+            out = {"doc_id": part["doc_id"].to_numpy(), "features": [p[either[p]].astype(np.int32).tobytes() for p in places]}
+            for task in TASKS:
+                out |= {f"{task}_target": targets[task][0] if task in targets else 0.0, f"{task}_weight": targets[task][1] if task in targets else 0.0}
+            yield pd.DataFrame(out)
+
+    schema = "doc_id long, features binary, " + ", ".join(f"{t}_target double, {t}_weight double" for t in TASKS)
+    taken = chosen.mapInPandas(run, schema).collect()  # at most sample_rows, each with chosen features alone
+    taken.sort(key=lambda r: r["doc_id"])
+    rows = [np.frombuffer(r["features"], np.int32) for r in taken]
+    for task, chosen_here in used.items():
+        target, weight = (np.array([r[f"{task}_{x}"] for r in taken]) for x in ("target", "weight"))
+        model[task]["weights"] = fit_scorer([r[chosen_here[r]] for r in rows], target, weight)
+    return model
+
+
+def _sampled(batches: Iterator[pd.DataFrame], fitted: dict[str, dict]) -> Iterator[tuple[pd.DataFrame, list[np.ndarray], dict[str, tuple[np.ndarray, np.ndarray]]]]:
+    """Sampled documents with the features of their whole texts, and for each task targets and weights."""
+    abuse = _abuse_hashes()
+    for batch in batches:
+        for at in range(0, len(batch), 256):
+            part = batch.iloc[at : at + 256]
+            texts = [t if isinstance(t, str) else "" for t in part["text"]]
             words, counts, heads = word_hashes(texts, PREFIXES)
-            found, b = [], 0
+            places, voted, b = [], [], 0
             for text, n in zip(texts, counts.tolist()):
-                own = np.arange(b, b + n) if n <= FIT_WORDS else b + np.linspace(0, n - 1, FIT_WORDS).astype(int)
-                found.append(_features(words[own], heads[:, own], text).astype(np.int32).tobytes())
+                places.append(_features(words[b : b + n], heads[:, b : b + n], text))
+                voted.append(dict(zip(TASKS, votes(text, words[b : b + n], abuse))))
                 b += n
-            yield batch[names].assign(features=found)
+            targets = {}
+            for task, posterior in fitted.items():
+                person = part[f"__{task}_person"].to_numpy()
+                target = np.array([posterior[(*v[task], p)] for v, p in zip(voted, person.tolist())])
+                targets[task] = target, np.where(person == ABSTAIN, UNLABELLED_WEIGHT, 1.0)
+            yield part, places, targets
 
-    schema = "__quality binary, __toxic binary, __quality_person int, __toxic_person int, features binary"
-    taken = chosen.mapInPandas(run, schema).limit(2 * sample_rows).collect()  # repeated ids may bring more rows than ids
-    taken.sort(key=lambda r: (bytes(r["features"]), bytes(r["__quality"]), r["__quality_person"], r["__toxic_person"]))
-    rows = [np.frombuffer(r["features"], np.int32) for r in taken]
-    for task in TASKS:
-        if model[task] is None or not rows:
-            model[task] = None
-            continue
-        target = np.array([model[task]["posterior"][(*r[f"__{task}"], r[f"__{task}_person"])] for r in taken])
-        weight = np.array([UNLABELLED_WEIGHT if r[f"__{task}_person"] == ABSTAIN else 1.0 for r in taken])
-        model[task]["weights"] = fit_scorer(rows, target, weight)
-    return model
+
+def _feature_sums(chosen: DataFrame, fitted: dict[str, dict]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For each task the weight of the sampled documents, and of the bad ones, by feature; last that of all."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((len(TASKS), 2, FEATURES + 1), np.int64)
+        for _, places, targets in _sampled(batches, fitted):
+            for k, task in enumerate(TASKS):
+                if task in targets:
+                    target, weight = targets[task]
+                    for at, x, y in zip(places, np.rint(weight * UNIT).astype(int), np.rint(weight * target * UNIT).astype(int)):
+                        sums[k, 0, at] += x
+                        sums[k, 1, at] += y
+                        sums[k, :, -1] += x, y
+        for k in range(len(TASKS)):
+            at = np.flatnonzero(sums[k, 0])
+            yield pd.DataFrame({"task": k, "feature": at, "seen": sums[k, 0, at], "bad": sums[k, 1, at]})
+
+    found = chosen.mapInPandas(run, "task int, feature int, seen long, bad long").groupBy("task", "feature").agg(F.sum("seen").alias("seen"), F.sum("bad").alias("bad"))
+    table = found.toArrow()
+    sums = np.zeros((len(TASKS), 2, FEATURES + 1))
+    task, feature = table["task"].to_numpy(), table["feature"].to_numpy()
+    for i, name in enumerate(("seen", "bad")):
+        sums[task, i, feature] = table[name].to_numpy() / UNIT
+    return {t: (sums[k, 0], sums[k, 1]) for k, t in enumerate(TASKS)}
 
 
 def _weights(model: dict) -> dict[str, np.ndarray | None]:
