@@ -2,7 +2,7 @@
 
 A page is parsed once into blocks; each block knows the element subtrees it stands in, by hash. Subtrees are
 counted per host over all pages in Spark, and those that recur across many pages of their host are deleted, as are elements
-that are no text by their meaning (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments). A marked article is the page's own text: subtrees in
+that are no text by their meaning (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments). What stands in `main` or `article` is the page's own text: subtrees in
 it are never counted as template.
 """
 
@@ -43,7 +43,7 @@ DROPPED_NAMES = {
     "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar",
 }
 DROPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar"}
-ARTICLES = {"main": 1, "article": 2}
+ARTICLES = {"main", "article"}
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
@@ -67,23 +67,23 @@ def _dropped(tag: str, attributes: str) -> bool:
 
 
 class _Node:
-    """An open element: whether it is dropped, how surely it is the article, its first block, the hash of what it holds."""
+    """An open element: whether it is dropped, whether it stands in the article, its first block, the hash of what it holds."""
 
     __slots__ = ("tag", "dropped", "article", "first", "hash")
 
     def __init__(self, tag: str, parent: _Node | None, dropped: bool, first: int):
         self.tag, self.first = tag, first
         self.dropped = dropped or parent is not None and parent.dropped
-        self.article = max(ARTICLES.get(tag, 0), parent.article if parent else 0)
+        self.article = tag in ARTICLES or parent is not None and parent.article
         self.hash = blake2b(tag.encode("utf-8", "surrogatepass"), digest_size=8)
 
 
-def blocks(html: str) -> list[tuple[str | None, int, list[int]]]:
-    """The blocks of a page: text (null in dropped elements), how surely it is the article's, hashes of the subtrees it stands in, outer first.
+def blocks(html: str) -> list[tuple[str | None, bool, list[int]]]:
+    """The blocks of a page: text (null in dropped elements), whether it is the article's, hashes of the subtrees it stands in, outer first.
 
     Unclosed elements end where their parent ends; a paragraph ends at the next block.
     """
-    found: list[tuple[str | None, int, list[int]]] = []
+    found: list[tuple[str | None, bool, list[int]]] = []
     stack, text = [_Node("", None, False, 0)], []
     trees: list[tuple[int, int, int]] = []
 
@@ -155,7 +155,7 @@ def host(url: str = "url") -> str:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Staged row, page_id, url, host, whether an article is marked, and blocks of each page: text, whether it is the page's article, its subtrees.
+    """Staged row, page_id, url, host, and blocks of each page: text, its subtrees.
 
     Blocks of the article are never template, so their subtrees are left out.
     """
@@ -168,20 +168,13 @@ def parsed(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out, marked = [], []
+            out = []
             for html in batch["html"]:
                 found = blocks(html if isinstance(html, str) else "")
-                surest = max((a for t, a, _ in found if t is not None), default=0)
-                marked.append(surest > 0)
-                out.append(
-                    [
-                        {"text": t if a == surest else None, "trees": [] if surest and a == surest and t is not None else hashes}
-                        for t, a, hashes in found
-                    ]
-                )
-            yield batch.drop(columns="html").assign(marked=marked, blocks=out)
-
-    schema = "page_id long, known boolean, url string, host string, marked boolean, blocks array<struct<text string, trees array<long>>>"
+                out.append([{"text": t, "trees": [] if article and t is not None else hashes} for t, article, hashes in found])
+            yield batch.drop(columns="html").assign(blocks=out)
+
+    schema = "page_id long, known boolean, url string, host string, blocks array<struct<text string, trees array<long>>>"
     return stage(rows.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "pages")
 
 
@@ -197,20 +190,16 @@ def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, host, text, n_chars: one row per page (page_id, url, html).
 
-    Where a page marks its article, the text is the article's; else all blocks but those in dropped elements and in template
-    subtrees. Blocks are joined by one space in page order.
+    The text is all blocks but those in dropped elements and in template subtrees; what a page marks as main or article is no
+    template. Blocks are joined by one space in page order.
     Null and empty pages, and pages without text, give an empty text. Pages without a host share one. Repeated rows give repeated rows
     (and count as pages of their host); null ids stay null. An empty table gives no rows; further columns are left out.
     """
     rows = parsed(pages)
     cut = templates(rows, min_pages, min_share)
-    # Where an article is marked its blocks are the text, whatever is cut around them: only other pages meet the templates.
-    marked, unmarked = rows.where("marked"), rows.where("not marked")
-    blocks_in = unmarked.select("row", "host", F.posexplode("blocks").alias("place", "block"))
+    blocks_in = rows.select("row", "host", F.posexplode("blocks").alias("place", "block")).where("block.text is not null")
     gone = blocks_in.select("row", "place", "host", F.explode("block.trees").alias("tree")).join(cut, ["host", "tree"])
     gone = gone.groupBy("row").agg(F.collect_set("place").alias("gone"))
-    left = unmarked.join(gone, "row", "left")
-    both = left.select(*rows.columns, "gone").union(marked.select(*rows.columns, F.lit(None).cast("array<int>").alias("gone")))
     said = "filter(blocks, (b, i) -> b.text is not null and (gone is null or not array_contains(gone, i)))"
-    out = both.withColumn("text", F.expr(f"array_join(transform({said}, b -> b.text), ' ')"))
+    out = rows.join(gone, "row", "left").withColumn("text", F.expr(f"array_join(transform({said}, b -> b.text), ' ')"))
     return out.select(F.when(F.col("known"), F.col("page_id")).alias("page_id"), "url", "host", "text", F.length("text").cast("long").alias("n_chars"))
