@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from clinlake.llm.common import stage
 
-#: A subtree is template if it is on at least this many pages of its host, and on at least this share of them.
+#: A subtree is template if it is on at least this many pages of its host, and on at least this share of them;
+#: on this many pages it is template however many the host has.
 MIN_PAGES = 3
 MIN_SHARE = 0.2
+ENOUGH_PAGES = 20
 
 # Elements of HTML by their role.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -180,11 +182,12 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """host, tree: subtrees that recur across many pages of their host."""
-    # A page counts a subtree once; counts are combined before each shuffle, so a hot host is no hot task.
-    each = pages.select("host", F.explode(F.array_distinct(F.flatten("blocks.trees"))).alias("tree"))
-    counts = each.groupBy("host", "tree").agg(F.count("*").alias("n"))
-    totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    return counts.where(F.col("n") >= min_pages).join(totals, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "tree")
+    # A url counts a subtree once, however often it was fetched; counts are combined before each shuffle, so a hot host is no hot task.
+    named = pages.select("host", F.xxhash64(F.coalesce("url", F.col("row").cast("string"))).alias("page"), F.array_distinct(F.flatten("blocks.trees")).alias("trees"))
+    each = named.select("host", "page", F.explode("trees").alias("tree")).distinct()
+    counts = each.groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    totals = named.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    return counts.join(totals, "host").where(F.col("n") >= F.least(F.lit(ENOUGH_PAGES), min_share * F.col("pages"))).select("host", "tree")
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -193,7 +196,7 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     The text is all blocks but those in dropped elements and in template subtrees; what a page marks as main or article is no
     template. Blocks are joined by one space in page order.
     Null and empty pages, and pages without text, give an empty text. Pages without a host share one. Repeated rows give repeated rows
-    (and count as pages of their host); null ids stay null. An empty table gives no rows; further columns are left out.
+    (and count as one page of their host); null ids stay null. An empty table gives no rows; further columns are left out.
     """
     rows = parsed(pages)
     cut = templates(rows, min_pages, min_share)
