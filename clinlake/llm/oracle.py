@@ -67,5 +67,45 @@ from hashed join leaf using (r)
 """
 
 
+_PHRASES = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), said as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), places as (
+    select lang, w, unnest(range(1, len(w) + 1)) as i from said where len(w) > 0
+), counts as (
+    select lang, size, phrase, count(*) as f from (
+        select lang, size, array_to_string(w[i : i + size - 1], ' ') as phrase
+        from places, range(1, 4) t(size) where i + size - 1 <= len(w))
+    group by all
+), totals as (
+    select lang, sum(f)::bigint as n from counts where size = 1 group by lang
+), candidates as (
+    select lang, size, phrase, f as a, string_split(phrase, ' ') as w from counts where size > 1 and f >= 10
+), inside as (
+    select lang, phrase, max(a) as longer from (
+        select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as phrase from candidates where size = 3)
+    group by all
+), cuts as (
+    select c.lang, c.phrase, c.a, k, x.f as l, y.f as r,
+        (1000000::hugeint * c.a * c.a // (x.f::hugeint * y.f::hugeint))::bigint as score
+    from (select *, unnest(range(1, size)) as k from candidates) c
+    join counts x on x.lang = c.lang and x.size = k and x.phrase = array_to_string(w[1:k], ' ')
+    join counts y on y.lang = c.lang and y.size = c.size - k and y.phrase = array_to_string(w[k + 1 : c.size], ' ')
+), scored as (
+    select lang, phrase, a, arg_min(struct_pack(l := l, r := r, score := score), score * 4 + k) as s from cuts
+    where not exists (select 1 from inside i where i.lang = cuts.lang and i.phrase = cuts.phrase and 100 * i.longer >= 50 * cuts.a)
+    group by all
+), ranked as (
+    select lang, row_number() over (partition by lang order by s.score desc, a desc, phrase) as rank, phrase, a, s.l as l, s.r as r, s.score as score
+    from scored
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_typed_parts": _CHAT, "op9_extendible_hashing": _shards(), "op10_filter_cascade": _urls()}
+    return {"op12_phrase_collocations": _PHRASES, "op5_typed_parts": _CHAT, "op9_extendible_hashing": _shards(), "op10_filter_cascade": _urls()}

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clinlake.llm import ann, chat, decontaminate, near_dup, packing, quality, secret_scan, sharding, site_text, url_filter
+from clinlake.llm import (
+    ann, chat, collocations, decontaminate, ga_packing, near_dup, packing, quality, secret_scan, sharding, site_text, url_filter, whitening,
+)
 from clinlake.llm.common import table
 
 
@@ -64,9 +66,22 @@ def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.listed_by_words(url_filter.domains(pages)))
 
 
+def op11_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents"))
+
+
+def op13_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ga_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         op1_adaptive_scan, op2_decontamination, op3_site_text, op4_lsh_forest, op5_typed_parts,
         op6_weak_labels, op7_ownership, op8_bin_slack, op9_extendible_hashing, op10_filter_cascade,
+        op11_qdwh_whitening, op12_phrase_collocations, op13_genetic_packing,
     ]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
