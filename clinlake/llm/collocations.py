@@ -1,7 +1,7 @@
 """Phrase collocations from counts in burstable hash containers.
 
 A task keeps its counts in a shallow trie over word ids: a container is a hash table of phrases; one that grows beyond
-its size bursts into containers by the next word. When the task's tables are full, whole subtrees are written out as sorted runs
+its size bursts into containers by the next bits of the ids. When the task's tables are full, whole subtrees are written out as sorted runs
 and freed. The runs are dealt by ranges of phrases, so that each partition holds the runs of some prefixes, and merged there.
 Words and pairs are counted first. Triples are counted in a second pass, where both pairs are frequent: a
 bit map of the frequent pairs, of bounded size, leaves out most others, and the merge drops those that it lets through.
@@ -9,11 +9,14 @@ bit map of the frequent pairs, of bounded size, leaves out most others, and the
 
 from __future__ import annotations
 
+import itertools
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -25,17 +28,20 @@ MIN_COUNT = 10
 TOP = 2000
 INSIDE_PCT = 50
 #: A container with more phrases bursts; a task with more phrases writes subtrees out until half of them are gone.
-BURST = 4096
+BURST = 16384
 MAX_PHRASES = 1_200_000
 #: Words are numbered anew when a task has met this many, or this many bytes of them.
 MAX_WORDS, MAX_WORD_BYTES = (1 << 21) - 2, 64 << 20
 #: Text is read in chunks of about this many bytes.
 CHUNK_BYTES = 1 << 20
+ROWS_PER_BATCH = 100_000
 #: The bit map has some bits for each frequent pair, at most 2^28 (32 MB): with more pairs it lets more triples through.
 BITS_PER_PAIR, MOST_BITS = 16, 28
 _ID_BITS = 21
 _PLACES = (2 * _ID_BITS, _ID_BITS, 0)
 _BLOCK_BITS = 15
+#: A level of the trie takes this many bits of the word ids, a third of a word; no node is deeper than two words.
+_STEP_BITS, DEEPEST = 7, 6
 
 
 def _letters() -> bytes:
@@ -65,7 +71,7 @@ class Words(dict):
 
 
 class Trie:
-    """A node: a hash container of phrases with their counts, or, once burst, children by the word at its depth."""
+    """A node: a hash container of phrases with their counts, or, once burst, children by the next bits of the word ids."""
 
     __slots__ = ("depth", "table", "children")
 
@@ -74,39 +80,47 @@ class Trie:
 
     def add(self, keys: np.ndarray, counts: np.ndarray, burst: int) -> int:
         """Add sorted distinct keys; gives how many were new."""
-        if self.children is None:
-            table = self.table
-            before = len(table)
-            for key, n in zip(keys.tolist(), counts.tolist()):
-                table[key] = table.get(key, 0) + n
-            new = len(table) - before
-            if len(table) > burst and self.depth < 2:
-                held = sorted(table.items())
-                self.table, self.children = {}, {}
-                self._deal(np.array([k for k, _ in held], np.int64), np.array([n for _, n in held], np.int64), burst)
-            return new
-        return self._deal(keys, counts, burst)
+        if self.children is not None:
+            return self._deal(keys, counts, burst)
+        table = self.table
+        before = len(table)
+        for key, n in zip(keys.tolist(), counts.tolist()):
+            table[key] = table.get(key, 0) + n
+        new = len(table) - before
+        if len(table) > burst and self.depth < DEEPEST:
+            held = self.arrays()
+            order = np.argsort(held[0])
+            self.table, self.children = {}, {}
+            self._deal(held[0][order], held[1][order], burst)
+        return new
 
     def _deal(self, keys: np.ndarray, counts: np.ndarray, burst: int) -> int:
-        words = keys >> _PLACES[self.depth]
+        words = keys >> 63 - _STEP_BITS * (self.depth + 1)
         cuts = [0, *(np.flatnonzero(np.diff(words)) + 1).tolist(), len(keys)]
         new = 0
-        for a, b in zip(cuts, cuts[1:]):
-            word = int(words[a])
-            if word not in self.children:
-                self.children[word] = Trie(self.depth + 1)
-            new += self.children[word].add(keys[a:b], counts[a:b], burst)
+        for a, b, word in zip(cuts, cuts[1:], words[cuts[:-1]].tolist()):
+            child = self.children.get(word)
+            if child is None:
+                child = self.children[word] = Trie(self.depth + 1)
+            new += child.add(keys[a:b], counts[a:b], burst)
         return new
 
-    def size(self) -> int:
-        return len(self.table) if self.children is None else sum(c.size() for c in self.children.values())
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """All phrases below this node and their counts."""
+        tables = [node.table for node in self._containers()]
+        n = sum(map(len, tables))
+        keys = np.fromiter(itertools.chain.from_iterable(tables), np.int64, n)
+        return keys, np.fromiter(itertools.chain.from_iterable(t.values() for t in tables), np.int64, n)
 
-    def items(self) -> Iterator[tuple[int, int]]:
+    def _containers(self) -> Iterator[Trie]:
         if self.children is None:
-            yield from self.table.items()
+            yield self
         else:
             for child in self.children.values():
-                yield from child.items()
+                yield from child._containers()
+
+    def size(self) -> int:
+        return sum(len(node.table) for node in self._containers())
 
 
 class Counter:
@@ -114,9 +128,9 @@ class Counter:
 
     def __init__(self, sizes: tuple[int, ...], pairs: np.ndarray | None, max_phrases: int, burst: int):
         self.sizes, self.pairs, self.max_phrases, self.burst = sizes, pairs, max_phrases, burst
-        self.letters, self.words, self.tries, self.held, self.run = _letters(), Words(), {}, 0, 0
+        self.letters, self.words, self.tries, self.held = _letters(), Words(), {}, 0
 
-    def feed(self, lang: str, texts: list[str]) -> Iterator[pd.DataFrame]:
+    def feed(self, lang: str, texts: list[str]) -> Iterator[pa.RecordBatch]:
         data = "\n".join(texts).encode("utf-8", "surrogatepass").translate(self.letters)
         at, carry = 0, np.zeros(0, np.int64)
         while at < len(data):
@@ -161,14 +175,14 @@ class Counter:
                 keys, counts = np.unique(key, return_counts=True)
                 self.held += self.tries.setdefault(lang, Trie()).add(keys, counts, self.burst)
 
-    def _write(self, keep: int) -> Iterator[pd.DataFrame]:
+    def _write(self, keep: int) -> Iterator[pa.RecordBatch]:
         """Write out and free whole subtrees, largest first, until at most `keep` phrases are held."""
         branches = []
         for lang, root in self.tries.items():
             inner = root.children.items() if root.children is not None else [(None, root)]
             branches += [(node.size(), lang, word, node) for word, node in inner]
         branches.sort(key=lambda b: -b[0])
-        names, mask = self.words.names, (1 << _ID_BITS) - 1
+        names, mask = pa.array(self.words.names, pa.binary()).cast(pa.string()), (1 << _ID_BITS) - 1
         chosen: dict[str, list[Trie]] = {}
         for size, lang, word, node in branches:
             if self.held <= keep:
@@ -180,19 +194,20 @@ class Counter:
             else:
                 del self.tries[lang].children[word]
         for lang in sorted(chosen):
-            run = []
-            for node in chosen[lang]:
-                for key, n in node.items():
-                    ids = (key >> _PLACES[0], key >> _ID_BITS & mask, key & mask)
-                    run.append((b" ".join([names[i] for i in ids if i]), sum(i > 0 for i in ids), n))
-            run.sort()
-            for a in range(0, len(run), 100_000):
-                some = run[a : a + 100_000]
-                phrases = [p.decode("utf-8", "surrogatepass") for p, _, _ in some]
-                yield pd.DataFrame({"lang": lang, "phrase": phrases, "size": [s for _, s, _ in some], "f": [n for _, _, n in some], "run": self.run})
-        self.run += 1
-
-    def close(self) -> Iterator[pd.DataFrame]:
+            held = [node.arrays() for node in chosen.pop(lang)]
+            keys, counts = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(keys)
+            keys, counts = keys[order], counts[order]
+            ids = [keys >> _PLACES[0], keys >> _ID_BITS & mask, keys & mask]
+            for size in self.sizes:
+                which = np.flatnonzero(sum(i > 0 for i in ids) == size)
+                for a in range(0, len(which), ROWS_PER_BATCH):
+                    at = which[a : a + ROWS_PER_BATCH]
+                    phrase = pc.binary_join_element_wise(*[names.take(pa.array(i[at])) for i in ids[:size]], " ")
+                    columns = [pa.array([lang]).take(pa.array(np.zeros(len(at), np.int32))), phrase, pa.array(np.full(len(at), size, np.int32)), pa.array(counts[at])]
+                    yield pa.RecordBatch.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns], ["lang", "phrase", "size", "f"])
+
+    def close(self) -> Iterator[pa.RecordBatch]:
         yield from self._write(0)
 
 
@@ -203,19 +218,19 @@ def pair_places(lang: str, first: np.ndarray, second: np.ndarray, bits: int) ->
 
 
 def _counts(rows: DataFrame, sizes: tuple[int, ...], pairs: object, max_phrases: int, burst: int) -> DataFrame:
-    """Sorted runs of the phrases of these sizes, as tasks wrote them: lang, phrase, size, f, run."""
+    """Sorted runs of the phrases of these sizes, as tasks wrote them: lang, phrase, size, f."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(sizes, None if pairs is None else np.frombuffer(pairs.value, np.uint8), max_phrases, burst)
-        task = TaskContext.get().partitionId() << 20
         for batch in batches:
-            for lang, texts in batch.groupby("lang", sort=True)["text"]:
-                for part in counter.feed(lang, texts.tolist()):
-                    yield part.assign(run=part["run"] + task)
-        for part in counter.close():
-            yield part.assign(run=part["run"] + task)
-
-    return stage(rows.mapInPandas(run, "lang string, phrase string, size int, f long, run long"), "runs")
+            texts: dict[str, list[str]] = {}
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                texts.setdefault(lang, []).append(text)
+            for lang, said in texts.items():
+                yield from counter.feed(lang, said)
+        yield from counter.close()
+
+    return stage(rows.mapInArrow(run, "lang string, phrase string, size int, f long"), "runs")
 
 
 def _merged(runs: DataFrame) -> DataFrame:

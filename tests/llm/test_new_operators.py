@@ -190,11 +190,11 @@ def test_a_burst_trie_counts_as_a_plain_one():
     rng = np.random.default_rng(1)
     small, plain = collocations.Trie(), Counter()
     for _ in range(20):
-        parts = rng.integers(1, 12, (3, 300))
+        parts = rng.integers(1, 2**21, (3, 300)) % np.array([[1 << 20], [9], [5]])
         keys, counts = np.unique(parts[0] << 42 | parts[1] << 21 | parts[2], return_counts=True)
         small.add(keys, counts, 8)
         plain.update(dict(zip(keys.tolist(), counts.tolist())))
-    assert small.children is not None and dict(small.items()) == dict(plain) and small.size() == len(plain)
+    assert small.children is not None and dict(zip(*(x.tolist() for x in small.arrays()))) == dict(plain) and small.size() == len(plain)
 
 
 # -- packing --------------------------------------------------------------------------------------
