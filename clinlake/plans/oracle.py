@@ -297,7 +297,7 @@ _BODIES = {
         SELECT 'bundles/customer/' || c_custkey AS _source_file FROM customer
         WHERE c_custkey % 2 = 1 OR c_custkey % 50 = 24""",
     "identifiers_exploded": """
-        SELECT fhir_patient_id, 'https://hospital.example.in/mrn' AS system, mrn AS value FROM patient
+        SELECT fhir_patient_id, 'urn:clinlake:registration' AS system, mrn AS value FROM patient
         UNION ALL SELECT fhir_patient_id, 'https://healthid.ndhm.gov.in', abha_id FROM patient WHERE abha_id IS NOT NULL""",
     # -- silver
     "silver_patient": "SELECT * EXCLUDE (k, nation, _source_file) FROM patient",
@@ -446,9 +446,9 @@ _BODIES = {
     "report_bronze_type_distribution": "SELECT resource_type, count(*) AS record_count FROM resources GROUP BY 1",
     "report_patient_spot_check": """
         SELECT fhir_patient_id AS patient_id, CAST(birth_date AS VARCHAR) AS birth_date, gender_code AS gender,
-            CASE WHEN abha_id IS NULL THEN 'https://hospital.example.in/mrn'
-                 WHEN k % 2 = 0 THEN 'https://healthid.ndhm.gov.in, https://hospital.example.in/mrn'
-                 ELSE 'https://hospital.example.in/mrn, https://healthid.ndhm.gov.in' END AS identifier_systems
+            CASE WHEN abha_id IS NULL THEN 'urn:clinlake:registration'
+                 WHEN k % 2 = 0 THEN 'https://healthid.ndhm.gov.in, urn:clinlake:registration'
+                 ELSE 'urn:clinlake:registration, https://healthid.ndhm.gov.in' END AS identifier_systems
         FROM patient ORDER BY fhir_patient_id LIMIT 5""",
     "report_person_stats": """
         SELECT count(*) AS total_persons, count(DISTINCT k) AS unique_persons,

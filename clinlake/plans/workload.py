@@ -57,7 +57,7 @@ IDENTIFIERS = f"""transform(
     CASE WHEN c_custkey % 3 <> 0 THEN array('mrn') WHEN c_custkey % 2 = 0 THEN array('health', 'mrn')
          ELSE array('mrn', 'health') END,
     kind -> IF(kind = 'mrn',
-        named_struct('system', 'https://hospital.example.in/mrn', 'value', concat('MRN-', c_custkey)),
+        named_struct('system', 'urn:clinlake:registration', 'value', concat('MRN-', c_custkey)),
         named_struct('system', '{config.HEALTH_ID_SYSTEM}', 'value', {HEALTH_ID})))"""
 EXTENSIONS = f"""transform(
     IF(c_custkey % 2 = 0, array('race'), array('other', 'race')),

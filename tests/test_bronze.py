@@ -2,7 +2,7 @@ import hashlib
 import json
 
 import pytest
-from conftest import CONDITION, CONSENT, LOADED, PATIENT, bundle_of
+from conftest import CONDITION, CONSENT, HEALTH_ID, LOADED, PATIENT, bundle_of
 
 from clinlake.operators import bronze
 from clinlake.sources import files
@@ -14,7 +14,7 @@ def resources(df):
 
 def test_resources_of_a_bundle(bundles):
     rows = bronze.build_bronze(bundles(bundle_of(PATIENT, CONDITION))).collect()
-    assert {(r.resource_type, r.fhir_resource_id) for r in rows} == {("Patient", "pat-1"), ("Condition", "con-1")}
+    assert {(r.resource_type, r.fhir_resource_id) for r in rows} == {("Patient", "p-31"), ("Condition", "c-9")}
     assert {r.resource_type: json.loads(r.resource_json) for r in rows} == {"Patient": PATIENT, "Condition": CONDITION}
 
 
@@ -48,13 +48,13 @@ def test_mixed_entries_keep_the_valid_ones(bundles):
     text = json.dumps(
         {"entry": [{"resource": PATIENT}, {"fullUrl": "u"}, {"resource": {"id": "r"}}, {"resource": CONDITION}]}
     )
-    assert resources(bundles(text)) == [("Patient", "pat-1"), ("Condition", "con-1")]
+    assert resources(bundles(text)) == [("Patient", "p-31"), ("Condition", "c-9")]
 
 
 def test_entry_that_is_no_object_does_not_void_the_bundle(bundles):
     text = json.dumps({"entry": [5, None, "x", [], {"resource": PATIENT}]})
     df = bundles(text, bundle_of(CONDITION))
-    assert sorted(resources(df)) == [("Condition", "con-1"), ("Patient", "pat-1")]
+    assert sorted(resources(df)) == [("Condition", "c-9"), ("Patient", "p-31")]
 
 
 def test_resource_without_id_is_kept_and_named_by_its_hash(bundles):
@@ -67,7 +67,7 @@ def test_resource_without_id_is_kept_and_named_by_its_hash(bundles):
 def test_lineage_id_and_content_hash(bundles):
     text = bundle_of(PATIENT)
     row = bronze.build_bronze(bundles(text)).first()
-    assert row._lineage_id == hashlib.sha256(b"file-0.json|pat-1").hexdigest()
+    assert row._lineage_id == hashlib.sha256(b"file-0.json|p-31").hexdigest()
     assert row._content_hash == hashlib.sha256(text.encode()).hexdigest()
     assert row._loaded_at == LOADED
 
@@ -94,7 +94,7 @@ def test_skipped_entries_are_counted(bundles):
 
 def test_route(bundles):
     landed = bronze.build_bronze(bundles(bundle_of(PATIENT, CONDITION, CONSENT)))
-    assert [r.fhir_resource_id for r in bronze.route(landed, "Consent").collect()] == ["cns-1"]
+    assert [r.fhir_resource_id for r in bronze.route(landed, "Consent").collect()] == ["k-1"]
 
 
 def test_new_files_by_path_and_content(bundles):
@@ -106,8 +106,9 @@ def test_new_files_by_path_and_content(bundles):
 def test_identifiers_exploded(raw):
     rows = bronze.identifiers_exploded(raw(PATIENT, {"resourceType": "Patient", "id": "none"})).collect()
     assert {(r.fhir_patient_id, r.system, r.value) for r in rows} == {
-        ("pat-1", "https://healthid.ndhm.gov.in", "91-1234-5678-9012"),
-        ("pat-1", "https://hospital.example.org/mrn", "M-7"),
+        ("p-31", "https://healthid.ndhm.gov.in", HEALTH_ID),
+        ("p-31", "urn:example:ward-list", "W/204"),
+        ("p-31", "urn:example:other", "second"),
     }
 
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 import xxhash
 from conftest import (
-    CONDITION, CONSENT, ENCOUNTER, MEDICATION, OBSERVATION, PATIENT, one, without,
+    CONDITION, CONSENT, ENCOUNTER, HEALTH_ID, ICD10, MEDICATION, OBSERVATION, PATIENT, SNOMED, one, without,
 )
 from pyspark.sql import functions as F
 
@@ -29,14 +29,14 @@ def visits(raw):
 
 # -- keys ------------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("text", ["patient-001", "cond-001", "", "é", "x" * 100])
+@pytest.mark.parametrize("text", ["p-31", "urn:uuid:7", "", "é", "x" * 100])
 def test_surrogate_key_is_the_absolute_hash(scalar, text):
     got = scalar(X.surrogate_key(F.col("x")), row=(text,))
     assert got == key_of(text) and 0 <= got < 2**63
 
 
 def test_surrogate_key_is_pinned(scalar):
-    assert scalar(X.surrogate_key(F.col("x")), row=("patient-001",)) == 9062478744355106917
+    assert scalar(X.surrogate_key(F.col("x")), row=("p-31",)) == 8375838412878165151
 
 
 def test_surrogate_key_of_null_is_null(scalar):
@@ -56,9 +56,9 @@ def person(raw, lookups, *patients):
 
 def test_person_row(raw, lookups):
     r = one(person(raw, lookups, PATIENT))
-    assert r.person_id == key_of("pat-1") and r.person_source_value == "91-1234-5678-9012"
-    assert (r.year_of_birth, r.month_of_birth, r.day_of_birth) == (1985, 6, 15)
-    assert (r.gender_concept_id, r.gender_source_value) == (8532, "female")
+    assert r.person_id == key_of("p-31") and r.person_source_value == HEALTH_ID
+    assert (r.year_of_birth, r.month_of_birth, r.day_of_birth) == (1972, 2, 29)
+    assert (r.gender_concept_id, r.gender_source_value) == (8507, "male")
     assert (r.race_concept_id, r.ethnicity_concept_id, r.race_source_concept_id) == (0, 0, 0)
     assert r.provider_id is None and r.care_site_id is None and r.location_id is None
     assert r._transformed_at is not None
@@ -80,7 +80,7 @@ def test_race_is_matched_exactly(raw, lookups):
 
 
 def test_person_without_national_id_is_known_by_its_own(raw, lookups):
-    assert one(person(raw, lookups, without(PATIENT, "identifier"))).person_source_value == "pat-1"
+    assert one(person(raw, lookups, without(PATIENT, "identifier"))).person_source_value == "p-31"
 
 
 def test_empty_vocabulary_gives_zero(raw, concept):
@@ -92,12 +92,12 @@ def test_empty_vocabulary_gives_zero(raw, concept):
 
 def test_visit_row(raw, persons):
     r = one(gold.omop_visit_occurrence(silver.silver_encounter(raw(ENCOUNTER)), persons))
-    assert (r.visit_occurrence_id, r.person_id) == (key_of("enc-1"), key_of("pat-1"))
-    assert (r.visit_type_concept_id, r.visit_concept_id, r.visit_source_value) == (9202, 581399, "AMB")
-    assert (r.visit_start_date, r.visit_end_date) == (dt.date(2020, 3, 15), dt.date(2020, 3, 15))
-    assert (r.duration_minutes, r.preceding_visit_occurrence_id) == (60, None)
-    assert (r.encounter_type_code, r.visit_source_concept_id, r.hfr_facility_code) == ("185349003", 0, "HFR_1")
-    assert r.year_start == 2020
+    assert (r.visit_occurrence_id, r.person_id) == (key_of("v-5"), key_of("p-31"))
+    assert (r.visit_type_concept_id, r.visit_concept_id, r.visit_source_value) == (9201, 581399, "IMP")
+    assert (r.visit_start_date, r.visit_end_date) == (dt.date(2016, 8, 18), dt.date(2016, 8, 19))
+    assert (r.duration_minutes, r.preceding_visit_occurrence_id) == (585, None)
+    assert (r.encounter_type_code, r.visit_source_concept_id, r.hfr_facility_code) == ("32485007", 0, "IN2910000042")
+    assert r.year_start == 2016
 
 
 @pytest.mark.parametrize("code, concept_id", [("AMB", 9202), ("IMP", 9201), ("EMER", 9203), ("HH", 9204), ("VR", 0), (None, 0)])
@@ -131,26 +131,26 @@ def condition(raw, persons, lookups, **changes):
     return one(gold.omop_condition_occurrence(frame, persons, lookups["condition"]))
 
 
-def coding(code, system="http://snomed.info/sct"):
+def coding(code, system=SNOMED):
     return {"coding": [{"system": system, "code": code}] if system else [{"code": code}]}
 
 
 def test_condition_row(raw, persons, lookups):
     r = condition(raw, persons, lookups)
-    assert (r.condition_occurrence_id, r.person_id) == (key_of("con-1"), key_of("pat-1"))
-    assert (r.condition_concept_id, r.condition_type_concept_id, r.condition_source_concept_id) == (201826, 32882, 0)
-    assert (r.condition_start_date, r.condition_end_date, r.year_start) == (dt.date(2020, 3, 10), None, 2020)
+    assert (r.condition_occurrence_id, r.person_id) == (key_of("c-9"), key_of("p-31"))
+    assert (r.condition_concept_id, r.condition_type_concept_id, r.condition_source_concept_id) == (317009, 32882, 0)
+    assert (r.condition_start_date, r.condition_end_date, r.year_start) == (dt.date(2016, 7, 1), None, 2016)
 
 
 @pytest.mark.parametrize(
     "code, concept_id",
     [
-        (coding("22298006"), 4329041),
-        (coding("99999999"), 0),
-        (coding("387458008"), 0),  # exists, in another domain
-        (coding("44054006", system=None), 201826),
-        (coding("44054006", system="urn:unknown"), 201826),
-        (coding("44054006", system="http://hl7.org/fhir/sid/icd-10"), 0),  # another vocabulary's code
+        (coding("38341003"), 316866),
+        (coding("no-such"), 0),
+        (coding("dust-7"), 0),  # exists, in another domain
+        (coding("195967001", system=None), 317009),
+        (coding("195967001", system="urn:unknown"), 317009),
+        (coding("195967001", system=ICD10), 0),  # another vocabulary's code
         ({"text": "no coding"}, 0),
     ],
 )
@@ -171,8 +171,8 @@ def test_condition_stop_reason(raw, persons, lookups, status, reason):
 def test_drug_row(raw, persons, lookups):
     r = one(gold.omop_drug_exposure(silver.silver_medication_request(raw(MEDICATION)), persons, lookups["drug"]))
     # The extension vocabulary has the same code: the lower id is taken, the row is not repeated.
-    assert (r.drug_exposure_id, r.drug_concept_id, r.drug_type_concept_id) == (key_of("med-1"), 1502826, 38000177)
-    assert (r.quantity, r.dose_unit, r.effective_drug_dose) == (500.0, "mg", 2.0)
+    assert (r.drug_exposure_id, r.drug_concept_id, r.drug_type_concept_id) == (key_of("m-2"), 1332419, 38000177)
+    assert (r.quantity, r.dose_unit, r.effective_drug_dose) == (2.5, "tablet", 1.5)
     assert (r.days_supply, r.refills, r.lot_number, r.visit_occurrence_id) == (None, None, None, None)
 
 
@@ -183,12 +183,12 @@ def test_drug_row(raw, persons, lookups):
 def test_drug_end(raw, persons, lookups, status, ended, reason):
     frame = silver.silver_medication_request(raw(without(MEDICATION, status=status)))
     r = one(gold.omop_drug_exposure(frame, persons, lookups["drug"]))
-    assert r.drug_exposure_end_date == (dt.date(2020, 3, 15) if ended else None) and r.stop_reason == reason
+    assert r.drug_exposure_end_date == (dt.date(2016, 8, 19) if ended else None) and r.stop_reason == reason
 
 
 # -- measurement and observation ---------------------------------------------------------------
 
-CODED = {"coding": [{"code": "10828004"}]}
+CODED = {"coding": [{"code": "260385009"}]}
 
 
 @pytest.mark.parametrize(
@@ -210,16 +210,16 @@ def test_routing_by_value(raw, drop, add, measured, observed):
 def test_measurement_row(raw, persons, visits, lookups):
     frame = silver.silver_observation(raw(OBSERVATION))
     r = one(gold.omop_measurement(frame, persons, visits, lookups["measurement"]))
-    assert (r.measurement_id, r.visit_occurrence_id) == (key_of("obs-1"), key_of("enc-1"))
-    assert (r.measurement_concept_id, r.measurement_type_concept_id) == (3027018, 38000280)
-    assert (r.value_as_number, r.unit_source_value, r.unit_source_display) == (72.0, "/min", "beats/minute")
-    assert (r.range_low, r.range_high, r.measurement_date) == (60.0, 100.0, dt.date(2020, 3, 15))
-    assert r.observation_category_source_value == "vital-signs"
+    assert (r.measurement_id, r.visit_occurrence_id) == (key_of("o-77"), key_of("v-5"))
+    assert (r.measurement_concept_id, r.measurement_type_concept_id) == (3004249, 38000280)
+    assert (r.value_as_number, r.unit_source_value, r.unit_source_display) == (131.5, "mm[Hg]", "millimetres")
+    assert (r.range_low, r.range_high, r.measurement_date) == (90.0, 139.5, dt.date(2016, 8, 18))
+    assert r.observation_category_source_value == "exam"
 
 
 def test_same_code_in_another_vocabulary(raw, persons, visits, lookups):
-    snomed = silver.silver_observation(raw(without(OBSERVATION, code=coding("8867-4"))))
-    assert one(gold.omop_measurement(snomed, persons, visits, lookups["measurement"])).measurement_concept_id == 3099999
+    snomed = silver.silver_observation(raw(without(OBSERVATION, code=coding("8480-6"))))
+    assert one(gold.omop_measurement(snomed, persons, visits, lookups["measurement"])).measurement_concept_id == 90000003
 
 
 def test_observation_without_known_visit_gets_zero(raw, persons, visits, lookups):
@@ -233,15 +233,15 @@ def test_observation_without_known_visit_gets_zero(raw, persons, visits, lookups
 def test_observation_row(raw, persons, visits, lookups):
     frame = silver.silver_observation(raw(without(OBSERVATION, valueCodeableConcept=CODED)))
     r = one(gold.omop_observation(frame, persons, visits, lookups["observation"], lookups["value"]))
-    assert (r.observation_id, r.observation_concept_id) == (key_of("obs-1"), 3027018)
-    assert (r.value_as_concept_id, r.value_as_number, r.value_as_string) == (4126681, None, None)
-    assert r.obs_event_field_source_value == "vital-signs"
+    assert (r.observation_id, r.observation_concept_id) == (key_of("o-77"), 3004249)
+    assert (r.value_as_concept_id, r.value_as_number, r.value_as_string) == (9189, None, None)
+    assert r.obs_event_field_source_value == "exam"
 
 
 def test_observation_number_is_kept_without_a_code(raw, persons, visits, lookups):
     frame = silver.silver_observation(raw(without(OBSERVATION, valueString="note")))
     r = one(gold.omop_observation(frame, persons, visits, lookups["observation"], lookups["value"]))
-    assert (r.value_as_number, r.value_as_string, r.value_as_concept_id) == (72.0, "note", 0)
+    assert (r.value_as_number, r.value_as_string, r.value_as_concept_id) == (131.5, "note", 0)
 
 
 # -- lineage and contracts ----------------------------------------------------------------------
@@ -274,8 +274,8 @@ def test_lineage_audit(all_gold):
     assert set(rows) == {
         "person", "visit_occurrence", "condition_occurrence", "drug_exposure", "measurement", "observation"
     }
-    assert rows["person"].record_id == str(key_of("pat-1"))
-    assert rows["person"].fhir_resource_id == "91-1234-5678-9012"
+    assert rows["person"].record_id == str(key_of("p-31"))
+    assert rows["person"].fhir_resource_id == HEALTH_ID
     assert rows["drug_exposure"].fhir_resource_id is None
     assert gold.trace_lineage(audit, lineage_id="lin-0").count() == 6
     assert gold.trace_lineage(audit, source_file="other").count() == 0
@@ -297,8 +297,8 @@ def test_gold_meets_the_contracts(all_gold):
 
 
 def test_contract_keeps_source_codes(all_gold):
-    assert one(contracts.to_cdm(all_gold["omop_drug_exposure"], "drug_exposure")).drug_source_value == "860975"
-    assert one(contracts.to_cdm(all_gold["omop_measurement"], "measurement")).measurement_source_value == "8867-4"
+    assert one(contracts.to_cdm(all_gold["omop_drug_exposure"], "drug_exposure")).drug_source_value == "197361"
+    assert one(contracts.to_cdm(all_gold["omop_measurement"], "measurement")).measurement_source_value == "8480-6"
 
 
 def test_contract_violation_is_found(spark):
@@ -318,9 +318,9 @@ def test_profile_detection(raw):
 @pytest.mark.parametrize(
     "value, status",
     [
-        (None, "Missing"), ("91-1234-5678-9012", "Valid"), ("9-1234-5678-9012", "Invalid"),
-        ("91-1234-5678-90123", "Invalid"), ("91123456789012", "Invalid"),
-        ("0a1b2c3d-aaaa-bbbb-cccc-0123456789ab", "Invalid"), ("91-12a4-5678-9012", "Invalid"),
+        (None, "Missing"), (HEALTH_ID, "Valid"), ("00-0000-0000-0000", "Valid"), (HEALTH_ID[1:], "Invalid"),
+        (HEALTH_ID + "0", "Invalid"), (HEALTH_ID.replace("-", ""), "Invalid"), (HEALTH_ID.replace("-", " "), "Invalid"),
+        (HEALTH_ID.replace("4", "x"), "Invalid"), (" " + HEALTH_ID, "Invalid"), ("", "Invalid"), ("२३-4417-0052-8806", "Invalid"),
     ],
 )
 def test_health_id_status(scalar, value, status):
@@ -362,18 +362,18 @@ def ids(df):
 def test_load_concept_keeps_standard_and_unflagged_vocabularies(spark, raw_concept):
     unflagged = raw_concept.filter("concept_id = 8515").withColumn("standard_concept", F.lit(None).cast("string"))
     kept = ids(vocab.load_concept(raw_concept.filter("concept_id <> 8515").unionByName(unflagged)))
-    assert 8515 in kept and 45533052 not in kept and 4000001 in kept
-    assert 4000001 not in ids(vocab.load_concept(raw_concept, active_only=True))
+    assert 8515 in kept and 90000004 not in kept and 90000005 in kept
+    assert 90000005 not in ids(vocab.load_concept(raw_concept, active_only=True))
 
 
 def test_lookup_has_one_row_per_key(concept):
     keys = vocab.concept_keys(vocab.concept_subset(concept, ["LOINC", "SNOMED"]))
     assert keys.count() == keys.select("vocabulary", "concept_code").distinct().count()
-    assert one(keys.filter("vocabulary = '*' AND concept_code = '8867-4'")).concept_id == 3027018
+    assert one(keys.filter("vocabulary = '*' AND concept_code = '8480-6'")).concept_id == 3004249
 
 
 def test_fanout_names_the_codes_a_plain_join_would_repeat(concept):
-    assert [tuple(r) for r in vocab.concept_fanout(concept, ["LOINC", "SNOMED"]).collect()] == [("8867-4", 2)]
+    assert [tuple(r) for r in vocab.concept_fanout(concept, ["LOINC", "SNOMED"]).collect()] == [("8480-6", 2)]
 
 
 def test_coverage_and_missing(concept):
@@ -386,10 +386,10 @@ def test_source_code_maps_to_standard(spark, raw, raw_concept):
     from clinlake.operators import extensions
 
     edges = spark.createDataFrame(
-        [(45533052, 201826, "Maps to", dt.date(2099, 12, 31)), (45533052, 4329041, "Maps to", dt.date(2015, 1, 1))],
+        [(90000004, 317009, "Maps to", dt.date(2099, 12, 31)), (90000004, 316866, "Maps to", dt.date(2015, 1, 1))],
         "concept_id_1 bigint, concept_id_2 bigint, relationship_id string, valid_end_date date",
     )
     keys = vocab.source_to_standard_keys(raw_concept, vocab.load_relationship(edges))
-    icd = silver.silver_condition(raw(without(CONDITION, code=coding("E11", "http://hl7.org/fhir/sid/icd-10")), CONDITION))
+    icd = silver.silver_condition(raw(without(CONDITION, code=coding("J45", ICD10)), CONDITION))
     mapped = extensions.map_source_to_standard(icd, keys, "condition_source_vocabulary", "condition_source_code", "c")
-    assert sorted(r.c for r in mapped.collect()) == [0, 201826]
+    assert sorted(r.c for r in mapped.collect()) == [0, 317009]

@@ -324,5 +324,5 @@ def test_stream_upsert_keeps_the_latest(spark, tmp_path, name):
         ingest.stream_bronze(spark, str(source), sink, str(tmp_path / "c1"), loaded_at=F.lit(day(n))).awaitTermination()
         ingest.stream_upsert(spark, sink, "Condition", name, str(tmp_path / "c2"), str(tmp_path / "t")).awaitTermination()
         row = one(spark.table(name))
-        assert (row[key], row.clinical_status) == ("con-1", status)
+        assert (row[key], row.clinical_status) == ("c-9", status)
     assert spark.table(name).columns == silver.silver_condition(spark.read.schema(contracts.BRONZE).parquet(sink)).columns
