@@ -135,30 +135,51 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: A delivery of at most this many rows is broadcast, and the keys of the target are read once more to tell new rows.
+#: Beyond it one full join reads the target once.
+FEW_ROWS = 10_000
+
+
 def merge_latest(target: DataFrame, source: DataFrame, key: str, order: str = "_loaded_at") -> DataFrame:
     """The newest row of every identity in the target and the source, whichever of them has it.
 
-    The source is read for its size, its keys and its rows, so it is staged first. When its
-    keys are few they are broadcast and the target is not shuffled.
+    The target holds an identity once, as an upsert leaves it. The source is read for its size and its rows, so it is
+    staged first. When it is small it is broadcast and the target is not shuffled.
     """
     return _merged(target, staged(latest_per_key(source, key, order)), key, order)
 
 
+def _lone(df: DataFrame, key: str, side: str) -> Column:
+    """The identity; for rows without one a text of their own, so that they match nothing and no task gets them all."""
+    stray = F.concat(F.lit(f"{side} "), F.xxhash64(*df.columns).cast("string"))
+    return F.coalesce(own_shuffle(identity(df, key)), stray)
+
+
+def _winner(columns: Sequence[str], order: str) -> Column:
+    """Of two versions ``t`` and ``s`` of a row the newer one; all columns take part, which settles ties."""
+    others = [c for c in columns if c != order]
+    version = lambda side: F.struct(F.col(f"{side}.{order}"), *[F.col(f"{side}.{c}") for c in others])
+    beaten = F.col("t").isNull() | (F.col("s").isNotNull() & (version("s") > version("t")))
+    return F.when(beaten, F.col("s")).otherwise(F.col("t"))
+
+
 def _merged(target: DataFrame, newest: DataFrame, key: str, order: str = "_loaded_at") -> DataFrame:
-    keys = newest.select(own_shuffle(identity(newest, key)).alias("_k")).filter("_k IS NOT NULL")
-    if fits_broadcast(keys):
-        keys = F.broadcast(keys)
-    named = target.withColumn("_k", own_shuffle(identity(target, key)))
-    untouched = named.join(keys, "_k", "left_anti").select(*target.columns)
-    rivals = named.join(keys, "_k", "left_semi").select(*target.columns)
-    return untouched.unionByName(latest_per_key(rivals.unionByName(newest), key, order))
+    columns = target.columns
+    old = target.select(_lone(target, key, "t").alias("_k"), F.struct(*columns).alias("t"))
+    new = newest.select(_lone(newest, key, "s").alias("_k"), F.struct(*columns).alias("s"))
+    winner = _winner(columns, order).alias("r")
+    if not fits_broadcast(newest, max_rows=FEW_ROWS):
+        return old.join(new, "_k", "full_outer").select(winner).select("r.*")
+    kept = old.join(F.broadcast(new), "_k", "left").select(winner).select("r.*")
+    known = target.select(_lone(target, key, "t").alias("_k")).join(F.broadcast(new.select("_k")), "_k", "left_semi")
+    return kept.unionByName(new.join(F.broadcast(known), "_k", "left_anti").select("s.*"))
 
 
 def upsert(df: DataFrame, table: str, key: str, fmt: str = "parquet", location: str | None = None) -> None:
     """Insert new rows and replace older ones of the same identity; creates the table on first use.
 
     A delivery that comes again, or late, changes nothing that is newer. A format with a transaction log merges in place. A plain one gets a new snapshot, unless
-    there is nothing to merge.
+    there is nothing to merge; ``upsert_buckets`` rewrites the touched part of a plain table only.
     """
     spark = df.sparkSession
     logged = fmt == "delta"
@@ -170,19 +191,91 @@ def upsert(df: DataFrame, table: str, key: str, fmt: str = "parquet", location:
             publish(first, table, fmt, location=location)
     elif logged:
         latest_per_key(df, key).createOrReplaceTempView("_upsert_source")
-        same = f"t.{key} = s.{key}"
-        if LINEAGE_ID in df.columns:
-            same += f" OR t.{key} IS NULL AND s.{key} IS NULL AND t.{LINEAGE_ID} = s.{LINEAGE_ID}"
-        spark.sql(
-            f"MERGE INTO {table} t USING _upsert_source s ON {same} "
-            "WHEN MATCHED AND s._loaded_at >= t._loaded_at THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-        )
+        spark.sql(merge_statement(table, "_upsert_source", key, LINEAGE_ID in df.columns))
     else:
         newest = staged(latest_per_key(df, key))
         if not newest.isEmpty():
             publish(_merged(spark.table(table), newest, key), table, fmt, location=location)
 
 
+def merge_statement(table: str, source: str, key: str, with_lineage: bool) -> str:
+    """The MERGE of a format with a transaction log. One equality of identities, so that it is planned as an equi-join."""
+    named = "concat('key ', cast({0}.{1} as string))"
+    if with_lineage:
+        named = f"coalesce({named}, concat('row ', {{0}}.{LINEAGE_ID}))"
+    return (
+        f"MERGE INTO {table} t USING {source} s ON {named.format('t', key)} = {named.format('s', key)} "
+        "WHEN MATCHED AND s._loaded_at >= t._loaded_at THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+
+
+# -- upsert by buckets ---------------------------------------------------------------------
+
+BUCKET = "_bucket"
+BUCKETS = 256
+_BUCKETS_PROPERTY = "clinlake.buckets"
+
+
+def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows with the number of their bucket: a hash of their identity, of the whole row where they have none."""
+    named = identity(df, key)
+    hashed = F.when(named.isNull(), F.xxhash64(*df.columns)).otherwise(F.xxhash64(named))
+    return df.withColumn(BUCKET, F.pmod(hashed, F.lit(buckets)).cast("int"))
+
+
+def upsert_buckets(df: DataFrame, table: str, key: str, buckets: int = BUCKETS, location: str | None = None) -> list[int]:
+    """Upsert that reads and rewrites only the buckets a delivery has rows for; gives their numbers.
+
+    The table is stored by hash buckets of the identity. The touched ones are read once, merged, written to the shared
+    folder and then put in place of the old ones; files of other buckets stay as they are. A run that ends between the
+    two is finished by the next one, from the folder. Readers between them may see old and new buckets side by side,
+    each of them whole. The number of buckets is kept with the table.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        first = with_bucket(latest_per_key(df, key), key, buckets)
+        write_overwrite(first.repartition(BUCKET), table, partition_by=[BUCKET], location=location)
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_BUCKETS_PROPERTY}' = '{buckets}')")
+        return [r[0] for r in spark.table(table).select(BUCKET).distinct().orderBy(BUCKET).collect()]
+    _finish(spark, table)
+    buckets = int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{_BUCKETS_PROPERTY}')").first()["value"])
+    newest = staged(with_bucket(latest_per_key(df, key), key, buckets))
+    # At most as many numbers as there are buckets.
+    touched = [r[0] for r in newest.select(BUCKET).distinct().orderBy(BUCKET).collect()]
+    if touched:
+        held = spark.table(table).filter(F.col(BUCKET).isin(touched))
+        merged = _merged(held, newest.select(*held.columns), key)
+        merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(_pending(spark, table))
+        _finish(spark, table)
+    return touched
+
+
+def _pending(spark: SparkSession, table: str) -> str:
+    return f"{work_dir(spark)}/pending/{table}"
+
+
+def _finish(spark: SparkSession, table: str) -> None:
+    """Put the merged buckets that a run has left in the shared folder in place of the old ones."""
+    folder = _pending(spark, table)
+    if not _exists(spark, f"{folder}/_SUCCESS"):
+        return
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        columns = spark.table(table).columns
+        pending = spark.read.schema(spark.table(table).schema).parquet(folder)
+        pending.select(*columns).repartition(BUCKET).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)
+    _delete_folder(spark, folder)
+
+
+def _exists(spark: SparkSession, file: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def since_watermark(df: DataFrame, target: DataFrame | None, column: str = "_loaded_at") -> DataFrame:
     """Rows newer than anything in the target; all of them while it is absent or empty.
 

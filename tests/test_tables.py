@@ -130,6 +130,83 @@ def test_write_overwrite_changes_columns(spark, name):
     assert tables.target_or_none(spark, name) is None
 
 
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_both_merges_give_the_same(spark, monkeypatch, few):
+    monkeypatch.setattr(tables, "FEW_ROWS", few)
+    target = with_lineage(spark, ("a", 1, day(2), "1"), ("b", 2, day(2), "2"), (None, 3, day(2), "3"), (None, 4, day(2), None), ("t", None, day(1), "5"))
+    source = with_lineage(
+        spark, ("a", 9, day(1), "6"), ("b", 8, day(3), "7"), ("c", 7, day(1), "8"), (None, 6, day(3), "3"), (None, 5, day(2), None), ("t", 4, day(1), "5")
+    )
+    want = [("a", 1), ("b", 8), ("c", 7), ("t", 4), (None, 4), (None, 5), (None, 6)]
+    assert content(tables.merge_latest(target, source, "k")) == sorted(want, key=repr)
+
+
+def test_a_large_delivery_is_merged_in_one_pass_over_the_target(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(tables, "FEW_ROWS", 0)
+    frame(spark, *[(str(i), i, day(1)) for i in range(100)]).write.parquet(str(tmp_path / "t"))
+    merged = tables.merge_latest(spark.read.parquet(str(tmp_path / "t")), frame(spark, ("5", 2, day(2))), "k")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert merged.count() == 100 and plan.count("FileScan parquet") == 1
+
+
+# -- upsert by buckets -------------------------------------------------------------------------
+
+def bucket_files(spark, table):
+    rows = spark.table(table).select("_bucket", "_metadata.file_path", "_metadata.file_modification_time").distinct().collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r[0], set()).add(tuple(r[1:]))
+    return found
+
+
+def test_upsert_buckets_leaves_other_buckets_alone(spark, name, tmp_path):
+    many = spark.range(500).select(F.concat(F.lit("k"), "id").alias("k"), F.lit(1).alias("v"), F.lit(day(1)).alias("_loaded_at"))
+    assert len(tables.upsert_buckets(many, name, "k", 64, str(tmp_path))) == 64
+    before = bucket_files(spark, name)
+    touched = tables.upsert_buckets(frame(spark, ("k7", 2, day(2)), ("k8", 3, day(1)), ("new", 4, day(1))), name, "k", location=str(tmp_path))
+    after = bucket_files(spark, name)
+    assert 1 <= len(touched) <= 3
+    assert {b: f for b, f in after.items() if b not in touched} == {b: f for b, f in before.items() if b not in touched}
+    assert all(not (after[b] & before.get(b, set())) for b in touched)
+    got = {r.k: r.v for r in spark.table(name).collect()}
+    assert len(got) == 501 and (got["k7"], got["k8"], got["new"], got["k9"]) == (2, 3, 4, 1)
+
+
+def test_upsert_buckets_equals_upsert(spark, name, tmp_path):
+    deliveries = [
+        with_lineage(spark, ("a", 1, day(1), "1"), ("b", 2, day(3), "2"), (None, 3, day(1), "3"), ("a", 4, day(2), "4")),
+        with_lineage(spark, ("b", 9, day(2), "5"), (None, 7, day(2), "3"), (None, 8, day(1), "6"), ("c", 5, day(1), "7")),
+        with_lineage(spark, ("c", 6, day(4), "8")),
+    ]
+    for delivery in [*deliveries, deliveries[1], deliveries[0].limit(0)]:
+        tables.upsert(delivery, f"{name}_a", "k")
+        tables.upsert_buckets(delivery, f"{name}_b", "k", 7)
+    assert content(spark.table(f"{name}_a")) == content(spark.table(f"{name}_b"))
+    assert content(spark.table(f"{name}_b")) == [("a", 4), ("b", 2), ("c", 6), (None, 7), (None, 8)]
+
+
+def test_an_interrupted_upsert_is_finished_by_the_next(spark, name, monkeypatch):
+    tables.upsert_buckets(frame(spark, ("a", 1, day(1)), ("b", 2, day(1))), name, "k", 4)
+    with monkeypatch.context() as m:
+        calls = []
+        m.setattr(tables, "_finish", lambda *a: calls.append(a))
+        tables.upsert_buckets(frame(spark, ("a", 5, day(2))), name, "k")
+        assert len(calls) == 2
+    assert content(spark.table(name)) == [("a", 1), ("b", 2)]
+    tables.upsert_buckets(frame(spark, ("c", 3, day(1))), name, "k")
+    assert content(spark.table(name)) == [("a", 5), ("b", 2), ("c", 3)]
+
+
+def test_merge_is_one_equality(spark, name):
+    frame(spark, ("a", 1, day(1))).withColumn("_lineage_id", F.lit("x")).createOrReplaceTempView(f"{name}_s")
+    statement = tables.merge_statement(f"{name}_s", f"{name}_s", "k", True)
+    condition = statement.split(" ON ")[1].split(" WHEN ")[0]
+    joined = spark.sql(f"SELECT * FROM {name}_s t JOIN {name}_s s ON {condition}")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert " OR " not in condition and joined.count() == 1
+    assert "NestedLoop" not in joined._jdf.queryExecution().executedPlan().toString() and "Join Inner" in plan
+
+
 # -- incremental ------------------------------------------------------------------------------
 
 def test_since_watermark(spark):
