@@ -58,9 +58,14 @@ def _has_type(routed: Column) -> Column:
 def build_bronze(bundles: DataFrame) -> DataFrame:
     """The raw-resource table. Entries without a resource or a resource type are skipped,
     resources without an id are kept."""
+    return resource_rows(bundle_resources(bundles))
+
+
+def resource_rows(parsed: DataFrame) -> DataFrame:
+    """One row per routable resource of bundles with their ``resources``."""
     lineage = ["_source_file", "_loaded_at", "_content_hash"]
     routed = F.filter(_routed(F.col("resources")), _has_type)
-    resources = bundle_resources(bundles).select(F.inline(routed), *lineage)
+    resources = parsed.select(F.inline(routed), *lineage)
     resource_id = F.col("head.id")
     return resources.select(
         "resource_json",
@@ -71,19 +76,29 @@ def build_bronze(bundles: DataFrame) -> DataFrame:
     )
 
 
-def quarantine(bundles: DataFrame) -> DataFrame:
-    """Files that give no entries, with the reason, so that none is lost silently."""
-    documents = F.col("_documents")
-    parsed = bundles.withColumn("_documents", _documents(F.col("bundle_json"), "string"))
-    reason = (
-        F.when(F.coalesce(F.trim("bundle_json"), F.lit("")) == "", "empty file")
+def _reason(documents: Column) -> Column:
+    return (
+        F.when(F.coalesce(F.col("bundle_json"), F.lit("")).rlike(r"^\s*$"), "empty file")
         .when(documents.isNull() | (F.size(documents) != 1), "not valid JSON")
         .when(X.safe_get(documents).isNull(), "not an object")
         .when(X.safe_get(documents).getField("entry").isNull(), "no entry list")
     )
-    return parsed.select("_source_file", "_content_hash", "_loaded_at", reason.alias("reason")).filter(
-        F.col("reason").isNotNull()
-    )
+
+
+def quarantine(bundles: DataFrame) -> DataFrame:
+    """Files that give no entries, with the reason, so that none is lost silently."""
+    parsed = bundles.withColumn("_documents", _documents(F.col("bundle_json"), "string"))
+    reason = _reason(F.col("_documents")).alias("reason")
+    return parsed.select("_source_file", "_content_hash", "_loaded_at", reason).filter(F.col("reason").isNotNull())
+
+
+def parsed_files(bundles: DataFrame) -> DataFrame:
+    """Bundles without their text: their resources, or why they have none. The text of good bundles is parsed once."""
+    parsed = bundle_resources(bundles)
+    again = _documents(F.col("bundle_json"), "string")
+    reason = F.when(F.col("resources").isNull(), F.coalesce(_reason(again), F.lit("no entry list")))
+    routed = F.size(F.filter(_routed(F.col("resources")), _has_type))
+    return parsed.withColumns({"reason": reason, "n_resources": F.coalesce(routed, F.lit(0)).cast("bigint")}).drop("bundle_json")
 
 
 def skipped_entries(bundles: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -296,6 +297,18 @@ def lineage_audit(gold: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [part(t) for t in RECORD_IDS if t in gold])
 
 
+def lineage_statement(table_name: Callable[[str], str]) -> str:
+    """The same audit as a statement over stored tables, for a view that outlives the session."""
+    parts = []
+    for table, record_id in RECORD_IDS.items():
+        source = "person_source_value" if table == "omop_person" else "CAST(NULL AS STRING)"
+        parts.append(
+            f"SELECT '{table.removeprefix('omop_')}' AS omop_table, _lineage_id, CAST({record_id} AS STRING) AS record_id, "
+            f"{source} AS fhir_resource_id, _source_file, _loaded_at, _transformed_at FROM {table_name(table)}"
+        )
+    return " UNION ALL ".join(parts)
+
+
 def trace_lineage(audit: DataFrame, lineage_id: str | None = None, source_file: str | None = None) -> DataFrame:
     """Gold records of one resource (lineage id) or of one bundle (file)."""
     if lineage_id is not None:

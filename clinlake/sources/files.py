@@ -12,12 +12,14 @@ from clinlake.sources.contracts import CONCEPT
 
 
 def bundle_columns(files: DataFrame, loaded_at: Column | None = None) -> DataFrame:
-    """Name the text and add provenance: file, load time, hash of the whole text."""
+    """Name the text and add provenance: file, load time, hash of the whole text, size and time of the file."""
     return files.select(
         F.col("value").alias("bundle_json"),
         F.col("_metadata.file_path").alias("_source_file"),
         (F.current_timestamp() if loaded_at is None else loaded_at).alias("_loaded_at"),
         X.content_hash(F.col("value")).alias("_content_hash"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
 
 
@@ -42,6 +44,19 @@ def scan_bundles(
     return bundle_columns(bundle_reader(spark.read, glob).load(path), loaded_at)
 
 
+def list_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
+    """Every file below ``path`` by its metadata alone: where to load it, its name, size and time. No content is read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(path).select(
+        F.col("path").alias("load_path"),
+        F.col("_metadata.file_path").alias("_source_file"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+
+
 def read_vocab_tsv(
     spark: SparkSession,
     path: str,

@@ -1,6 +1,6 @@
 """Bundle files as a stream: new files to bronze, new bronze rows to silver.
 
-Neither query keeps state; the file checkpoint alone says what has been read. With
+No query keeps state; the file checkpoint alone says what has been read. With
 ``availableNow`` a run takes what has arrived and ends, so it can be scheduled like a batch.
 """
 
@@ -13,7 +13,8 @@ from clinlake.operators.bronze import build_bronze
 from clinlake.operators.silver import FLATTENERS, SILVER_TABLES
 from clinlake.sources.contracts import BRONZE
 from clinlake.sources.files import bundle_columns, bundle_reader
-from clinlake.sources.tables import upsert
+from clinlake.sources.manifest import land_bundles
+from clinlake.sources.tables import upsert, upsert_buckets
 
 
 def read_bundle_stream(
@@ -49,6 +50,34 @@ def stream_bronze(
     )
 
 
+def stream_land(
+    spark: SparkSession,
+    path: str,
+    raw: str,
+    manifest_table: str,
+    checkpoint: str,
+    location: str | None = None,
+    max_files: int | None = None,
+    loaded_at: Column | None = None,
+) -> StreamingQuery:
+    """New bundle files to two sinks from one parse: resources to the raw table, every file to the manifest.
+
+    A micro-batch that is run again finds its files in the manifest, or its interrupted start there and the resources
+    in the raw table, and lands nothing twice.
+    """
+    bundles = read_bundle_stream(spark, path, max_files, loaded_at)
+
+    def both(batch: DataFrame, _: int) -> None:
+        land_bundles(batch, raw, manifest_table, location)
+
+    return (
+        bundles.writeStream.foreachBatch(both)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def stream_upsert(
     spark: SparkSession,
     bronze_path: str,
@@ -57,8 +86,9 @@ def stream_upsert(
     checkpoint: str,
     location: str | None = None,
     max_files: int | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Upsert new bronze rows of one type into its silver table.
+    """Upsert new bronze rows of one type into its silver table; with a number of buckets, into the touched ones only.
 
     A batch that is run again after a failure replaces the same keys by the same rows.
     """
@@ -69,7 +99,10 @@ def stream_upsert(
     bronze = reader.parquet(bronze_path)
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert(batch, table, key, location=location)
+        if buckets is None:
+            upsert(batch, table, key, location=location)
+        else:
+            upsert_buckets(batch, table, key, buckets, location)
 
     return (
         FLATTENERS[resource_type](bronze)

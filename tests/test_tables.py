@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 import uuid
 
 import pytest
@@ -353,6 +354,94 @@ def test_overlapping_loads_lose_nothing(spark, layers, tmp_path, raw_concept):
     assert stored["omop_person"].count() == 2
 
 
+def statuses(spark, layers):
+    rows = spark.table(layers.manifest).filter("status <> 'started'").collect()
+    return sorted((r._source_file.rsplit("/", 1)[1], r.status, r.n_resources) for r in rows)
+
+
+def test_the_manifest_remembers_every_file(spark, layers, tmp_path):
+    folder = tmp_path / "in"
+    write_bundles(folder, good=bundle_of(PATIENT, CONDITION), empty="\n ", cut='{"entry":[{"resource"', list="[]", none='{"entry":[]}')
+    build.land(spark, str(folder), layers, F.lit(day(1)))
+    first = [("cut.json", "damaged", 0), ("empty.json", "empty", 0), ("good.json", "landed", 2), ("list.json", "damaged", 0), ("none.json", "landed", 0)]
+    assert statuses(spark, layers) == first
+    reasons = {r._source_file.rsplit("/", 1)[1]: r.reason for r in spark.newSession().table(f"{layers.bronze}.quarantine").collect()}
+    assert reasons == {"cut.json": "not valid JSON", "empty.json": "empty file", "list.json": "not valid JSON"}
+    # Nothing is new, damaged files included: no file is read.
+    build.land(spark, str(folder), layers, F.lit(day(2)))
+    assert statuses(spark, layers) == first
+    # A mended file is new; one that is only touched is read and found unchanged.
+    write_bundles(folder, cut=bundle_of(ENCOUNTER))
+    os.utime(folder / "good.json", (1, 1))
+    build.land(spark, str(folder), layers, F.lit(day(3)))
+    assert sorted(set(statuses(spark, layers)) - set(first)) == [("cut.json", "landed", 1), ("good.json", "unchanged", 2)]
+    assert spark.table(layers.raw).count() == 3
+
+
+def test_listing_reads_no_content_and_shuffles_no_text(spark, layers, tmp_path):
+    write_bundles(tmp_path / "in", a=bundle_of(PATIENT))
+    build.land(spark, str(tmp_path / "in"), layers, F.lit(day(1)))
+    from clinlake.sources import manifest
+
+    fresh = manifest.new_files(files.list_files(spark, str(tmp_path / "in")), spark.table(layers.manifest))
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert fresh.count() == 0 and "content:" not in plan and "ReadSchema: struct<path:string>" in plan
+
+
+@pytest.mark.parametrize("raw_written", [True, False])
+def test_an_interrupted_landing_is_made_good(spark, layers, tmp_path, raw_written, monkeypatch):
+    from clinlake.sources import manifest
+
+    write_bundles(tmp_path / "in", a=bundle_of(PATIENT, CONDITION), b=bundle_of(ENCOUNTER))
+    append, calls = manifest._append, []
+
+    def dies(df, table, *rest):
+        calls.append(table)
+        if len(calls) == (3 if raw_written else 2):
+            raise RuntimeError("lost")
+        append(df, table, *rest)
+
+    with monkeypatch.context() as m:
+        m.setattr(manifest, "_append", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            build.land(spark, str(tmp_path / "in"), layers, F.lit(day(1)))
+    for n in (2, 3):
+        build.land(spark, str(tmp_path / "in"), layers, F.lit(day(n)))
+        assert sorted(r.resource_type for r in spark.table(layers.raw).collect()) == ["Condition", "Encounter", "Patient"]
+
+
+def test_loads_are_taken_once(spark, layers, tmp_path, raw_concept):
+    folder = tmp_path / "in"
+    write_bundles(folder, a=bundle_of(PATIENT, CONDITION))
+    load(spark, layers, folder, raw_concept, day(1))
+    write_bundles(folder, b=bundle_of(without(PATIENT, gender="female")))
+    load(spark, layers, folder, raw_concept, day(2))
+    from clinlake.sources import manifest
+
+    # All rows of the first file's patient are replaced, and still its load is not read again.
+    fresh, loads = manifest.not_taken(spark.table(layers.raw), spark.table(layers.manifest), spark.table(layers.taken), "Patient")
+    assert fresh.count() == 0 and loads.count() == 0
+    assert one(spark.table(layers.silver_table("Patient"))).gender_code == "female"
+
+
+def test_layers_by_buckets_equal_plain_ones(spark, layers, tmp_path, raw_concept, name):
+    import dataclasses
+
+    bucketed = dataclasses.replace(layers, bronze=f"{name}_b2", silver=f"{name}_s2", gold=f"{name}_g2", buckets=8)
+    for n, texts in enumerate(({"a": bundle_of(PATIENT, CONDITION, ENCOUNTER, OBSERVATION, MEDICATION)}, {"b": bundle_of(without(CONDITION, id="x"), without(PATIENT, gender="other"))}), 1):
+        write_bundles(tmp_path / "in", **texts)
+        plain = load(spark, layers, tmp_path / "in", raw_concept, day(n))
+        by_bucket = load(spark, bucketed, tmp_path / "in", raw_concept, day(n))
+        assert snapshot(plain) == snapshot(by_bucket)
+
+
+def test_stored_lineage_is_readable_in_a_new_session(spark, layers, tmp_path, raw_concept):
+    write_bundles(tmp_path / "in", a=bundle_of(PATIENT, CONDITION, ENCOUNTER, OBSERVATION, MEDICATION))
+    load(spark, layers, tmp_path / "in", raw_concept, day(1))
+    stored = spark.newSession().table(layers.gold_table("lineage_audit"))
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, spark.table("lineage_audit").collect())) and stored.count() == 5
+
+
 def test_other_time_zones_are_refused(spark, layers):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
@@ -392,6 +481,25 @@ def test_stream_equals_batch_and_takes_only_new_files(spark, tmp_path, name):
     assert run().count() == 4
 
 
+def test_stream_lands_in_two_sinks_and_a_replayed_batch_adds_nothing(spark, layers, tmp_path):
+    source = tmp_path / "in"
+    build.tables.ensure_schema(spark, layers.bronze)
+
+    def run(checkpoint):
+        ingest.stream_land(spark, str(source), layers.raw, layers.manifest, str(tmp_path / checkpoint), layers.location, max_files=1).awaitTermination()
+
+    write_bundles(source, a=bundle_of(PATIENT, CONDITION), b="{cut")
+    run("c1")
+    want = [("a.json", "landed", 2), ("b.json", "damaged", 0)]
+    assert statuses(spark, layers) == want and spark.table(layers.raw).count() == 2
+    # A lost checkpoint replays every batch.
+    run("c2")
+    assert spark.table(layers.raw).count() == 2
+    write_bundles(source, c=bundle_of(ENCOUNTER))
+    run("c1")
+    assert spark.table(layers.raw).count() == 3
+
+
 def test_stream_upsert_keeps_the_latest(spark, tmp_path, name):
     source, sink = tmp_path / "in", str(tmp_path / "bronze")
     _, key = SILVER_TABLES["Condition"]
