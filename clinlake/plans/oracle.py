@@ -372,6 +372,18 @@ _BODIES = {
     "upsert_snapshot": """
         SELECT CASE WHEN o % 5 = 0 THEN 'amended' WHEN o % 3 = 0 THEN 'corrected' ELSE status END AS status,
             encounter_class, count(*) AS count FROM encounter GROUP BY 1, 2""",
+    "upsert_buckets": """
+        SELECT CASE WHEN o = (SELECT max(o) FROM encounter) THEN 'closed' WHEN o % 5 = 0 THEN 'amended' WHEN o % 3 = 0 THEN 'corrected'
+            ELSE status END AS status, encounter_class, count(*) AS count, CAST(1 AS BIGINT) AS rewritten_buckets FROM encounter GROUP BY 1, 2""",
+    "land_manifest": """
+        SELECT 'landed' AS status, CAST(NULL AS VARCHAR) AS reason, count(*) + CAST(sum(CAST(c_custkey % 4 = 0 AS INT)) AS BIGINT)
+            + CAST(sum(CAST(c_custkey % 13 = 0 AS INT)) AS BIGINT) AS resources, CAST(0 AS BIGINT) AS damaged_files FROM customer
+        UNION ALL SELECT 'damaged', 'not valid JSON', 0, count(*) FILTER (WHERE n_nationkey % 2 = 1) FROM nation
+        UNION ALL SELECT 'empty', 'empty file', 0, count(*) FILTER (WHERE n_nationkey % 2 = 0) FROM nation""",
+    "gold_incremental_equals_full": """
+        SELECT table_name, count(*) AS row_count, count(*) FILTER (WHERE person_known) AS with_person, CAST(0 AS BIGINT) AS differing
+        FROM facts GROUP BY 1
+        UNION ALL SELECT 'omop_person', count(*), count(*), 0 FROM person""",
     "since_watermark": """
         SELECT 'corrected' AS status, count(*) AS count FROM encounter WHERE o % 3 = 0 OR o % 5 = 0
         UNION ALL SELECT 'amended', count(*) FROM encounter WHERE o % 5 = 0""",

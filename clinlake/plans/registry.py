@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 from clinlake import config
 from clinlake.functions import exprs as X
 from clinlake.operators import bronze, extensions, gold, joins, quality, reports, vocab
+from clinlake.plans import build, incremental
+from clinlake.plans.build import Layers
 from clinlake.plans.workload import Workload
-from clinlake.sources import contracts, files, tables
+from clinlake.sources import contracts, files, manifest, tables
 from clinlake.streaming import ingest
 
 QUERIES: dict[str, Callable[[Workload], DataFrame]] = {}
@@ -304,6 +307,78 @@ def upsert_snapshot(w: Workload) -> DataFrame:
     return w.spark.table(table).groupBy("status", "encounter_class").agg(F.count("*").alias("count"))
 
 
+def _bucket_files(w: Workload, table: str) -> DataFrame:
+    """Bucket and file, staged as they are now."""
+    return tables.staged(w.spark.table(table).select(tables.BUCKET, "_metadata.file_path").distinct())
+
+
+@query
+def upsert_buckets(w: Workload) -> DataFrame:
+    """The same merge through a table stored by buckets, then a delivery of one encounter, which may rewrite one bucket only."""
+    table = _fresh("silver_encounter")
+    first, second = _deliveries(w)
+    for delivery in (first, second):
+        tables.upsert_buckets(delivery, table, "fhir_encounter_id", 64, tables.work_dir(w.spark))
+    before = _bucket_files(w, table)
+    last = w.table("orders").agg(F.max("o_orderkey").alias("last"))
+    one = _delivery(w, F.lit(True), "closed", 3).join(F.broadcast(last), _order_key() == F.col("last")).drop("last")
+    tables.upsert_buckets(one, table, "fhir_encounter_id")
+    after = _bucket_files(w, table)
+    rewritten = after.join(before, [tables.BUCKET, "file_path"], "left_anti").agg(F.countDistinct(tables.BUCKET).alias("rewritten_buckets"))
+    counted = w.spark.table(table).groupBy("status", "encounter_class").agg(F.count("*").alias("count"))
+    return counted.join(F.broadcast(rewritten))
+
+
+@query
+def land_manifest(w: Workload) -> DataFrame:
+    """Patient files and a damaged file for each nation, landed twice: what the manifest says of them."""
+    layers = Layers(*(_fresh(f"land_{x}") for x in "bsg"), location=tables.work_dir(w.spark))
+    path = w.write_patient_files()
+    text = F.when(F.col("n_nationkey") % 2 == 1, '{"entry":[{"resource"').otherwise("")
+    w.table("nation").select("n_nationkey", text.alias("value")).write.partitionBy("n_nationkey").text(f"{path}/damaged")
+    for _ in range(2):
+        build.land(w.spark, path, layers, w.loaded_at)
+    ended = w.spark.table(layers.manifest).filter("status <> 'started'")
+    damaged = F.col("status") != "landed"
+    return ended.groupBy("status", "reason").agg(F.sum("n_resources").alias("resources"), F.count_if(damaged).alias("damaged_files"))
+
+
+@query
+def gold_incremental_equals_full(w: Workload) -> DataFrame:
+    """Facts first, every third patient and a vocabulary later: gold by changed keys, beside a full build of the same silver."""
+    layers = Layers(*(_fresh(f"inc_{x}") for x in "bsg"), location=tables.work_dir(w.spark), buckets=16)
+    tables.ensure_schema(w.spark, layers.bronze)
+    late = F.regexp_extract("_source_file", r"customer/(\d+)$", 1).try_cast("bigint") % 3 == 0
+    late = F.coalesce(late, F.lit(False))
+    loads = [
+        (w.all_bundles.filter(~late), w.raw_concept.filter("vocabulary_id <> 'LOINC'")),
+        (w.all_bundles.filter(late).withColumn("_loaded_at", F.col("_loaded_at") + F.make_dt_interval(days=F.lit(1))), w.raw_concept),
+    ]
+    for bundles, concept in loads:
+        whole = bundles.withColumns({"size": F.octet_length("bundle_json").cast("bigint"), "modified": F.col("_loaded_at")})
+        manifest.land_bundles(whole, layers.raw, layers.manifest, layers.location)
+        build.load_vocabulary(w.spark, concept, None, layers)
+        build.refresh_silver(w.spark, layers)
+        incremental.refresh_gold_incremental(w.spark, layers)
+    full = replace(layers, gold=_fresh("inc_full"))
+    build.load_vocabulary(w.spark, w.raw_concept, None, full)
+
+    def compared(name: str, stored: DataFrame) -> DataFrame:
+        kept = w.spark.table(layers.gold_table(name))
+        columns = [c for c in stored.columns if c != "_transformed_at"]
+        rows = lambda df, sign: df.select(F.struct(*columns).alias("r"), F.lit(sign).alias("sign"))
+        row = rows(kept, 1).unionByName(rows(stored, -1)).groupBy(F.xxhash64("r").alias("h")).agg(
+            F.sum("sign").alias("left"), F.count_if(F.col("sign") > 0).alias("n"),
+            F.count_if((F.col("sign") > 0) & F.col("r.person_id").isNotNull()).alias("known"),
+        )
+        return row.agg(
+            F.lit(name).alias("table_name"), F.sum("n").alias("row_count"), F.sum("known").alias("with_person"),
+            F.count_if(F.col("left") != 0).alias("differing"),
+        )
+
+    return reduce(DataFrame.unionByName, [compared(*item) for item in build.refresh_gold(w.spark, full).items()])
+
+
 @query
 def since_watermark(w: Workload) -> DataFrame:
     first, second = _deliveries(w)

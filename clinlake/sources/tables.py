@@ -223,9 +223,19 @@ def with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(hashed, F.lit(buckets)).cast("int"))
 
 
-def upsert_buckets(df: DataFrame, table: str, key: str, buckets: int = BUCKETS, location: str | None = None) -> list[int]:
+def upsert_buckets(
+    df: DataFrame,
+    table: str,
+    key: str,
+    buckets: int = BUCKETS,
+    location: str | None = None,
+    order: str = "_loaded_at",
+    gone: DataFrame | None = None,
+) -> list[int]:
     """Upsert that reads and rewrites only the buckets a delivery has rows for; gives their numbers.
 
+    Rows whose identity is in ``gone`` (the key and lineage columns are enough) are taken out of the table.
+
     The table is stored by hash buckets of the identity. The touched ones are read once, merged, written to the shared
     folder and then put in place of the old ones; files of other buckets stay as they are. A run that ends between the
     two is finished by the next one, from the folder. Readers between them may see old and new buckets side by side,
@@ -233,18 +243,31 @@ def upsert_buckets(df: DataFrame, table: str, key: str, buckets: int = BUCKETS,
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        first = with_bucket(latest_per_key(df, key), key, buckets)
+        first = with_bucket(latest_per_key(df, key, order), key, buckets)
         write_overwrite(first.repartition(BUCKET), table, partition_by=[BUCKET], location=location)
         spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_BUCKETS_PROPERTY}' = '{buckets}')")
         return [r[0] for r in spark.table(table).select(BUCKET).distinct().orderBy(BUCKET).collect()]
     _finish(spark, table)
     buckets = int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{_BUCKETS_PROPERTY}')").first()["value"])
-    newest = staged(with_bucket(latest_per_key(df, key), key, buckets))
+    newest = staged(with_bucket(latest_per_key(df, key, order), key, buckets))
+    numbers = newest.select(BUCKET)
+    if gone is not None:
+        lineage = [LINEAGE_ID] if LINEAGE_ID in df.columns else []
+        gone = staged(with_bucket(gone.select(key, *lineage).distinct(), key, buckets))
+        numbers = numbers.unionByName(gone.select(BUCKET))
     # At most as many numbers as there are buckets.
-    touched = [r[0] for r in newest.select(BUCKET).distinct().orderBy(BUCKET).collect()]
+    touched = [r[0] for r in numbers.distinct().orderBy(BUCKET).collect()]
     if touched:
         held = spark.table(table).filter(F.col(BUCKET).isin(touched))
-        merged = _merged(held, newest.select(*held.columns), key)
+        if gone is not None:
+            names = gone.select(own_shuffle(identity(gone, key)).alias("_k"))
+            names = F.broadcast(names) if fits_broadcast(names) else names
+            held = held.withColumn("_k", own_shuffle(identity(held, key))).join(names, "_k", "left_anti").drop("_k")
+        merged = _merged(held, newest.select(*held.columns), key, order)
+        listed = f"{_pending(spark, table)}-touched"
+        _delete_folder(spark, listed)
+        if gone is not None:
+            spark.createDataFrame([(n,) for n in touched], f"{BUCKET} int").coalesce(1).write.parquet(listed)
         merged.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(_pending(spark, table))
         _finish(spark, table)
     return touched
@@ -268,6 +291,13 @@ def _finish(spark: SparkSession, table: str) -> None:
         pending.select(*columns).repartition(BUCKET).write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set(mode, before)
+    if _exists(spark, f"{folder}-touched/_SUCCESS"):
+        # An overwrite by partition leaves the buckets it has no rows for: those that have lost all of theirs go.
+        left = {r[0] for r in pending.select(BUCKET).distinct().collect()}
+        for (n,) in spark.read.parquet(f"{folder}-touched").collect():
+            if n not in left:
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BUCKET} = {n})")
+        _delete_folder(spark, f"{folder}-touched")
     _delete_folder(spark, folder)
 
 
