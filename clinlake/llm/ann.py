@@ -22,7 +22,8 @@ from clinlake.llm.common import stage
 K = 10
 #: The centroids are fitted on at most this many vectors, those with the smallest hashes of their id.
 SAMPLE_ROWS = 20_000
-ROWS_PER_LIST = 128
+#: There are this times the square root of the rows lists, at most MAX_LISTS.
+LISTS_PER_ROOT = 0.5
 MAX_LISTS = 4096
 #: The share of the lists that a query probes. Vectors without clusters need a half for a recall of 0.95; clustered ones a tenth.
 PROBE_SHARE = 0.5
@@ -31,6 +32,8 @@ MORE_PROBES = 24
 #: A list is scanned in parts of about this many rows, so that a list with a third of all rows is many tasks.
 ROWS_PER_PART = 4_000
 BLOCK = 16
+#: Pairs of a query and a row that are tested at once.
+PAIRS = 200_000
 #: The test errs on a true neighbour with a chance that falls with exp(-EPSILON ** 2).
 EPSILON = 2.1
 
@@ -52,35 +55,52 @@ def fit_centroids(sample: np.ndarray, lists: int, rounds: int = 8) -> np.ndarray
     centers = distinct[rng.permutation(len(distinct))[:lists]]
     for _ in range(rounds):
         own = _closest(sample, centers, 1)[:, 0]
-        total = np.zeros_like(centers)
-        np.add.at(total, own, sample)
-        size = np.bincount(own, minlength=len(centers))
-        centers = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], centers)
+        order = np.argsort(own, kind="stable")
+        found, first = np.unique(own[order], return_index=True)
+        size = np.diff(first, append=len(own))
+        centers[found] = np.add.reduceat(sample[order], first, axis=0) / size[:, None]
     return centers
 
 
 def _closest(rows: np.ndarray, centers: np.ndarray, n: int) -> np.ndarray:
+    """For each row the places of n nearest centers, the nearest first, the others in any order."""
     out = []
     for a in range(0, len(rows), 1024):
         d = (centers**2).sum(axis=1) - 2 * rows[a : a + 1024] @ centers.T
-        out.append(np.argsort(d, axis=1, kind="stable")[:, :n])
+        nearest = d.argmin(axis=1)[:, None]
+        if n > 1:
+            np.put_along_axis(d, nearest, np.inf, axis=1)
+            others = np.argpartition(d, n - 2, axis=1)[:, : n - 1]
+            nearest = np.hstack([nearest, others])
+        out.append(nearest)
     return np.concatenate(out) if out else np.zeros((0, n), int)
 
 
-def scan_list(query: np.ndarray, rows: np.ndarray, allowed: np.ndarray, limit: float) -> np.ndarray:
-    """Places of the allowed rows, rotated like the query, whose squared distance is at most limit: all but a few of them for sure.
+def scan_part(queries: np.ndarray, limits: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, row), all rotated alike, whose squared distance is at most the query's limit, and some beyond it.
 
-    After each block of columns the partial distance, scaled up, is tested against the limit with a margin for chance.
+    All pairs are tested after the first block of columns, and after each further block those left: the partial
+    distance, scaled up, against the limit with a margin for chance. Rounding never loses a pair.
     """
-    dim, at, partial, seen = rows.shape[1], allowed, np.zeros(len(allowed)), 0
+    dim = rows.shape[1]
+    seen = min(BLOCK, dim)
+    q, r = queries[:, :seen], rows[:, :seen]
+    size = (q**2).sum(axis=1)[:, None] + (r**2).sum(axis=1)[None, :]
+    partial = size - 2 * q @ r.T
+    at, to = np.nonzero(partial <= _bound(limits, seen, dim)[:, None] + 1e-9 * size)
+    partial = np.maximum(partial[at, to], 0)
     while seen < dim and len(at):
         end = min(seen + BLOCK, dim)
-        partial = partial + ((rows[at, seen:end] - query[seen:end]) ** 2).sum(axis=1)
+        partial = partial + ((rows[to, seen:end] - queries[at, seen:end]) ** 2).sum(axis=1)
         seen = end
-        bound = limit if seen == dim else limit * (1 + EPSILON / np.sqrt(seen)) ** 2 * seen / dim
-        go = partial <= bound * (1 + 1e-9)
-        at, partial = at[go], partial[go]
-    return at
+        go = partial <= _bound(limits, seen, dim)[at] + 1e-9 * (1 + partial)
+        at, to, partial = at[go], to[go], partial[go]
+    return at, to
+
+
+def _bound(limits: np.ndarray, seen: int, dim: int) -> np.ndarray:
+    """What the partial distance of a row within the limit stays below, but for a few."""
+    return limits if seen == dim else limits * (1 + EPSILON / np.sqrt(seen)) ** 2 * seen / dim
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, sample_rows: int = SAMPLE_ROWS, probe_share: float = PROBE_SHARE) -> DataFrame:
@@ -102,7 +122,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, sample_rows: int
     taken = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("vector").collect()
     turn = rotation(dim)
     sample = np.array([r["vector"] for r in taken], np.float64) @ turn
-    lists = int(min(MAX_LISTS, max(1, count // ROWS_PER_LIST)))
+    lists = int(min(MAX_LISTS, max(1, round(LISTS_PER_ROOT * math.sqrt(count)))))
     centers = fit_centroids(sample, lists)  # at most 4096 vectors
     probes = min(len(centers), MORE_PROBES + math.ceil(probe_share * len(centers)))
 
@@ -129,15 +149,22 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, sample_rows: int
     def scan(key: tuple, asking: pd.DataFrame, holding: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(asking) and len(holding):
-            holding = holding.sort_values("vec_id")
             ids = holding["vec_id"].to_numpy()
             exact = np.stack(holding["vector"].to_numpy())
             turned = exact @ turn
-            for query_id, vector, limit in zip(asking["query_id"], asking["vector"], asking["bound"]):
-                at = scan_list(vector @ turn, turned, np.flatnonzero(ids != query_id), limit)
-                score = np.sqrt(((exact[at] - vector) ** 2).sum(axis=1))
-                order = np.lexsort((ids[at], score))[:k]
-                found.append(pd.DataFrame({"query_id": query_id, "vec_id": ids[at][order], "score": score[order]}))
+            step = max(1, PAIRS // len(ids))
+            for a in range(0, len(asking), step):
+                some = asking.iloc[a : a + step]
+                asked, own = some["query_id"].to_numpy(), np.stack(some["vector"].to_numpy())
+                at, to = scan_part(own @ turn, some["bound"].to_numpy(), turned)
+                other = asked[at] != ids[to]
+                at, to = at[other], to[other]
+                score = np.sqrt(((exact[to] - own[at]) ** 2).sum(axis=1))
+                order = np.lexsort((ids[to], score, at))
+                at, to, score = at[order], to[order], score[order]
+                nth = np.arange(len(at)) - np.searchsorted(at, at)
+                best = nth < k
+                found.append(pd.DataFrame({"query_id": asked[at[best]], "vec_id": ids[to[best]], "score": score[best]}))
         return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
 
     def scanned(asking: DataFrame) -> DataFrame:

@@ -47,6 +47,39 @@ def test_recall_over_the_table(spark):
     assert np.mean([len(ids[q] & {i for _, i in exact_neighbours(rows, q)}) / 10 for q in ids]) >= 0.9
 
 
+def test_recall_where_lists_are_skipped(spark):
+    """50,000 vectors without clusters: half of the lists are not looked at."""
+    rng = np.random.default_rng(11)
+    vectors = rng.standard_normal((50_000, 64)).astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(8)
+    got = ann.search(table, table.where("vec_id % 500 = 0")).collect()
+    ids = {}
+    for r in got:
+        ids.setdefault(r["query_id"], set()).add(r["vec_id"])
+    exact = vectors.astype(np.float64)
+    hits = 0
+    for q in range(0, 50_000, 500):
+        d = ((exact - exact[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        hits += len(ids[q] & set(np.argpartition(d, 10)[:10].tolist()))
+    lists = round(ann.LISTS_PER_ROOT * 50_000**0.5)
+    assert ann.MORE_PROBES + ann.PROBE_SHARE * lists < 0.8 * lists and hits / 1000 >= 0.9
+
+
+def test_a_scan_loses_no_pair_within_its_limit():
+    rng = np.random.default_rng(3)
+    rows, queries = rng.standard_normal((300, 40)), rng.standard_normal((20, 40))
+    rows[:5] = queries[0]
+    d = ((queries[:, None] - rows[None]) ** 2).sum(axis=2)
+    at, to = ann.scan_part(queries, np.full(20, np.inf), rows)
+    assert len(at) == 6000
+    limits = np.concatenate([[0.0], np.sort(d, axis=1)[1:, 9]])
+    found = set(zip(*(x.tolist() for x in ann.scan_part(queries, limits, rows))))
+    want = set(zip(*(x.tolist() for x in np.nonzero(d <= limits[:, None]))))
+    assert len(found & want) >= 0.97 * len(want) and {(0, i) for i in range(5)} <= found and len(found) < 1200
+
+
 PAGES = [
     ("<html><body><nav><a>x</a></nav><article><header>h</header><h1>A &amp; B</h1><p>one <b>two</b>three<br>four<p>five</article><footer>f</footer>", "A & B one twothree four five"),
     ("<article><p>kept</p><div class='reader-comments'>no</div><form><p>no</p></form><script>var a='</p>';</script><span class=ad>no</span> end", "kept end"),
