@@ -18,7 +18,7 @@ def _lineage(file: str, resource_id: str) -> str:
 CTES = {
     "whole": """
         SELECT c_custkey AS k, 'bundles/customer/' || c_custkey AS file, c_nationkey AS nation, c_name
-        FROM customer WHERE c_custkey % 50 NOT IN (24, 49)""",
+        FROM customer""",
     "all_patient": """
         SELECT c_custkey AS k, c_nationkey AS nation,
             'cust-' || c_custkey AS fhir_patient_id,
@@ -40,7 +40,7 @@ CTES = {
         FROM (SELECT *, CASE WHEN c_custkey % 60 = 9 THEN c_custkey - 3 ELSE c_custkey END AS h FROM customer)""",
     "patient": f"""
         SELECT *, {_lineage('_source_file', 'fhir_patient_id')} AS _lineage_id
-        FROM all_patient WHERE k % 50 NOT IN (24, 49)""",
+        FROM all_patient""",
     "encounter": f"""
         SELECT *, {_lineage('_source_file', 'fhir_encounter_id')} AS _lineage_id FROM (
         SELECT o_orderkey AS o, o_custkey AS k, 'ord-' || o_orderkey AS fhir_encounter_id,
@@ -283,19 +283,37 @@ _BODIES = {
         UNION ALL SELECT 'Basic', NULL, true FROM customer WHERE c_custkey % 13 = 0""",
     "bronze_resources": "SELECT * FROM resources",
     "bronze_quarantine": """
-        SELECT 'bundles/customer/' || c_custkey AS _source_file,
-            CASE c_custkey % 50 WHEN 49 THEN 'not valid JSON' ELSE 'empty file' END AS reason
-        FROM customer WHERE c_custkey % 50 IN (24, 49)""",
+        SELECT 'bundles/damaged/' || c_custkey AS _source_file,
+            CASE c_custkey % 50 WHEN 24 THEN 'empty file' ELSE 'not valid JSON' END AS reason
+        FROM customer WHERE c_custkey % 50 IN (7, 24, 49)""",
     "bronze_skipped_entries": """
         SELECT file AS _source_file, skipped FROM (SELECT file, CAST(k % 7 = 0 AS BIGINT) + CAST(k % 11 = 0 AS BIGINT)
             + CAST(k % 17 = 0 AS BIGINT) AS skipped FROM whole) WHERE skipped > 0""",
-    "bronze_content_hash": """
-        SELECT 'bundles/customer/' || c_custkey AS _source_file, sha256('') AS _content_hash
-        FROM customer WHERE c_custkey % 50 = 24""",
+    # The text of every encounter's bundle, letter by letter, and of the empty files.
+    "bronze_content_hash": f"""
+        SELECT * FROM (WITH started AS (SELECT *, o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS INTEGER)) AS t0 FROM orders),
+        texts AS (
+            SELECT 'bundles/order/' || o_orderkey AS _source_file, '{{"resourceType":"Bundle","type":"transaction","entry":[{{"resource":'
+                || '{{"resourceType":"Encounter","id":"ord-' || o_orderkey || '","subject":{{"reference":"Patient/cust-' || o_custkey || '"}},'
+                || '"status":"' || CASE WHEN o_orderstatus = 'O' THEN 'in-progress' ELSE 'finished' END || '",'
+                || '"class":{{"code":"' || CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'EMER' WHEN '2' THEN 'IMP' WHEN '3' THEN 'AMB'
+                    WHEN '4' THEN 'HH' ELSE 'VR' END || '"}},"type":[{{"coding":[{{"code":"T' || o_orderkey % 20 || '","display":"Type '
+                || o_orderkey % 20 || '"}}]}}],"period":{{"start":"' || strftime(t0, '%Y-%m-%dT%H:%M:%S') || '+05:30"'
+                || CASE WHEN o_orderstatus <> 'O' THEN ',"end":"' || strftime(t0 + to_minutes(CAST(o_orderkey % 240 AS INTEGER)),
+                    '%Y-%m-%dT%H:%M:%S') || '+05:30"' ELSE '' END || '}}'
+                || CASE WHEN o_orderkey % 3 = 0 THEN ',"participant":[{{"individual":{{"display":"Dr ' || o_orderkey % 50
+                    || '","identifier":{{"system":"https://doctor.ndhm.gov.in","value":"HPR_' || o_orderkey % 50 || '"}}}}}}]' ELSE '' END
+                || CASE WHEN o_custkey % 10 <> 1 THEN ',"serviceProvider":{{"display":"Facility ' || o_custkey % 100
+                    || '","identifier":{{"system":"' || CASE WHEN o_custkey % 2 = 0 THEN 'https://facility.ndhm.gov.in","value":"HFR_'
+                    ELSE 'https://other-registry.example.org","value":"OTHER_' END || o_custkey % 100 || '"}}}}' ELSE '' END
+                || '}}}}]}}' AS text
+            FROM started
+            UNION ALL SELECT 'bundles/damaged/' || c_custkey, ' ' || chr(10) FROM customer WHERE c_custkey % 50 = 24)
+        SELECT _source_file, sha256(text) AS _content_hash FROM texts)""",
     "bronze_route": "SELECT fhir_medication_request_id AS fhir_resource_id, status FROM medication",
     "bronze_new_files": """
         SELECT 'bundles/customer/' || c_custkey AS _source_file FROM customer
-        WHERE c_custkey % 2 = 1 OR c_custkey % 50 = 24""",
+        WHERE c_custkey % 2 = 1""",
     "identifiers_exploded": """
         SELECT fhir_patient_id, 'urn:clinlake:registration' AS system, mrn AS value FROM patient
         UNION ALL SELECT fhir_patient_id, 'https://healthid.ndhm.gov.in', abha_id FROM patient WHERE abha_id IS NOT NULL""",
@@ -335,8 +353,9 @@ _BODIES = {
             CAST(sum(concept_id) AS BIGINT) AS id_sum FROM raw_concept GROUP BY 1, 2, 3""",
     # -- joins
     "join_resolve_person": """
-        SELECT fhir_encounter_id, p.k IS NOT NULL AS person_known FROM encounter e LEFT JOIN patient p ON e.k = p.k""",
-    "join_resolve_visit": "SELECT fhir_observation_id, visit_known FROM observed",
+        SELECT fhir_encounter_id, p.fhir_patient_id AS resolved_patient FROM encounter e LEFT JOIN patient p ON e.k = p.k""",
+    "join_resolve_visit": """
+        SELECT fhir_observation_id, CASE WHEN visit_known THEN fhir_encounter_id END AS resolved_encounter FROM observed""",
     "map_demographics": "SELECT fhir_patient_id, gender_concept_id, race_concept_id FROM person",
     "map_visit_type": """
         SELECT fhir_encounter_id, encounter_class, visit_type_concept_id FROM encounter JOIN visit USING (o)""",
@@ -354,8 +373,9 @@ _BODIES = {
     "gold_observation": "SELECT * EXCLUDE (k, _source_file) FROM omop_observation",
     "lineage_audit": "SELECT * FROM audit",
     "trace_lineage": """
-        SELECT _source_file, omop_table FROM audit
-        WHERE _source_file IN (SELECT _source_file FROM audit GROUP BY 1 HAVING count(*) > 1)""",
+        SELECT _source_file, _lineage_id, omop_table FROM audit
+        WHERE _source_file IN ('bundles/event/' || (SELECT max(event_id) FROM events WHERE event_type = 'purchase' AND event_id % 17 = 0),
+            'bundles/order/' || (SELECT max(o_orderkey) FROM orders))""",
     "cdm_contract_violations": """
         SELECT 'person' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS violations FROM person
         UNION ALL SELECT replace(table_name, 'omop_', ''), count(*), count(*) FILTER (WHERE NOT person_known)
@@ -380,10 +400,16 @@ _BODIES = {
             + CAST(sum(CAST(c_custkey % 13 = 0 AS INT)) AS BIGINT) AS resources, CAST(0 AS BIGINT) AS damaged_files FROM customer
         UNION ALL SELECT 'damaged', 'not valid JSON', 0, count(*) FILTER (WHERE n_nationkey % 2 = 1) FROM nation
         UNION ALL SELECT 'empty', 'empty file', 0, count(*) FILTER (WHERE n_nationkey % 2 = 0) FROM nation""",
-    "gold_incremental_equals_full": """
-        SELECT table_name, count(*) AS row_count, count(*) FILTER (WHERE person_known) AS with_person, CAST(0 AS BIGINT) AS differing
-        FROM facts GROUP BY 1
-        UNION ALL SELECT 'omop_person', count(*), count(*), 0 FROM person""",
+    # A resource id that comes twice is one row of its silver table.
+    "gold_incremental_equals_full": " UNION ALL ".join(
+        f"""SELECT 'omop_{name}' AS table_name, count(DISTINCT _lineage_id) AS row_count,
+            count(DISTINCT CASE WHEN {known} THEN _lineage_id END) AS with_person, CAST(0 AS BIGINT) AS differing FROM {table}"""
+        for name, table, known in [
+            ("person", "person", "true"), ("visit_occurrence", "visit", "person_known"), ("condition_occurrence", "cond", "person_known"),
+            ("drug_exposure", "drug", "person_known"), ("measurement", "measurement", "person_known"),
+            ("observation", "omop_observation", "person_known"),
+        ]
+    ),
     "since_watermark": """
         SELECT 'corrected' AS status, count(*) AS count FROM encounter WHERE o % 3 = 0 OR o % 5 = 0
         UNION ALL SELECT 'amended', count(*) FROM encounter WHERE o % 5 = 0""",
@@ -393,6 +419,7 @@ _BODIES = {
     "cluster_by_keys": """
         SELECT fhir_patient_id, count(*) AS encounters, min(CAST(period_start AS DATE)) AS first_day,
             max(CAST(period_start AS DATE)) AS last_day FROM encounter GROUP BY 1""",
+    "cluster_z_order": "SELECT count(*) AS encounters, true AS patient_skips, true AS day_skips FROM encounter",
     "table_create_replace": "SELECT gender_code, count(*) AS patients FROM patient GROUP BY 1",
     "vocab_tsv_inferred": """
         SELECT 'bigint' AS id_type, 'string' AS name_type, true AS absent_is_none, count(*) AS concepts FROM raw_concept""",
@@ -409,9 +436,9 @@ _BODIES = {
         FROM resources""",
     "quality_consent_count": "SELECT count(*) AS consent_count FROM resources WHERE resource_type = 'Consent'",
     "quality_person_required": """
-        SELECT person_source_value FROM person WHERE year_of_birth IS NULL OR person_source_value IS NULL""",
+        SELECT person_source_value FROM person WHERE k % 9 = 0""",
     "quality_drug_dates_ordered": """
-        SELECT _lineage_id FROM drug WHERE drug_exposure_start_date > drug_exposure_end_date""",
+        SELECT _lineage_id FROM drug WHERE stop_reason = 'Stopped'""",
     "quality_condition_coverage": f"""
         SELECT count(*) AS total, count(*) FILTER (WHERE condition_concept_id > 0) AS mapped,
             count(*) FILTER (WHERE condition_concept_id = 0) AS unmapped, {_pct('condition_concept_id > 0')} AS coverage_pct
@@ -574,7 +601,7 @@ _BODIES = {
     "ext_drug_name_normalize": """
         SELECT fhir_medication_request_id, lower(trim(b.p_name)) AS ingredient, coalesce(i.id, 0) AS ingredient_concept_id,
             coalesce(i.id, 0) = 0 AS is_unmapped
-        FROM medication m LEFT JOIN part b ON b.p_partkey = m.p AND b.p_partkey % 2 = 0
+        FROM medication m LEFT JOIN part b ON b.p_partkey = m.p
         LEFT JOIN (SELECT lower(trim(concept_name)) AS name, min(concept_id) AS id FROM standard
             WHERE vocabulary_id IN ('RxNorm', 'RxNorm Extension') GROUP BY 1) i ON i.name = lower(trim(b.p_name))""",
     "ext_abha_dedup": f"""

@@ -7,6 +7,7 @@ reference counts of ``quality_unresolved_references``.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -69,8 +70,9 @@ def bronze_skipped_entries(w: Workload) -> DataFrame:
 
 @query
 def bronze_content_hash(w: Workload) -> DataFrame:
-    """Damaged files, hashed as they are."""
-    return w.customer_bundles.filter(F.length("bundle_json") == 0).select("_source_file", "_content_hash")
+    """Every encounter's file and every empty one, hashed as they are."""
+    empty = w.damaged_bundles.filter(F.trim(F.regexp_replace("bundle_json", r"\s", "")) == "")
+    return w.order_bundles.unionByName(empty).select("_source_file", "_content_hash")
 
 
 @query
@@ -140,14 +142,18 @@ def read_vocab_tsv(w: Workload) -> DataFrame:
 
 @query
 def join_resolve_person(w: Workload) -> DataFrame:
+    """The patient each encounter was resolved to, found back by the person's id."""
+    back = w.persons.df.select("person_id", F.col("fhir_patient_id").alias("resolved_patient"))
     resolved = joins.resolve_person(w.encounter, w.persons)
-    return resolved.select("fhir_encounter_id", F.col("person_id").isNotNull().alias("person_known"))
+    return resolved.join(back, "person_id", "left").select("fhir_encounter_id", "resolved_patient")
 
 
 @query
 def join_resolve_visit(w: Workload) -> DataFrame:
+    """The encounter each observation was resolved to, found back by the visit's id; none for the id 0."""
+    back = w.visits.df.select("visit_occurrence_id", F.col("fhir_encounter_id").alias("resolved_encounter"))
     resolved = joins.resolve_visit(w.observation, w.visits)
-    return resolved.select("fhir_observation_id", (F.col("visit_occurrence_id") != 0).alias("visit_known"))
+    return resolved.join(back, "visit_occurrence_id", "left").select("fhir_observation_id", "resolved_encounter")
 
 
 @query
@@ -233,10 +239,15 @@ def lineage_audit(w: Workload) -> DataFrame:
 
 @query
 def trace_lineage(w: Workload) -> DataFrame:
-    """Gold records of the bundles that gave more than one."""
+    """The gold records of one event's file, by the file, and of the last encounter, by its lineage id."""
     audit = gold.lineage_audit(w.gold)
-    busy = audit.groupBy("_source_file").agg(F.count("*").alias("n")).filter("n > 1").select("_source_file")
-    return audit.join(busy, "_source_file", "left_semi").select("_source_file", "omop_table")
+    both = (F.col("event_type") == "purchase") & (F.col("event_id") % 17 == 0)
+    event = w.table("events").agg(F.max(F.when(both, F.col("event_id"))).alias("last")).first()["last"]
+    order = w.table("orders").agg(F.max("o_orderkey").alias("last")).first()["last"]
+    file = f"bundles/order/{order}"
+    lineage = hashlib.sha256(f"{file}|ord-{order}".encode()).hexdigest()
+    found = gold.trace_lineage(audit, source_file=f"bundles/event/{event}").unionByName(gold.trace_lineage(audit, lineage_id=lineage))
+    return found.select("_source_file", "_lineage_id", "omop_table")
 
 
 @query
@@ -412,6 +423,33 @@ def cluster_by_keys(w: Workload) -> DataFrame:
     )
 
 
+@query
+def cluster_z_order(w: Workload) -> DataFrame:
+    """Encounters stored in 64 files along a Z-curve over patient and day: whether a filter on either alone skips most files."""
+    path = f"{tables.work_dir(w.spark)}/{_fresh('z')}"
+    encounters = w.encounter.withColumn("day", F.col("period_start").cast("date"))
+    before = w.spark.conf.get("spark.sql.shuffle.partitions")
+    w.spark.conf.set("spark.sql.shuffle.partitions", "64")
+    w.spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordered = tables.z_order(encounters.withColumn("patient", F.xxhash64("fhir_patient_id")), ["patient", "day"])
+        ordered.write.parquet(path)
+    finally:
+        w.spark.conf.set("spark.sql.shuffle.partitions", before)
+        w.spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = w.spark.read.parquet(path).withColumn("_file", F.col("_metadata.file_path"))
+    ranges = stored.groupBy("_file").agg(
+        F.min("patient").alias("p0"), F.max("patient").alias("p1"), F.min("day").alias("d0"), F.max("day").alias("d1"), F.count("*").alias("n")
+    )
+    middle = stored.agg(F.percentile_approx("patient", 0.3).alias("p"), F.expr("percentile_approx(unix_date(day), 0.7)").alias("d"))
+    met = ranges.join(F.broadcast(middle)).agg(
+        F.sum("n").alias("encounters"),
+        (F.count_if(F.col("p").between(F.col("p0"), F.col("p1"))) * 4 <= F.count("*")).alias("patient_skips"),
+        (F.count_if(F.col("d").between(F.unix_date("d0"), F.unix_date("d1"))) * 4 <= F.count("*")).alias("day_skips"),
+    )
+    return met
+
+
 @query
 def table_create_replace(w: Workload) -> DataFrame:
     """A schema, a table replaced by another content, a view over it, and what the view holds."""
@@ -469,8 +507,24 @@ def stream_upsert(w: Workload) -> DataFrame:
 
 register("quality_bronze_nulls", lambda w: quality.bronze_nulls(w.all_bronze))
 register("quality_consent_count", lambda w: quality.consent_count(w.patient_bronze))
-register("quality_person_required", lambda w: quality.person_required(w.person).select("person_source_value"))
-register("quality_drug_dates_ordered", lambda w: quality.drug_dates_ordered(w.drug_exposure).select("_lineage_id"))
+
+
+@query
+def quality_person_required(w: Workload) -> DataFrame:
+    """Persons of patients of whom every ninth has lost the birth date."""
+    key = F.regexp_extract("fhir_patient_id", r"(\d+)$", 1).cast("bigint")
+    patient = w.patient.withColumn("birth_date", F.when(key % 9 != 0, F.col("birth_date")))
+    person = gold.omop_person(patient, w.lookups["gender"], w.lookups["race"], w.transformed_at)
+    return quality.person_required(person).select("person_source_value")
+
+
+@query
+def quality_drug_dates_ordered(w: Workload) -> DataFrame:
+    """Exposures of which the stopped ones end a day too early, the cancelled ones on their day."""
+    early = F.when(F.col("stop_reason") == "Stopped", F.date_sub("drug_exposure_end_date", 1)).otherwise(F.col("drug_exposure_end_date"))
+    return quality.drug_dates_ordered(w.drug_exposure.withColumn("drug_exposure_end_date", early)).select("_lineage_id")
+
+
 register("quality_condition_coverage", lambda w: quality.condition_coverage(w.condition_occurrence, 101.0))
 register("quality_mapping_rates", lambda w: quality.mapping_rates(w.gold))
 register("quality_row_counts", lambda w: quality.row_counts(w.gold))
@@ -578,8 +632,7 @@ def ext_map_source_to_standard(w: Workload) -> DataFrame:
 @query
 def ext_drug_name_normalize(w: Workload) -> DataFrame:
     """Prescriptions named by a part, whose name stands for the ingredient."""
-    parts = w.table("part").filter(F.col("p_partkey") % 2 == 0)
-    brands = parts.selectExpr("concat('PART ', p_partkey) AS brand_name", "p_name AS ingredient")
+    brands = w.table("part").selectExpr("concat('PART ', p_partkey) AS brand_name", "p_name AS ingredient")
     named = extensions.drug_name_normalize(w.medication, brands, w.concept)
     return named.select("fhir_medication_request_id", "ingredient", "ingredient_concept_id", "is_unmapped")
 

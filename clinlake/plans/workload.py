@@ -94,9 +94,10 @@ PATIENT_ENTRIES = f"""array(
     CASE WHEN c_custkey % 11 = 0 THEN '{{"resource":{{"id":"untyped"}}}}' END,
     CASE WHEN c_custkey % 13 = 0 THEN '{{"resource":{{"resourceType":"Basic"}}}}' END,
     CASE WHEN c_custkey % 17 = 0 THEN '5' END)"""
-# One file in fifty is cut off, one in fifty is empty.
-PATIENT_BUNDLE = f"""CASE c_custkey % 50 WHEN 49 THEN substring({_bundle(PATIENT_ENTRIES)}, 1, 200) WHEN 24 THEN ''
-    ELSE {_bundle(PATIENT_ENTRIES)} END"""
+PATIENT_BUNDLE = _bundle(PATIENT_ENTRIES)
+# Besides every customer's whole bundle, a damaged copy of some: cut off, empty, or followed by more text.
+DAMAGED_BUNDLE = f"""CASE c_custkey % 50 WHEN 49 THEN substring({PATIENT_BUNDLE}, 1, 200) WHEN 24 THEN ' \n'
+    WHEN 7 THEN concat({PATIENT_BUNDLE}, ' more') END"""
 
 START = "CAST(o_orderdate AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, CAST(o_orderkey % 1440 AS INT))"
 ENCOUNTER = f"""named_struct(
@@ -239,6 +240,12 @@ class Workload:
         """Patients and consents."""
         return self._bundles(self.table("customer"), "customer", "c_custkey", PATIENT_BUNDLE)
 
+    @cached_property
+    def damaged_bundles(self) -> DataFrame:
+        """Copies of patient bundles that give nothing."""
+        damaged = self._bundles(self.table("customer"), "damaged", "c_custkey", DAMAGED_BUNDLE)
+        return damaged.filter("bundle_json IS NOT NULL")
+
     @cached_property
     def order_bundles(self) -> DataFrame:
         return self._single(self.table("orders"), "order", "o_orderkey", ENCOUNTER)
@@ -262,7 +269,7 @@ class Workload:
 
     @property
     def all_bundles(self) -> DataFrame:
-        parts = [self.order_bundles, self.condition_bundles, self.medication_bundles, self.event_bundles]
+        parts = [self.damaged_bundles, self.order_bundles, self.condition_bundles, self.medication_bundles, self.event_bundles]
         out = self.customer_bundles
         for part in parts:
             out = out.unionByName(part)

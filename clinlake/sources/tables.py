@@ -350,3 +350,44 @@ def cluster_by_keys(df: DataFrame, columns: Sequence[str], partition: str | None
     """
     by = ([partition] if partition else []) + list(columns) + ([tie] if tie in df.columns else [])
     return df.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
+def z_order(df: DataFrame, columns: Sequence[str], bits: int = 8, tie: str = LINEAGE_ID) -> DataFrame:
+    """Rows ranged and sorted along a Z-curve over the columns, so that a filter on any one of them reads few files.
+
+    Each column becomes the number of its quantile, so that skewed values spread evenly, and the bits of these numbers
+    are interleaved. The quantiles are approximate, at most 2^bits a column, of a hash for texts; equal values share a number. Nulls come first.
+    """
+    ranks = {}
+    for c in columns:
+        value = _sortable(df, c)
+        steps = [i / 2**bits for i in range(1, 2**bits)]
+        bounds = df.agg(F.percentile_approx(value, steps, 10_000).alias("q")).first()["q"] or []
+        cuts = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<double>")
+        ranks[c] = _below(cuts, value)
+    names = [f"_rank_{i}" for i in range(len(columns))]
+    ranked = df.withColumns(dict(zip(names, ranks.values())))
+    z = F.lit(0).cast("bigint")
+    for bit in range(bits):
+        for i, n in enumerate(names):
+            one = F.shiftright(F.col(n), bit).bitwiseAND(F.lit(1)).cast("bigint")
+            z = z.bitwiseOR(F.shiftleft(one, bit * len(names) + len(names) - 1 - i))
+    by = ["_z", *([tie] if tie in df.columns else [])]
+    return ranked.withColumn("_z", z).drop(*names).repartitionByRange(*by).sortWithinPartitions(*by).drop("_z")
+
+
+def _below(cuts: Column, value: Column) -> Column:
+    """How many of the cuts a value has reached; 0 for a null."""
+    return F.coalesce(F.size(F.filter(cuts, lambda cut: cut <= value)), F.lit(0))
+
+
+def _sortable(df: DataFrame, column: str) -> Column:
+    """A column as a number: dates and times by their place in time, texts by their hash."""
+    kind = df.schema[column].dataType.typeName()
+    if kind in ("string", "char", "varchar", "binary", "boolean"):
+        return F.when(F.col(column).isNotNull(), F.xxhash64(column)).cast("double")
+    if kind == "date":
+        return F.unix_date(column).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return F.col(column).cast("double")

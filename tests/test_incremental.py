@@ -40,28 +40,25 @@ def test_late_arrivals_and_changes(spark, layers, tmp_path, raw_concept):
     land(1, facts=bundle_of(CONDITION, MEDICATION, OBSERVATION, other), who=bundle_of(without(PATIENT, id="p-other")))
     assert check(spark, layers, some, 1, compare=False)["omop_condition_occurrence"] == 2
     assert one(spark.table(layers.gold_table("omop_measurement"))).person_id is None
-    # The patient comes after the facts, the encounter after that.
-    land(2, late=bundle_of(PATIENT))
+    # The patient and the encounter come after the facts.
+    land(2, late=bundle_of(PATIENT, ENCOUNTER))
     assert check(spark, layers, some, 2, compare=False) == {
-        "omop_person": 1, "omop_visit_occurrence": 0, "omop_condition_occurrence": 1, "omop_drug_exposure": 1,
+        "omop_person": 1, "omop_visit_occurrence": 1, "omop_condition_occurrence": 1, "omop_drug_exposure": 1,
         "omop_measurement": 1, "omop_observation": 1,
     }
-    assert one(spark.table(layers.gold_table("omop_measurement"))).person_id is not None
-    land(3, visit=bundle_of(ENCOUNTER))
-    assert check(spark, layers, some, 3)["omop_condition_occurrence"] == 0
-    assert one(spark.table(layers.gold_table("omop_measurement"))).visit_occurrence_id != 0
-    # Concepts come, and go again.
-    mapped = check(spark, layers, raw_concept, 4)
-    assert (mapped["omop_condition_occurrence"], mapped["omop_drug_exposure"], mapped["omop_measurement"]) == (2, 0, 1)
+    found = one(spark.table(layers.gold_table("omop_measurement")))
+    assert found.person_id is not None and found.visit_occurrence_id != 0
+    # Concepts come; a number becomes a text, so that its fact moves from one table to the other.
+    land(3, moved=bundle_of(without(OBSERVATION, "valueQuantity", valueString="high")))
+    mapped = check(spark, layers, raw_concept, 3)
+    assert (mapped["omop_condition_occurrence"], mapped["omop_drug_exposure"]) == (2, 0)
     assert {r.condition_concept_id for r in spark.table(layers.gold_table("omop_condition_occurrence")).collect()} == {317009}
-    assert check(spark, layers, some, 5, compare=False)["omop_condition_occurrence"] == 2
-    # A number becomes a text: the fact moves from one table to the other.
-    land(6, moved=bundle_of(without(OBSERVATION, "valueQuantity", valueString="high")))
-    check(spark, layers, some, 6)
     assert spark.table(layers.gold_table("omop_measurement")).count() == 0
     assert spark.table(layers.gold_table("omop_observation")).count() == 1
-    # Nothing new maps nothing.
-    assert set(check(spark, layers, some, 7, compare=False).values()) == {0}
+    # Concepts go again; nothing else is new.
+    mapped = check(spark, layers, some, 4, compare=False)
+    assert (mapped["omop_condition_occurrence"], mapped["omop_person"], mapped["omop_drug_exposure"]) == (2, 0, 0)
+    assert {r.condition_concept_id for r in spark.table(layers.gold_table("omop_condition_occurrence")).collect()} == {0}
     assert spark.newSession().table(layers.gold_table("lineage_audit")).count() == 7
 
 

@@ -244,6 +244,27 @@ def test_partition_and_cluster(spark, tmp_path):
     assert stored.count() == 3000
 
 
+def test_z_order_skips_files_by_either_column(spark, tmp_path):
+    points = spark.range(4096).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).alias("b"), F.col("id").cast("string").alias("_lineage_id"))
+    odd = spark.createDataFrame([(None, None, "n"), (3, None, "m")], "a bigint, b bigint, _lineage_id string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        for name, ordered in (("z", tables.z_order(points.unionByName(odd), ["a", "b"], 6)), ("r", tables.cluster_by_keys(points, ["a", "b"]))):
+            ordered.write.parquet(str(tmp_path / name))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+    def read(name, column):
+        stored = spark.read.parquet(str(tmp_path / name)).groupBy(F.input_file_name().alias("f")).agg(F.min(column).alias("lo"), F.max(column).alias("hi"))
+        files = stored.collect()
+        return sum(r.lo is not None and r.lo <= 20 <= r.hi for r in files) / len(files)
+
+    assert spark.read.parquet(str(tmp_path / "z")).count() == 4098
+    assert read("z", "a") <= 0.4 and read("z", "b") <= 0.4 and read("r", "b") >= 0.9
+
+
 def test_one_hot_person_and_day_is_split_over_tasks(spark):
     hot = spark.range(20000).select(F.lit(1).alias("person_id"), F.lit("2020-01-01").alias("d"), F.sha2(F.col("id").cast("string"), 256).alias("_lineage_id"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
