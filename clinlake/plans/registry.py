@@ -357,7 +357,7 @@ def land_manifest(w: Workload) -> DataFrame:
 @query
 def gold_incremental_equals_full(w: Workload) -> DataFrame:
     """Facts first, every third patient and a vocabulary later: gold by changed keys, beside a full build of the same silver."""
-    layers = Layers(*(_fresh(f"inc_{x}") for x in "bsg"), location=tables.work_dir(w.spark), buckets=16)
+    layers = Layers(*(_fresh(f"inc_{x}") for x in "bsg"), location=tables.work_dir(w.spark))
     tables.ensure_schema(w.spark, layers.bronze)
     late = F.regexp_extract("_source_file", r"customer/(\d+)$", 1).try_cast("bigint") % 3 == 0
     late = F.coalesce(late, F.lit(False))
@@ -370,7 +370,7 @@ def gold_incremental_equals_full(w: Workload) -> DataFrame:
         manifest.land_bundles(whole, layers.raw, layers.manifest, layers.location)
         build.load_vocabulary(w.spark, concept, None, layers)
         build.refresh_silver(w.spark, layers)
-        incremental.refresh_gold_incremental(w.spark, layers)
+        incremental.refresh_gold_incremental(w.spark, layers, buckets=16)
     full = replace(layers, gold=_fresh("inc_full"))
     build.load_vocabulary(w.spark, w.raw_concept, None, full)
 
