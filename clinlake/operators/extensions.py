@@ -12,6 +12,7 @@ from clinlake.operators.bronze import route
 from clinlake.operators.joins import Lookup, left_lookup
 from clinlake.operators.silver import LINEAGE
 from clinlake.sources.contracts import CDM, conform
+from clinlake.sources.tables import staged
 
 
 def consent_audit(bronze: DataFrame) -> DataFrame:
@@ -106,6 +107,106 @@ def map_source_to_standard(facts: DataFrame, keys: DataFrame, system: str, code:
     return joined.withColumnRenamed("concept_id", out).withColumn(out, F.coalesce(out, X.bigint(config.UNMAPPED)))
 
 
+def map_source_to_standards(facts: DataFrame, targets: DataFrame, system: str, code: str, out: str) -> DataFrame:
+    """One row per fact and standard concept its source code maps to; ``targets`` from ``source_to_standard_targets``.
+
+    Adds the concept ``out``, ``target_no`` from 1 in the order of concept ids, ``target_count`` and ``target_key``, a
+    surrogate key of lineage and number. A fact without a target keeps one row: concept 0, number 1, count 0. The lookup has one
+    row per code, so facts meet it like any other lookup and fan out only afterwards, each in its own task.
+    """
+    names = facts.columns
+    small = joins.fits_broadcast(targets.select("vocabulary", "concept_code", F.explode("targets")))
+    lookup = Lookup(targets, ("vocabulary", "concept_code"), small)
+    joined = left_lookup(facts, lookup, [X.vocabulary_of(F.col(system)), F.col(code)], F.col("_lineage_id"))
+    known = F.coalesce("targets", F.array(X.bigint(config.UNMAPPED)))
+    counted = F.coalesce(F.size("targets"), F.lit(0)).cast("bigint").alias("target_count")
+    rows = joined.select(*names, counted, F.posexplode(known).alias("target_no", out))
+    rows = rows.withColumn("target_no", (F.col("target_no") + 1).cast("bigint"))
+    key = F.concat_ws("|", "_lineage_id", F.col("target_no").cast("string"))
+    return rows.withColumn("target_key", X.surrogate_key(key))
+
+
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def ingredient_index(brands: DataFrame, concept: DataFrame) -> DataFrame:
+    """name (words joined by spaces), n (words), ingredients (ingredient, ingredient_concept_id): one row per name.
+
+    Names are brands, which stand for all of their ingredients, and ingredients themselves. An ingredient that no standard
+    drug concept is named by has concept 0.
+    """
+    said = lambda c: F.array_join(_words(F.col(c)), " ")
+    drugs = concept.filter(F.col("vocabulary_id").isin(config.DRUG_VOCABULARIES) & (F.col("standard_concept") == "S"))
+    known = drugs.groupBy(said("concept_name").alias("ingredient")).agg(F.min("concept_id").alias("id")).filter("ingredient <> ''")
+    parts = brands.select(said("brand_name").alias("name"), said("ingredient").alias("ingredient"))
+    parts = parts.unionByName(known.select(F.col("ingredient").alias("name"), "ingredient")).filter("name <> '' AND ingredient <> ''")
+    named = parts.distinct().join(known, "ingredient", "left")
+    one = F.struct("ingredient", F.coalesce("id", X.bigint(config.UNMAPPED)).alias("ingredient_concept_id"))
+    listed = named.groupBy("name").agg(F.array_sort(F.collect_set(one)).alias("ingredients"))
+    return listed.withColumn("n", F.size(F.split("name", " ")))
+
+
+def found_ingredients(texts: DataFrame, index: DataFrame) -> DataFrame:
+    """text, ingredients, unmatched_words: what each text of the column ``text`` names.
+
+    Runs of words as long as any name of the index are looked up by equality, leftmost first, longest first, without overlap:
+    in `a b + c` the name `a b` wins over `a`. An ingredient named twice is listed once, at its first place.
+    """
+    # At most as many lengths as the longest name has words.
+    lengths = sorted(r["n"] for r in index.select("n").distinct().collect())
+    words = texts.select("text", _words(F.col("text")).alias("words"))
+    runs = [
+        F.expr(
+            f"CASE WHEN size(words) >= {n} THEN transform(sequence(0, size(words) - {n}), "
+            f"i -> named_struct('at', i, 'n', {n}, 'name', array_join(slice(words, i + 1, {n}), ' '))) "
+            "ELSE cast(array() AS array<struct<at int, n int, name string>>) END"
+        )
+        for n in lengths
+    ]
+    if not runs:
+        nothing = F.array().cast("array<struct<ingredient:string,ingredient_concept_id:bigint>>")
+        return words.select("text", nothing.alias("ingredients"), F.size("words").cast("bigint").alias("unmatched_words"))
+    each = words.select("text", F.explode(F.concat(*runs)).alias("r")).select("text", "r.*")
+    names = index.select(joins.own_shuffle(F.col("name")).alias("_k"), "ingredients")
+    if joins.fits_broadcast(index.select("name", F.explode("ingredients.ingredient"))):
+        names = F.broadcast(names)
+    hits = each.withColumn("_k", joins.own_shuffle(F.col("name"))).join(names, "_k")
+    hits = hits.groupBy("text").agg(F.array_sort(F.collect_list(F.struct("at", (-F.col("n")).alias("shorter"), "ingredients"))).alias("hits"))
+    chosen = F.expr(
+        """aggregate(hits, named_struct('past', 0, 'kept', slice(hits, 1, 0)),
+        (s, h) -> CASE WHEN h.at >= s.past THEN named_struct('past', h.at - h.shorter, 'kept', array_append(s.kept, h)) ELSE s END,
+        s -> s.kept)"""
+    )
+    hits = hits.select("text", chosen.alias("kept"))
+    covered = F.expr("aggregate(kept, 0, (n, h) -> n - h.shorter)").alias("covered")
+    hits = hits.select("text", F.array_distinct(F.flatten("kept.ingredients")).alias("ingredients"), covered)
+    left = (F.size("words") - F.coalesce("covered", F.lit(0))).cast("bigint").alias("unmatched_words")
+    return words.join(hits, "text", "left").select("text", "ingredients", left)
+
+
+def drug_ingredients(medication: DataFrame, brands: DataFrame, concept: DataFrame) -> DataFrame:
+    """One row per prescription and ingredient its text names: brands, ingredients and combinations of them (`A + B`).
+
+    Adds ``ingredient_no`` from 1, ``ingredient``, ``ingredient_concept_id`` (0 where no concept is named so), ``is_unmapped`` and
+    ``unmatched_words``, the words of the text in no name. A text that names nothing, and a missing one, keeps one row without
+    an ingredient. Each distinct text is searched once. ``brands`` has ``brand_name, ingredient``, one row per ingredient.
+    """
+    names = medication.columns
+    texts = medication.select(F.col("drug_source_display").alias("text")).filter("text IS NOT NULL").distinct()
+    # Searched once, for its size and for the join.
+    found = staged(found_ingredients(texts, ingredient_index(brands, concept)))
+    small = joins.fits_broadcast(found.select("text", F.explode_outer("ingredients.ingredient")))
+    joined = left_lookup(medication, Lookup(found, ("text",), small), [F.col("drug_source_display")], F.col("_lineage_id"))
+    rows = joined.select(*names, "unmatched_words", F.posexplode_outer("ingredients").alias("ingredient_no", "i"))
+    concept_id = F.coalesce("i.ingredient_concept_id", X.bigint(config.UNMAPPED))
+    number = (F.coalesce("ingredient_no", F.lit(0)) + 1).cast("bigint").alias("ingredient_no")
+    return rows.select(
+        *names, number, F.col("i.ingredient").alias("ingredient"), concept_id.alias("ingredient_concept_id"),
+        (concept_id == 0).alias("is_unmapped"), "unmatched_words",
+    )
+
+
 def drug_name_normalize(medication: DataFrame, brands: DataFrame, concept: DataFrame) -> DataFrame:
     """Adds ingredient and drug concept of a brand name, and whether it stays unmapped.
 

@@ -124,8 +124,8 @@ def vocab_sample(concept: DataFrame, vocabularies: Sequence[str], n: int | None
     return sample if n is None else sample.limit(n)
 
 
-def source_to_standard_keys(concept: DataFrame, relationship: DataFrame) -> DataFrame:
-    """``(vocabulary, code)`` of any concept to the standard concept it maps to.
+def source_to_standard_edges(concept: DataFrame, relationship: DataFrame) -> DataFrame:
+    """``(vocabulary, code)`` of any concept to every standard concept it maps to, one row each.
 
     Needs the concept table before ``load_concept``, which drops source concepts.
     """
@@ -134,5 +134,20 @@ def source_to_standard_keys(concept: DataFrame, relationship: DataFrame) -> Data
         lookup_vocabulary(F.col("vocabulary_id")).alias("vocabulary"), "concept_code", F.col("concept_id").alias("concept_id_1")
     )
     target = concept_subset(concept).select(F.col("concept_id").alias("concept_id_2"))
-    mapped = source.join(edges, "concept_id_1").join(target, "concept_id_2")
+    return source.join(edges, "concept_id_1").join(target, "concept_id_2").select("vocabulary", "concept_code", "concept_id_2")
+
+
+def source_to_standard_keys(concept: DataFrame, relationship: DataFrame) -> DataFrame:
+    """``(vocabulary, code)`` to one standard concept it maps to, the one with the lowest id."""
+    mapped = source_to_standard_edges(concept, relationship)
     return mapped.groupBy("vocabulary", "concept_code").agg(F.min("concept_id_2").alias("concept_id"))
+
+
+def source_to_standard_targets(concept: DataFrame, relationship: DataFrame) -> DataFrame:
+    """``(vocabulary, code)`` to all standard concepts it maps to, in the order of their ids: one row per code.
+
+    A code has as many targets as the vocabulary gives it, however many facts carry it.
+    """
+    mapped = source_to_standard_edges(concept, relationship)
+    targets = F.array_sort(F.collect_set("concept_id_2")).alias("targets")
+    return mapped.groupBy("vocabulary", "concept_code").agg(targets)

@@ -607,6 +607,44 @@ _BODIES = {
     "ext_abha_dedup": f"""
         SELECT count(*) AS patients, count(DISTINCT CASE WHEN {_valid('abha_id')} THEN abha_id ELSE fhir_patient_id END) AS persons
         FROM patient""",
+    "ext_identity_components": f"""
+        , held AS (
+            SELECT fhir_patient_id AS p, 'n' || abha_id AS i FROM patient WHERE {_valid('abha_id')}
+            UNION SELECT fhir_patient_id, 'i' || k // 4 FROM patient WHERE k % 4 <> 3
+            UNION SELECT fhir_patient_id, 'i' || (k // 4 - 1) FROM patient WHERE k % 4 = 0 AND k % 40 <> 0),
+        reach AS (
+            SELECT fhir_patient_id AS p, fhir_patient_id AS q FROM patient
+            UNION SELECT r.p, b.p FROM reach r JOIN held a ON a.p = r.q JOIN held b ON b.i = a.i)
+        SELECT p AS fhir_patient_id, min(q) AS holder FROM reach GROUP BY 1""",
+    "ext_map_source_to_standards": """
+        , edge AS (
+            SELECT concept_id_1 AS a, concept_id_2 AS b FROM relationship
+            WHERE relationship_id = 'Maps to' AND valid_end_date = DATE '2099-12-31'
+            UNION SELECT 4000000000 + p_partkey, 500000000 + p_partkey FROM part WHERE p_partkey % 4 = 0),
+        target AS (
+            SELECT DISTINCT s.concept_code, t.concept_id FROM raw_concept s JOIN edge ON s.concept_id = a
+            JOIN raw_concept t ON t.concept_id = b
+            WHERE s.vocabulary_id = 'ICD10' AND t.standard_concept = 'S')
+        SELECT fhir_condition_id, coalesce(concept_id, 0) AS standard_concept_id,
+            row_number() OVER (PARTITION BY fhir_condition_id ORDER BY concept_id) AS target_no,
+            count(concept_id) OVER (PARTITION BY fhir_condition_id) AS target_count
+        FROM condition LEFT JOIN target
+            ON condition_source_code = concept_code AND condition_source_vocabulary = 'http://hl7.org/fhir/sid/icd-10'""",
+    "ext_drug_ingredients": r"""
+        , stands AS (
+            SELECT p_partkey AS p, lower(trim(p_name)) AS ingredient FROM part
+            UNION SELECT p_partkey, lower(trim(p_type)) FROM part WHERE p_partkey % 3 = 0),
+        named AS (
+            SELECT m.fhir_medication_request_id AS id, min(s.p) AS place, s.ingredient
+            FROM medication m JOIN stands s ON s.p IN (m.p, m.p + 1) GROUP BY ALL),
+        known AS (
+            SELECT lower(trim(concept_name)) AS ingredient, min(concept_id) AS concept FROM standard
+            WHERE vocabulary_id IN ('RxNorm', 'RxNorm Extension') GROUP BY 1)
+        SELECT m.fhir_medication_request_id, row_number() OVER (PARTITION BY m.fhir_medication_request_id ORDER BY place, n.ingredient) AS ingredient_no,
+            n.ingredient, coalesce(concept, 0) AS ingredient_concept_id, concept IS NULL AS is_unmapped,
+            CASE WHEN m.p IN (SELECT p_partkey FROM part) THEN 0 ELSE 2 END
+                + CAST(CASE WHEN m.p + 1 IN (SELECT p_partkey FROM part) THEN 0 ELSE 2 END AS BIGINT) AS unmatched_words
+        FROM medication m LEFT JOIN named n ON n.id = m.fhir_medication_request_id LEFT JOIN known USING (ingredient)""",
     "ext_abha_duplicates": f"""
         SELECT abha_id, count(*) AS patients FROM patient WHERE {_valid('abha_id')} GROUP BY 1 HAVING count(*) > 1""",
     # -- scalar functions
@@ -624,4 +662,4 @@ _BODIES = {
 
 def oracle_sql() -> dict[str, str]:
     shared = ",\n".join(f"{name} AS ({body})" for name, body in CTES.items())
-    return {name: f"WITH {shared}\n{body}" for name, body in _BODIES.items()}
+    return {name: f"WITH RECURSIVE {shared}\n{body}" for name, body in _BODIES.items()}

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from clinlake import config
 from clinlake.functions import exprs as X
-from clinlake.operators import bronze, extensions, gold, joins, quality, reports, vocab
+from clinlake.operators import bronze, extensions, gold, identity, joins, quality, reports, vocab
 from clinlake.plans import build, incremental
 from clinlake.plans.build import Layers
 from clinlake.plans.workload import Workload
@@ -644,6 +644,52 @@ def ext_abha_dedup(w: Workload) -> DataFrame:
     return crosswalk.agg(F.count("*").alias("patients"), F.countDistinct("person_id").alias("persons"))
 
 
+@query
+def ext_identity_components(w: Workload) -> DataFrame:
+    """Patients and their persons, over national ids and insurance numbers.
+
+    Three of four customers share a number with their neighbours, and some hold that of the group before too, so that groups
+    form chains that only their links hold together.
+    """
+    insured = w.table("customer").selectExpr(
+        "concat('cust-', c_custkey) AS fhir_patient_id",
+        "explode(filter(array(IF(c_custkey % 4 <> 3, c_custkey DIV 4, NULL), "
+        "IF(c_custkey % 4 = 0 AND c_custkey % 40 <> 0, c_custkey DIV 4 - 1, NULL)), g -> g IS NOT NULL)) AS g",
+    )
+    numbers = insured.select("fhir_patient_id", F.lit("urn:clinlake:insurance").alias("system"), F.col("g").cast("string").alias("value"))
+    held = identity.national_ids(w.patient_bronze).unionByName(numbers)
+    return identity.person_identity(w.patient, held)
+
+
+@query
+def ext_map_source_to_standards(w: Workload) -> DataFrame:
+    """Every condition with all standard concepts its code maps to: every fourth part's code maps to an observation too."""
+    second = w.table("part").filter("p_partkey % 4 = 0").selectExpr(
+        "4000000000L + p_partkey AS concept_id_1", "500000000L + p_partkey AS concept_id_2", "'Maps to' AS relationship_id",
+        "DATE'1970-01-01' AS valid_start_date", f"DATE'{config.OPEN_END_DATE}' AS valid_end_date",
+    )
+    relationship = vocab.load_relationship(w.relationship.unionByName(second))
+    targets = vocab.source_to_standard_targets(w.raw_concept, relationship)
+    mapped = extensions.map_source_to_standards(
+        w.condition, targets, "condition_source_vocabulary", "condition_source_code", "standard_concept_id"
+    )
+    return mapped.select("fhir_condition_id", "standard_concept_id", "target_no", "target_count")
+
+
+@query
+def ext_drug_ingredients(w: Workload) -> DataFrame:
+    """Prescriptions of two parts each; a part stands for the ingredient of its name, every third one for its type as well."""
+    named = "concat('PART ', p_partkey) AS brand_name"
+    part = w.table("part")
+    brands = part.selectExpr(named, "p_name AS ingredient").unionByName(part.filter("p_partkey % 3 = 0").selectExpr(named, "p_type AS ingredient"))
+    next_part = F.concat(F.lit(" + Part "), (F.col("drug_source_code").cast("bigint") + 1).cast("string"))
+    both = w.medication.withColumn("drug_source_display", F.concat("drug_source_display", next_part))
+    found = extensions.drug_ingredients(both, brands, w.concept)
+    return found.select(
+        "fhir_medication_request_id", "ingredient_no", "ingredient", "ingredient_concept_id", "is_unmapped", "unmatched_words"
+    )
+
+
 register("ext_abha_duplicates", lambda w: extensions.abha_duplicates(w.patient))
 
 
