@@ -9,6 +9,7 @@ the tasks in blocks of bounded size.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,8 @@ ERROR_RATE = 0.1
 #: Characters of benchmark text that one pass over the documents compares with.
 BLOCK_CHARS = 4_000_000
 _CHUNK_CHARS = 1 << 19
+#: Cells of q-grams and regions of a text that one step handles at once.
+_ROWS, _REGIONS = 1 << 20, 1 << 11
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _TABLE_BITS = 21
 _IS_SPACE = np.zeros(0x3002, bool)
@@ -124,41 +127,82 @@ class _Index:
         self.k = np.array(self.budget, int)
         self.bound = np.maximum(1, self.m - Q + 1 - self.k * Q)
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Item, place in the item and place in the codes of every shared q-gram."""
+    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the codes whose q-gram is in the index, and the number of that q-gram."""
         found = []
         for a in range(0, max(1, len(codes) - Q + 1), _CHUNK_CHARS):
             g = _grams(codes[a : a + _CHUNK_CHARS + Q - 1])
             at = np.flatnonzero(self.seen[g >> np.uint64(64 - _TABLE_BITS)])
             where = np.searchsorted(self.grams, g[at])
             ok = self.grams[np.minimum(where, len(self.grams) - 1)] == g[at]
-            at, where = at[ok] + a, where[ok]
-            many = self.first[where + 1] - self.first[where]
-            entry = np.repeat(self.first[where] - np.cumsum(many) + many, many) + np.arange(many.sum())
-            found.append((self.owner[entry], self.place[entry], np.repeat(at, many)))
+            found.append((at[ok] + a, where[ok]))
         return tuple(np.concatenate(x) for x in zip(*found))
 
     def regions(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
-        """Item, first diagonal and shared q-grams of the bands that reach the bound."""
-        item, place, at = self.hits(codes)
-        # Chance hits are many: items that fall short over the whole text go first, bands that fall short with repeats next.
-        some = (np.bincount(item, minlength=len(self.m)) >= self.bound)[item]
-        if not some.any():
+        """Item, first diagonal and shared q-grams of the bands that reach the bound.
+
+        Memory grows with the text and the index, not with their product: repeats of a q-gram are first gathered into cells.
+        """
+        at, gram = self.hits(codes)
+        if not len(at):
             return []
-        item, place, at = item[some], place[some], at[some]
-        # Band b holds the diagonals b * (k + 1) up to (b + 2) * (k + 1): each hit is in two bands.
-        band = (at - place) // (self.k[item] + 1)
-        key = (np.r_[item, item] << 40) + np.r_[band, band - 1] + (1 << 39)
-        keys, which, counts = np.unique(key, return_inverse=True, return_counts=True)
-        owner, twice, keep = keys >> 40, np.r_[place, place], []
-        for i in np.flatnonzero(counts >= self.bound[owner]).tolist():
-            shared, own = len(np.unique(twice[which == i])), int(owner[i])
-            if shared >= self.bound[own]:
-                first = (int(keys[i]) & ((1 << 40) - 1)) - (1 << 39)
-                keep.append((own, first * (int(self.k[own]) + 1), shared))
+        order = np.argsort(gram, kind="stable")
+        at, gram = at[order], gram[order]
+        grams = gram[np.r_[True, gram[1:] != gram[:-1]]]
+        many = self.first[grams + 1] - self.first[grams]
+        entry = np.repeat(self.first[grams] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        # An item whose q-grams are found at too few of its places falls short in every band.
+        entry = entry[(np.bincount(self.owner[entry], minlength=len(self.m)) >= self.bound)[self.owner[entry]]]
+        entry = entry[np.argsort(self.owner[entry], kind="stable")]
+        owner, keep = self.owner[entry], []
+        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else []
+        for a, b in zip(starts, [*starts[1:], len(owner)]):
+            own, places = int(owner[a]), self.place[entry[a:b]]
+            ids = np.searchsorted(self.first, entry[a:b], side="right") - 1
+            first, counts = _band_counts(at, gram, ids, places, int(self.k[own]) + 1)
+            keep += [(own, (first + int(i)) * (int(self.k[own]) + 1), int(counts[i])) for i in np.flatnonzero(counts >= self.bound[own])]
         return keep
 
 
+def _band_counts(at: np.ndarray, gram: np.ndarray, ids: np.ndarray, places: np.ndarray, width: int) -> tuple[int, np.ndarray]:
+    """Number of the first band, and in how many places of an item each band shares a q-gram with the text.
+
+    `at` are places in the text, sorted by `gram` and place; the item has q-gram `ids[i]` at `places[i]`. Band b holds the diagonals
+    b * width up to (b + 2) * width, so each diagonal is in two. Of the occurrences of a q-gram in a cell of `width` places
+    the first and the last reach every band that any of them reaches.
+    """
+    wanted = np.unique(ids)
+    low, n = np.searchsorted(gram, wanted), np.searchsorted(gram, wanted, side="right")
+    n -= low
+    some = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+    at, gram = at[some], gram[some]
+    cell = at // width
+    new = np.r_[True, (cell[1:] != cell[:-1]) | (gram[1:] != gram[:-1])]
+    ends, cells = (at[new], at[np.r_[new[1:], True]]), gram[new]
+    low, high = np.searchsorted(cells, ids), np.searchsorted(cells, ids, side="right")
+    lengths = high - low
+    first = (int(at.min()) - int(places.max())) // width - 1
+    counts = np.zeros((int(at.max()) - int(places.min())) // width - first + 1, np.int64)
+    upto = np.cumsum(lengths)
+    begin = 0
+    while begin < len(ids):
+        done = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, done + _ROWS, side="right")))
+        n = lengths[begin:end]
+        row = np.repeat(low[begin:end] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        who, place = np.repeat(np.arange(begin, end), n), np.repeat(places[begin:end], n)
+        # Both ends of each cell, in order: numbers rise within a place of the item.
+        band = np.stack([(e[row] - place) // width - first for e in ends], axis=1).ravel()
+        who = np.repeat(who, 2)
+        apart = np.r_[True, who[1:] != who[:-1]]
+        fresh = apart | np.r_[True, band[1:] != band[:-1]]
+        band, apart = band[fresh], apart[fresh]
+        lower = apart | np.r_[True, band[1:] - band[:-1] > 1]
+        counts += np.bincount(band, minlength=len(counts)) + np.bincount(band[lower] - 1, minlength=len(counts))
+        begin = end
+    return first, counts
+
+
 def passages(documents: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """doc_id, item_id, start, end, edits, shared_qgrams: every occurrence of a benchmark item in a document (doc_id, text).
 
@@ -166,7 +210,7 @@ def passages(documents: DataFrame, benchmark: DataFrame, error_rate: float = ERR
     a tenth of its characters. Overlapping occurrences of one item count once, as the one with the
     fewest edits. Items of fewer than eight characters, null or blank ones match nothing, as do null and empty texts. Repeated
     rows are compared row by row, repeated items give their rows again; null ids stay null. An empty table gives no rows.
-    Further columns are left out.
+    Further columns are left out. Long and repetitive texts take memory in proportion to their length.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.where("length(text) >= 1")
@@ -218,17 +262,29 @@ def _matches(index: _Index, text: str | None) -> list[tuple[int, int, int, int,
     out = []
     for item, regions in found.items():
         k = int(index.k[item])
-        regions = sorted(set(regions))
-        text = index.texts[item]
-        exact = [_verbatim(text, codes[a:b]) for a, b, _ in regions]
-        best = [(0, a + s, a + s + len(text), shared) for s, (a, _, shared) in zip(exact, regions) if s >= 0]
-        regions = [r for s, r in zip(exact, regions) if s < 0]
-        aligned = _align(text, [codes[a:b].astype(np.int64) for a, b, _ in regions], 4 * k + 2) if regions else []
-        best += [(cost, a + s, a + e, shared) for (cost, s, e), (a, _, shared) in zip(aligned, regions) if cost <= k]
+        text, best, seen = index.texts[item], [], {}
+        for a, b, shared in sorted(set(regions)):
+            seen.setdefault(codes[a:b].tobytes(), []).append((a, shared))
+        # Regions of the same characters, as repeats have them, are compared once.
+        left = []
+        for key, places_of in seen.items():
+            s = _verbatim(text, np.frombuffer(key, codes.dtype))
+            if s >= 0:
+                best += [(0, a + s, a + s + len(text), shared) for a, shared in places_of]
+            else:
+                left.append(key)
+        for at in range(0, len(left), _REGIONS):
+            part = left[at : at + _REGIONS]
+            for key, (cost, s, e) in zip(part, _align(text, [np.frombuffer(x, codes.dtype).astype(np.int64) for x in part], 4 * k + 2)):
+                if cost <= k:
+                    best += [(cost, a + s, a + e, shared) for a, shared in seen[key]]
         best.sort()
-        taken: list[tuple[int, int]] = []
+        # Taken occurrences do not overlap: only the neighbours of a new one can.
+        starts: list[int] = []
+        ends: list[int] = []
         for cost, s, e, shared in best:
-            if all(e <= x or s >= y for x, y in taken):
-                taken.append((s, e))
+            i = bisect_left(starts, s)
+            if (i == 0 or ends[i - 1] <= s) and (i == len(starts) or starts[i] >= e):
+                starts.insert(i, s), ends.insert(i, e)
                 out.append((item, int(places[s]), int(places[e - 1]) + 1, cost, shared))
     return out
