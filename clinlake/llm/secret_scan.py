@@ -19,14 +19,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.llm.common import stage
+from clinlake.operators.joins import own_shuffle
 
 KINDS = ("assign", "access", "hex", "token")
 #: Values with at least this many distinct owners are copied examples.
 EXAMPLE_OWNERS = 3
 #: Bits a character from which a token looks random.
 MIN_ENTROPY = 3.5
-#: Texts with secrets are broadcast for redaction only when counted below this.
-BROADCAST_TEXTS = 100_000
+#: Texts with secrets are broadcast for redaction only when they and their spans are counted below these (about 32 MB).
+BROADCAST_TEXTS, BROADCAST_SPANS = 100_000, 400_000
+#: Counts of hashes are broadcast only when counted below this (32 MB).
+BROADCAST_HASHES = 1_000_000
 
 # The patterns of the base kinds, and the shortest value of each.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -113,7 +116,13 @@ def scan(documents: DataFrame, owner: Column | None = None, repository: Column |
         repository = F.concat_ws("/", "source", "lang")
     found = candidates(documents, owner, repository)
     counts = ownership(found, example_owners)
-    each = found.select("uid", F.explode("found").alias("s")).select("uid", "s.*").join(counts, "hash")
+    # A widely copied value is a hot hash. Beyond the bound the counts get a shuffle for this join alone, so that its
+    # partition can be split, which one that an aggregation by the hash has left could not be.
+    counts = stage(counts, "counts")
+    small = counts.count() <= BROADCAST_HASHES
+    counts = counts.select(own_shuffle(F.col("hash")).alias("__llm_hash"), "n_owners", "n_repositories", "live")
+    each = found.select("uid", F.explode("found").alias("s")).select("uid", "s.*").withColumn("__llm_hash", own_shuffle(F.col("hash")))
+    each = each.join(F.broadcast(counts) if small else counts, "__llm_hash")
     span = F.struct("start", "kind", "end", "hash", "n_owners", "n_repositories", "live")
     kept = each.where(f"kind < {KINDS.index('token')} or live").groupBy("uid").agg(F.array_sort(F.collect_list(span)).alias("spans"))
     out = found.select("uid", "text_id", F.when(F.col("known"), F.col("doc_id")).alias("doc_id")).join(kept, "uid", "left")
@@ -129,7 +138,8 @@ def redact(documents: DataFrame, **options) -> DataFrame:
     """
     spans = scan(documents, **options).where("size(spans) > 0").select("text_id", "spans").dropDuplicates(["text_id"])
     spans = stage(spans.select(F.col("text_id").alias("__llm_text"), F.col("spans").alias("__llm_spans")), "spans")
-    if spans.count() <= BROADCAST_TEXTS:
+    size = spans.agg(F.count("*"), F.sum(F.size("__llm_spans"))).first()
+    if size[0] <= BROADCAST_TEXTS and (size[1] or 0) <= BROADCAST_SPANS:
         spans = F.broadcast(spans)
     pieces = F.expr(
         """aggregate(__llm_spans, struct(cast(0 as long) as at, cast('' as string) as made),
@@ -143,7 +153,7 @@ def redact(documents: DataFrame, **options) -> DataFrame:
     out = out.withColumn("text", F.when(clean, F.col("text")).otherwise(pieces))
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(clean, F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return out.select(*documents.columns)
+    return out.select(*[F.col("`" + c.replace("`", "``") + "`") for c in documents.columns])
 
 
 def digests(scanned: DataFrame) -> DataFrame:
