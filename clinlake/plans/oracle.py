@@ -380,6 +380,23 @@ _BODIES = {
         SELECT 'person' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS violations FROM person
         UNION ALL SELECT replace(table_name, 'omop_', ''), count(*), count(*) FILTER (WHERE NOT person_known)
         FROM facts GROUP BY 1""",
+    "cdm_dead_letters": """
+        , judged AS (
+            SELECT replace(table_name, 'omop_', '') AS t, CASE WHEN NOT person_known THEN 'required:person_id' END AS one,
+                CAST(NULL AS VARCHAR) AS two FROM facts WHERE table_name <> 'omop_drug_exposure'
+            UNION ALL SELECT 'drug_exposure', CASE WHEN NOT person_known THEN 'required:person_id' END,
+                CASE WHEN CAST(drug_source_code AS BIGINT) % 10 = 0 THEN 'dates_ordered' END FROM drug
+            UNION ALL SELECT 'person', CASE WHEN day_of_birth = 13 THEN 'required:person_id' END, NULL FROM person
+            UNION ALL SELECT 'concept', CASE WHEN concept_id % 9 = 0 THEN 'required:concept_name' END, NULL FROM raw_concept
+            UNION ALL SELECT 'concept_relationship', CASE WHEN concept_id_1 % 7 = 0 THEN 'dates_ordered' END, NULL FROM relationship
+            UNION ALL SELECT 'care_site', NULL, NULL FROM (SELECT DISTINCT hfr_facility_code FROM encounter WHERE hfr_facility_code IS NOT NULL)
+            UNION ALL SELECT 'location', CASE WHEN CAST(postal_code AS BIGINT) % 2 = 1 THEN 'type:country_concept_id' END, NULL
+                FROM (SELECT DISTINCT state, postal_code FROM patient)
+            UNION ALL SELECT 'provider', NULL, NULL FROM (SELECT DISTINCT o % 50 FROM encounter WHERE o % 3 = 0))
+        SELECT t AS table_name, rule, count(*) AS rows FROM (
+            SELECT t, one AS rule FROM judged WHERE one IS NOT NULL UNION ALL SELECT t, two FROM judged WHERE two IS NOT NULL)
+        GROUP BY 1, 2
+        UNION ALL SELECT t, 'kept', count(*) FILTER (WHERE one IS NULL AND two IS NULL) FROM judged GROUP BY 1""",
     # -- tables
     "upsert_latest": """
         SELECT fhir_encounter_id, CASE WHEN o % 5 = 0 THEN 'amended' WHEN o % 3 = 0 THEN 'corrected' ELSE status END AS status,

@@ -261,6 +261,35 @@ def cdm_contract_violations(w: Workload) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def cdm_dead_letters(w: Workload) -> DataFrame:
+    """All eleven data-model tables through the writer that splits off violators: rows kept and rows per broken rule.
+
+    Facts of unknown patients break a contract as they are; further rows of some tables are made to.
+    """
+    late = F.col("drug_source_code").cast("bigint") % 10 == 0
+    frames = {table.removeprefix("omop_"): frame for table, frame in w.gold.items()}
+    frames["person"] = w.person.withColumn("person_id", F.when(F.col("day_of_birth") != 13, F.col("person_id")))
+    frames["drug_exposure"] = w.drug_exposure.withColumn(
+        "drug_exposure_end_date", F.when(late, F.date_sub("drug_exposure_start_date", 1)).otherwise(F.col("drug_exposure_end_date"))
+    )
+    frames["concept"] = w.raw_concept.withColumn("concept_name", F.when(F.col("concept_id") % 9 != 0, F.col("concept_name")))
+    ended = F.when(F.col("concept_id_1") % 7 == 0, F.lit("1969-12-31").cast("date")).otherwise(F.col("valid_end_date"))
+    frames["concept_relationship"] = w.relationship.withColumn("valid_end_date", ended)
+    frames["care_site"] = extensions.care_site(w.encounter)
+    country = F.when(F.col("zip").cast("bigint") % 2 == 0, F.lit("356")).otherwise(F.lit("unknown"))
+    frames["location"] = extensions.location(w.patient).withColumn("country_concept_id", country)
+    frames["provider"] = extensions.provider(w.encounter_bronze)
+    layers = Layers(gold=_fresh("cdm"), location=tables.work_dir(w.spark))
+    build.publish_cdm(w.spark, layers, frames)
+    rejected = w.spark.table(layers.gold_table("dead_letters")).select("table_name", F.explode("rules").alias("rule"))
+    parts = [rejected.groupBy("table_name", "rule").agg(F.count("*").alias("rows"))]
+    for name in frames:
+        kept = w.spark.table(layers.gold_table(f"cdm_{name}")).agg(F.count("*").alias("rows"))
+        parts.append(kept.select(F.lit(name).alias("table_name"), F.lit("kept").alias("rule"), "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # -- tables -----------------------------------------------------------------------------------
 
 def _delivery(w: Workload, keep: Column, status: str, hours: int) -> DataFrame:
