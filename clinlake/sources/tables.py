@@ -71,18 +71,22 @@ def publish(
     partition_by: Sequence[str] = (),
     location: str | None = None,
     keep: int = 1,
+    properties: dict[str, str] | None = None,
 ) -> str:
     """Create or replace ``name`` by the content of ``df``, in one step for readers.
 
     The rows are written to a new snapshot table, then the view ``name`` is pointed at it. A
     write that fails leaves the old content in place, and ``df`` may read ``name``. Snapshots
-    older than the ``keep`` previous ones are dropped.
+    older than the ``keep`` previous ones are dropped. ``properties`` become the view's own in the same step; those of
+    earlier publishes stay.
     """
     spark = df.sparkSession
     versions = _snapshots(spark, name)
     snapshot = f"{name}__v{(versions[-1][0] if versions else 0) + 1:06d}"
     write_overwrite(df, snapshot, fmt, partition_by, location)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {snapshot}")
+    noted = _noted(spark, name) | (properties or {})
+    listed = ", ".join(f"'{k}' = '{v}'" for k, v in noted.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} {f'TBLPROPERTIES ({listed})' if noted else ''} AS SELECT * FROM {snapshot}")
     for _, old in versions[: max(0, len(versions) - keep)]:
         drop_table(spark, old)
         if location is not None:
@@ -90,6 +94,22 @@ def publish(
     return snapshot
 
 
+_BATCH_PROPERTY = "clinlake.batch."
+
+
+def _noted(spark: SparkSession, name: str) -> dict[str, str]:
+    """The batches noted with a table or view."""
+    if not spark.catalog.tableExists(name):
+        return {}
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return {r["key"]: r["value"] for r in found if r["key"].startswith(_BATCH_PROPERTY)}
+
+
+def last_batch(spark: SparkSession, table: str, stream: str) -> int:
+    """The last batch of a stream that the table's content includes; -1 for none."""
+    return int(_noted(spark, table).get(_BATCH_PROPERTY + stream, -1))
+
+
 def _delete_folder(spark: SparkSession, folder: str) -> None:
     """Files of a dropped table with a location of its own, which the catalog leaves."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -175,27 +195,37 @@ def _merged(target: DataFrame, newest: DataFrame, key: str, order: str = "_loade
     return kept.unionByName(new.join(F.broadcast(known), "_k", "left_anti").select("s.*"))
 
 
-def upsert(df: DataFrame, table: str, key: str, fmt: str = "parquet", location: str | None = None) -> None:
+def upsert(
+    df: DataFrame, table: str, key: str, fmt: str = "parquet", location: str | None = None, batch: tuple[str, int] | None = None
+) -> None:
     """Insert new rows and replace older ones of the same identity; creates the table on first use.
 
     A delivery that comes again, or late, changes nothing that is newer. A format with a transaction log merges in place. A plain one gets a new snapshot, unless
     there is nothing to merge; ``upsert_buckets`` rewrites the touched part of a plain table only.
+
+    ``batch`` names a stream and its batch. A plain table notes it in the step that shows the new snapshot, so a batch
+    that is run again is known for sure and not even read. On a logged format the merge is repeated, which changes nothing.
     """
     spark = df.sparkSession
     logged = fmt == "delta"
+    noted = None
+    if batch is not None and not logged:
+        if last_batch(spark, table, batch[0]) >= batch[1]:
+            return
+        noted = {_BATCH_PROPERTY + batch[0]: str(batch[1])}
     if not spark.catalog.tableExists(table):
         first = latest_per_key(df, key)
         if logged:
             write_overwrite(first, table, fmt, location=location)
         else:
-            publish(first, table, fmt, location=location)
+            publish(first, table, fmt, location=location, properties=noted)
     elif logged:
         latest_per_key(df, key).createOrReplaceTempView("_upsert_source")
         spark.sql(merge_statement(table, "_upsert_source", key, LINEAGE_ID in df.columns))
     else:
         newest = staged(latest_per_key(df, key))
         if not newest.isEmpty():
-            publish(_merged(spark.table(table), newest, key), table, fmt, location=location)
+            publish(_merged(spark.table(table), newest, key), table, fmt, location=location, properties=noted)
 
 
 def merge_statement(table: str, source: str, key: str, with_lineage: bool) -> str:

@@ -6,6 +6,8 @@ No query keeps state; the file checkpoint alone says what has been read. With
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -78,6 +80,11 @@ def stream_land(
     )
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint folder. A new checkpoint in the same place is another stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()["value"])["id"]
+
+
 def stream_upsert(
     spark: SparkSession,
     bronze_path: str,
@@ -90,7 +97,8 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Upsert new bronze rows of one type into its silver table; with a number of buckets, into the touched ones only.
 
-    A batch that is run again after a failure replaces the same keys by the same rows.
+    The table notes the last batch of the stream together with the snapshot that holds it, so a batch that is run again after
+    a failure writes nothing. In a table by buckets it replaces the same keys by the same rows.
     """
     _, key = SILVER_TABLES[resource_type]
     reader = spark.readStream.schema(BRONZE)
@@ -98,9 +106,9 @@ def stream_upsert(
         reader = reader.option("maxFilesPerTrigger", max_files)
     bronze = reader.parquet(bronze_path)
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(batch: DataFrame, number: int) -> None:
         if buckets is None:
-            upsert(batch, table, key, location=location)
+            upsert(batch, table, key, location=location, batch=(stream_id(spark, checkpoint), number))
         else:
             upsert_buckets(batch, table, key, buckets, location)
 
