@@ -641,27 +641,30 @@ _BODIES = {
         target AS (
             SELECT DISTINCT s.concept_code, t.concept_id FROM raw_concept s JOIN edge ON s.concept_id = a
             JOIN raw_concept t ON t.concept_id = b
-            WHERE s.vocabulary_id = 'ICD10' AND t.standard_concept = 'S')
-        SELECT fhir_condition_id, coalesce(concept_id, 0) AS standard_concept_id,
-            row_number() OVER (PARTITION BY fhir_condition_id ORDER BY concept_id) AS target_no,
-            count(concept_id) OVER (PARTITION BY fhir_condition_id) AS target_count
-        FROM condition LEFT JOIN target
+            WHERE s.vocabulary_id = 'ICD10' AND t.standard_concept = 'S'),
+        numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY concept_code ORDER BY concept_id) AS number,
+                count(*) OVER (PARTITION BY concept_code) AS n FROM target)
+        SELECT fhir_condition_id, coalesce(concept_id, 0) AS standard_concept_id, coalesce(number, 1) AS target_no,
+            coalesce(n, 0) AS target_count
+        FROM condition LEFT JOIN numbered
             ON condition_source_code = concept_code AND condition_source_vocabulary = 'http://hl7.org/fhir/sid/icd-10'""",
     "ext_drug_ingredients": r"""
         , stands AS (
             SELECT p_partkey AS p, lower(trim(p_name)) AS ingredient FROM part
             UNION SELECT p_partkey, lower(trim(p_type)) FROM part WHERE p_partkey % 3 = 0),
         named AS (
-            SELECT m.fhir_medication_request_id AS id, min(s.p) AS place, s.ingredient
-            FROM medication m JOIN stands s ON s.p IN (m.p, m.p + 1) GROUP BY ALL),
+            SELECT m.p, min(s.p) AS place, s.ingredient
+            FROM (SELECT DISTINCT p FROM medication) m JOIN stands s ON s.p IN (m.p, m.p + 1) GROUP BY ALL),
         known AS (
             SELECT lower(trim(concept_name)) AS ingredient, min(concept_id) AS concept FROM standard
-            WHERE vocabulary_id IN ('RxNorm', 'RxNorm Extension') GROUP BY 1)
-        SELECT m.fhir_medication_request_id, row_number() OVER (PARTITION BY m.fhir_medication_request_id ORDER BY place, n.ingredient) AS ingredient_no,
+            WHERE vocabulary_id IN ('RxNorm', 'RxNorm Extension') GROUP BY 1),
+        numbered AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY place, ingredient) AS number FROM named)
+        SELECT m.fhir_medication_request_id, coalesce(number, 1) AS ingredient_no,
             n.ingredient, coalesce(concept, 0) AS ingredient_concept_id, concept IS NULL AS is_unmapped,
             CASE WHEN m.p IN (SELECT p_partkey FROM part) THEN 0 ELSE 2 END
                 + CAST(CASE WHEN m.p + 1 IN (SELECT p_partkey FROM part) THEN 0 ELSE 2 END AS BIGINT) AS unmatched_words
-        FROM medication m LEFT JOIN named n ON n.id = m.fhir_medication_request_id LEFT JOIN known USING (ingredient)""",
+        FROM medication m LEFT JOIN numbered n ON n.p = m.p LEFT JOIN known USING (ingredient)""",
     "ext_abha_duplicates": f"""
         SELECT abha_id, count(*) AS patients FROM patient WHERE {_valid('abha_id')} GROUP BY 1 HAVING count(*) > 1""",
     # -- scalar functions
