@@ -127,6 +127,13 @@ def surrogate_key(natural_key: Column) -> Column:
     return F.when(natural_key.isNotNull(), F.when(h == lowest, F.lit(0).cast("bigint")).otherwise(F.abs(h)))
 
 
+def place_key(state: Column, postal_code: Column) -> Column:
+    """Key of a state and postal code, where an empty text is a missing one; null where both are missing."""
+    state, postal_code = F.when(state != "", state), F.when(postal_code != "", postal_code)
+    place = F.concat_ws("|", F.coalesce(state, F.lit("")), F.coalesce(postal_code, F.lit("")))
+    return F.when(state.isNotNull() | postal_code.isNotNull(), surrogate_key(place))
+
+
 def content_hash(text: Column) -> Column:
     return F.sha2(text, 256)
 

@@ -50,15 +50,9 @@ def care_site(encounter: DataFrame) -> DataFrame:
     return conform(keyed, CDM["care_site"])
 
 
-def care_site_id(encounter: DataFrame, sites: DataFrame) -> DataFrame:
-    """Encounters with the id of their care site."""
-    keys = sites.select("care_site_source_value", "care_site_id")
-    lookup = Lookup(keys, ("care_site_source_value",), joins.fits_broadcast(keys))
-    return left_lookup(encounter, lookup, [F.col("hfr_facility_code")], F.col("_lineage_id"))
-
-
-def _place() -> Column:
-    return F.concat_ws("|", F.coalesce("state", F.lit("")), F.coalesce("postal_code", F.lit("")))
+def care_site_id(encounter: DataFrame) -> DataFrame:
+    """Encounters with the id of their care site. The id is made of the registry code, so no join is needed."""
+    return encounter.withColumn("care_site_id", X.surrogate_key(F.col("hfr_facility_code")))
 
 
 def _said(name: str) -> Column:
@@ -71,15 +65,14 @@ def location(patient: DataFrame) -> DataFrame:
     distinct = patient.select(_said("state").alias("state"), _said("postal_code").alias("postal_code")).distinct()
     distinct = distinct.filter(F.col("state").isNotNull() | F.col("postal_code").isNotNull())
     keyed = distinct.select(
-        X.surrogate_key(_place()).alias("location_id"), "state", F.col("postal_code").alias("zip")
+        X.place_key(F.col("state"), F.col("postal_code")).alias("location_id"), "state", F.col("postal_code").alias("zip")
     )
     return conform(keyed, CDM["location"])
 
 
 def location_id(patient: DataFrame) -> DataFrame:
     """Patients with the id of their location. The id is made of the place, so no join is needed."""
-    known = _said("state").isNotNull() | _said("postal_code").isNotNull()
-    return patient.withColumn("location_id", F.when(known, X.surrogate_key(_place())))
+    return patient.withColumn("location_id", X.place_key(F.col("state"), F.col("postal_code")))
 
 
 def provider(bronze: DataFrame) -> DataFrame:
@@ -98,6 +91,22 @@ def provider(bronze: DataFrame) -> DataFrame:
     return conform(keyed, CDM["provider"])
 
 
+def visit_references(visits: DataFrame, sites: DataFrame, providers: DataFrame) -> DataFrame:
+    """Gold visits with the source value and name of their care site and provider, found by id; null where an id leads nowhere."""
+    sites = sites.select("care_site_id", "care_site_source_value", "care_site_name")
+    providers = providers.select("provider_id", "provider_source_value", "provider_name")
+    for dimension, key in ((sites, "care_site_id"), (providers, "provider_id")):
+        lookup = Lookup(dimension.withColumnRenamed(key, "_id"), ("_id",), joins.fits_broadcast(dimension))
+        visits = left_lookup(visits, lookup, [F.col(key)], F.col("_lineage_id"))
+    return visits
+
+
+def person_locations(persons: DataFrame, locations: DataFrame) -> DataFrame:
+    """Gold persons with the state and postal code of their location, found by id."""
+    places = locations.select(F.col("location_id").alias("_id"), "state", "zip")
+    return left_lookup(persons, Lookup(places, ("_id",), joins.fits_broadcast(places)), [F.col("location_id")], F.col("_lineage_id"))
+
+
 # -- source codes and drug names -----------------------------------------------------------------
 
 def map_source_to_standard(facts: DataFrame, keys: DataFrame, system: str, code: str, out: str) -> DataFrame:

@@ -87,7 +87,8 @@ def omop_person(
         F.col("race_code").alias("race_source_value"),
         X.bigint(config.UNMAPPED).alias("race_source_concept_id"),
         F.coalesce("abha_id", "fhir_patient_id").alias("person_source_value"),
-        *_nulls("bigint", "provider_id", "care_site_id", "location_id"),
+        *_nulls("bigint", "provider_id", "care_site_id"),
+        X.place_key(F.col("state"), F.col("postal_code")).alias("location_id"),
         *_audit(transformed_at),
     )
 
@@ -95,7 +96,10 @@ def omop_person(
 def omop_visit_occurrence(
     encounter: DataFrame, persons: Lookup, transformed_at: Column | None = None
 ) -> DataFrame:
+    """Visits. Ids of care site and provider are made of the registry codes in the row, so no join is needed."""
     start_date = F.col("period_start").cast("date")
+    # A staging table of before has no practitioners.
+    practitioner = F.col("practitioner_code") if "practitioner_code" in encounter.columns else X.null_of("string")
     return joins.resolve_person(encounter, persons).select(
         X.surrogate_key(F.col("fhir_encounter_id")).alias("visit_occurrence_id"),
         "person_id",
@@ -105,8 +109,10 @@ def omop_visit_occurrence(
         F.col("period_start").alias("visit_start_datetime"),
         F.col("period_end").alias("visit_end_datetime"),
         X.bigint(config.VISIT_CONCEPT).alias("visit_concept_id"),
+        X.surrogate_key(practitioner).alias("provider_id"),
+        X.surrogate_key(F.col("hfr_facility_code")).alias("care_site_id"),
         *_nulls(
-            "bigint", "provider_id", "care_site_id", "admitting_concept_id", "admitting_source_concept_id",
+            "bigint", "admitting_concept_id", "admitting_source_concept_id",
             "discharge_to_concept_id", "preceding_visit_occurrence_id",
         ),
         "duration_minutes",

@@ -45,7 +45,8 @@ _SHAPES = {
     "Encounter": f"""
         id string, subject {_REFERENCE}, status string, class struct<code:string>,
         type array<{_CODINGS}>, period struct<start:string,end:string>,
-        serviceProvider struct<display:string,identifier:{_IDENTIFIER}>""",
+        serviceProvider struct<display:string,identifier:{_IDENTIFIER}>,
+        participant array<struct<individual:struct<identifier:{_IDENTIFIER}>>>""",
 }
 
 
@@ -161,6 +162,12 @@ def silver_observation(bronze: DataFrame) -> DataFrame:
     )
 
 
+def _practitioner_code() -> Column:
+    """Registry code of the first participant who has one."""
+    held = F.transform(F.col("r.participant"), lambda p: p["individual"]["identifier"])
+    return X.identifier_by_system(held, config.PRACTITIONER_SYSTEM)
+
+
 def silver_encounter(bronze: DataFrame) -> DataFrame:
     start = X.to_timestamp(F.col("r.period.start"))
     end = X.to_timestamp(F.col("r.period.end"))
@@ -178,6 +185,7 @@ def silver_encounter(bronze: DataFrame) -> DataFrame:
         X.duration_minutes(start, end).alias("duration_minutes"),
         F.when(provider["system"] == config.FACILITY_SYSTEM, provider["value"]).alias("hfr_facility_code"),
         F.col("r.serviceProvider.display").alias("facility_name"),
+        _practitioner_code().alias("practitioner_code"),
         *LINEAGE,
     )
 

@@ -55,6 +55,7 @@ CTES = {
             CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderkey % 240 AS INTEGER) END AS duration_minutes,
             CASE WHEN o_custkey % 2 = 0 THEN 'HFR_' || o_custkey % 100 END AS hfr_facility_code,
             CASE WHEN o_custkey % 10 <> 1 THEN 'Facility ' || o_custkey % 100 END AS facility_name,
+            CASE WHEN o_orderkey % 3 = 0 THEN 'HPR_' || o_orderkey % 50 END AS practitioner_code,
             'bundles/order/' || o_orderkey AS _source_file
         FROM orders)""",
     "line": """
@@ -468,7 +469,7 @@ _BODIES = {
         UNION ALL SELECT 'TOTAL', count(*) FROM audit""",
     "quality_silver_counts": """
         SELECT 'silver_patient' AS table_name, count(*) AS row_count, CAST(14 AS BIGINT) AS column_count FROM patient
-        UNION ALL SELECT 'silver_encounter', count(*), 14 FROM encounter
+        UNION ALL SELECT 'silver_encounter', count(*), 15 FROM encounter
         UNION ALL SELECT 'silver_condition', count(*), 12 FROM condition
         UNION ALL SELECT 'silver_medication_request', count(*), 14 FROM medication
         UNION ALL SELECT 'silver_observation', count(*), 20 FROM observation""",
@@ -603,6 +604,15 @@ _BODIES = {
         SELECT hfr_facility_code AS care_site_source_value, min(facility_name) AS care_site_name FROM encounter
         WHERE hfr_facility_code IS NOT NULL GROUP BY 1""",
     "ext_care_site_id": "SELECT fhir_encounter_id, hfr_facility_code IS NOT NULL AS has_care_site FROM encounter",
+    "ext_visit_references": """
+        SELECT _lineage_id, hfr_facility_code AS care_site_source_value,
+            CASE WHEN hfr_facility_code IS NOT NULL THEN min(facility_name) OVER (PARTITION BY hfr_facility_code) END AS care_site_name,
+            practitioner_code AS provider_source_value,
+            CASE WHEN practitioner_code IS NOT NULL THEN 'Dr ' || o % 50 END AS provider_name,
+            hfr_facility_code IS NOT NULL AS has_care_site, practitioner_code IS NOT NULL AS has_provider
+        FROM encounter""",
+    "ext_person_locations": """
+        SELECT _lineage_id, state, postal_code AS zip, coalesce(state, postal_code) IS NOT NULL AS has_location FROM patient""",
     "ext_location": "SELECT DISTINCT state, postal_code AS zip FROM patient",
     "ext_location_id": "SELECT state, postal_code AS zip, count(*) AS patients FROM patient GROUP BY 1, 2",
     "ext_provider": """

@@ -627,10 +627,25 @@ def ext_care_site(w: Workload) -> DataFrame:
 
 @query
 def ext_care_site_id(w: Workload) -> DataFrame:
-    linked = extensions.care_site_id(w.encounter, extensions.care_site(w.encounter))
+    linked = extensions.care_site_id(w.encounter)
     return linked.select("fhir_encounter_id", F.col("care_site_id").isNotNull().alias("has_care_site"))
 
 
+@query
+def ext_visit_references(w: Workload) -> DataFrame:
+    """Care site and provider of every gold visit, by the ids it carries."""
+    found = extensions.visit_references(w.visit_occurrence, extensions.care_site(w.encounter), extensions.provider(w.encounter_bronze))
+    names = ["care_site_source_value", "care_site_name", "provider_source_value", "provider_name"]
+    return found.select("_lineage_id", *names, F.col("care_site_id").isNotNull().alias("has_care_site"), F.col("provider_id").isNotNull().alias("has_provider"))
+
+
+@query
+def ext_person_locations(w: Workload) -> DataFrame:
+    """State and postal code of every gold person, by the id it carries."""
+    found = extensions.person_locations(w.person, extensions.location(w.patient))
+    return found.select("_lineage_id", "state", "zip", F.col("location_id").isNotNull().alias("has_location"))
+
+
 @query
 def ext_location(w: Workload) -> DataFrame:
     return extensions.location(w.patient).select("state", "zip")

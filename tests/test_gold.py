@@ -7,8 +7,9 @@ from conftest import (
 )
 from pyspark.sql import functions as F
 
+from clinlake import config
 from clinlake.functions import exprs as X
-from clinlake.operators import gold, joins, silver, vocab
+from clinlake.operators import extensions, gold, joins, silver, vocab
 from clinlake.sources import contracts
 
 
@@ -60,7 +61,7 @@ def test_person_row(raw, lookups):
     assert (r.year_of_birth, r.month_of_birth, r.day_of_birth) == (1972, 2, 29)
     assert (r.gender_concept_id, r.gender_source_value) == (8507, "male")
     assert (r.race_concept_id, r.ethnicity_concept_id, r.race_source_concept_id) == (0, 0, 0)
-    assert r.provider_id is None and r.care_site_id is None and r.location_id is None
+    assert r.provider_id is None and r.care_site_id is None and r.location_id == key_of("West Bengal|700091")
     assert r._transformed_at is not None
 
 
@@ -97,7 +98,32 @@ def test_visit_row(raw, persons):
     assert (r.visit_start_date, r.visit_end_date) == (dt.date(2016, 8, 18), dt.date(2016, 8, 19))
     assert (r.duration_minutes, r.preceding_visit_occurrence_id) == (585, None)
     assert (r.encounter_type_code, r.visit_source_concept_id, r.hfr_facility_code) == ("32485007", 0, "IN2910000042")
-    assert r.year_start == 2016
+    assert (r.care_site_id, r.provider_id, r.year_start) == (key_of("IN2910000042"), None, 2016)
+
+
+def test_ids_of_visits_and_persons_lead_to_their_rows(raw, persons, lookups):
+    def met(n, practitioners, **changes):
+        people = [{"individual": {"display": f"Dr {c}", "identifier": {"system": s, "value": c}}} for s, c in practitioners]
+        return without(ENCOUNTER, id=f"v-{n}", participant=[{}] + people, **changes)
+
+    registry, other = config.PRACTITIONER_SYSTEM, "https://other.example.org"
+    bronze = raw(met(1, [(other, "Z"), (registry, "A"), (registry, "B")]), met(2, [(other, "Z")], serviceProvider={}), met(3, []))
+    encounter = silver.silver_encounter(bronze)
+    visits = gold.omop_visit_occurrence(encounter, persons)
+    found = extensions.visit_references(visits, extensions.care_site(encounter), extensions.provider(bronze))
+    got = {r._lineage_id: (r.care_site_source_value, r.care_site_name, r.provider_source_value, r.provider_name) for r in found.collect()}
+    site = ("IN2910000042", "Lakeside Clinic")
+    assert got == {"lin-0": (*site, "A", "Dr A"), "lin-1": (None,) * 4, "lin-2": (*site, None, None)}
+    # Providers beyond the first stay rows of their own; a staging table without practitioners has visits without.
+    assert {r.provider_source_value for r in extensions.provider(bronze).collect()} == {"A", "B"}
+    before = gold.omop_visit_occurrence(encounter.drop("practitioner_code"), persons)
+    assert before.filter("provider_id is not null").isEmpty() and before.columns == visits.columns
+
+    places = [[{"state": "Goa"}], [{"state": "", "postalCode": "700091"}], [{"state": "", "postalCode": ""}], []]
+    patient = silver.silver_patient(raw(*[without(PATIENT, id=f"p-{n}", address=a) for n, a in enumerate(places)]))
+    people = gold.omop_person(patient, lookups["gender"], lookups["race"])
+    at = {r._lineage_id: (r.state, r.zip, r.location_id is not None) for r in extensions.person_locations(people, extensions.location(patient)).collect()}
+    assert at == {"lin-0": ("Goa", None, True), "lin-1": (None, "700091", True), "lin-2": (None, None, False), "lin-3": (None, None, False)}
 
 
 @pytest.mark.parametrize("code, concept_id", [("AMB", 9202), ("IMP", 9201), ("EMER", 9203), ("HH", 9204), ("VR", 0), (None, 0)])
