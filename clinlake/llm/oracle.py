@@ -58,12 +58,14 @@ with hashed as (
 ), prefixes as (
     select r, d, hash >> ({bits} - d)::int as prefix, n_bytes from hashed, range(31) t(d)
 ), fit as (
-    select d, prefix from prefixes group by d, prefix having sum(n_bytes) <= {sharding.BYTE_LIMIT}
+    select d, prefix from prefixes group by d, prefix having sum(n_bytes) <= {sharding.QUERY_BYTE_LIMIT}
 ), leaf as (
     select r, min(d) as depth from prefixes join fit using (d, prefix) group by r
+), placed as (
+    select doc_id, n_bytes, hash, case when depth = 0 then '' else substr(lpad(bin(hash), {bits}, '0'), 1, depth::int) end as shard, depth::int as depth
+    from hashed join leaf using (r)
 )
-select doc_id, n_bytes, hash, case when depth = 0 then '' else substr(lpad(bin(hash), {bits}, '0'), 1, depth::int) end as shard, depth::int as depth
-from hashed join leaf using (r)
+select *, count(*) over (partition by shard) as shard_documents, cast(sum(n_bytes) over (partition by shard) as bigint) as shard_bytes from placed
 """
 
 

@@ -58,7 +58,7 @@ def op8_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shards(table(spark, sf_dir, "documents"))
+    return sharding.with_directory(table(spark, sf_dir, "documents"), sharding.QUERY_BYTE_LIMIT)
 
 
 def op10_filter_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from clinlake.llm.common import stage
 
 BYTE_LIMIT = 64 << 20
+#: The limit of the query, at which the smallest of the given tables splits too.
+QUERY_BYTE_LIMIT = 256 << 10
 HASH_BITS = 60
 #: Bits that a round adds beyond those an even spread would need.
 SPARE_BITS = 3
@@ -88,3 +90,18 @@ def shards(documents: DataFrame, byte_limit: int = BYTE_LIMIT) -> DataFrame:
     for part in done[1:]:
         out = out.union(part)
     return out
+
+
+def directory(placed: DataFrame) -> DataFrame:
+    """shard, depth, shard_documents, shard_bytes: one row per shard of `shards`, none for an empty table."""
+    sums = F.count("*").alias("shard_documents"), F.sum("n_bytes").alias("shard_bytes")
+    return placed.groupBy("shard").agg(F.max("depth").alias("depth"), *sums)
+
+
+def with_directory(documents: DataFrame, byte_limit: int = BYTE_LIMIT) -> DataFrame:
+    """The rows of `shards` with the number of documents and bytes that the directory has for their shard."""
+    placed = stage(shards(documents, byte_limit), "placed")
+    entries = stage(directory(placed).drop("depth"), "directory")
+    if entries.count() <= BROADCAST_CELLS:
+        entries = F.broadcast(entries)
+    return placed.join(entries, "shard")
