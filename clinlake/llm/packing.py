@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinlake.llm.common import process_cache
+from clinlake.llm.common import process_cache, stage
 
 CAPACITY = 2048
 END_ID = 1
@@ -154,11 +154,11 @@ def pack(
     """One row per piece of a document (doc_id, text): where it starts, its length and checksum, its window and place there.
 
     Null and empty texts are the end id alone. Repeated rows and null ids are packed row by row. An
-    empty table gives no rows; further columns are left out. `with_ids` adds the ids themselves.
+    empty table gives no rows; further columns are left out. `with_ids` adds the ids themselves. The pieces are staged. Whole
+    windows go to no bucket, so a bucket holds one rest of a document at most, whatever its length, and the rests are counted.
     """
-    buckets = max(1, -(-docs.count() // rows_per_bucket))
     # Null ids travel as a flag: pandas would turn a column of numbers and nulls into floats.
-    schema = "doc_id long, known boolean, start long, length long, ids_crc32 long, doc_tokens long, bucket long" + ", ids binary" * with_ids
+    schema = "doc_id long, known boolean, start long, length long, ids_crc32 long, doc_tokens long, slot long" + ", ids binary" * with_ids
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -169,8 +169,8 @@ def pack(
                 ids = np.append(encode(text) if isinstance(text, str) else np.zeros(0, np.uint32), np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), capacity):
                     part = ids[start : start + capacity].tobytes()
-                    bucket = zlib.crc32(b"%d %d" % (task, slot)) % buckets
-                    rows.append((doc_id, known, start, len(part) // 4, zlib.crc32(part), len(ids), bucket) + (part,) * with_ids)
+                    dealt = zlib.crc32(b"%d %d" % (task, slot))
+                    rows.append((doc_id, known, start, len(part) // 4, zlib.crc32(part), len(ids), dealt) + (part,) * with_ids)
                     slot += 1
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
@@ -188,14 +188,20 @@ def pack(
                         window[i], offset[i] = at, filled
                         filled += n
                 at += 1
-        rows["sequence_id"], rows["offset"] = (int(key[0]) << 32) + window, offset
-        return rows.drop(columns="bucket")
+        rows["sequence_id"], rows["offset"] = ((int(key[0]) << 32) + window) * 2, offset
+        return rows.drop(columns=["slot", "bucket"])
 
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
         F.col("doc_id").isNotNull().alias("known"),
         F.col("text").cast("string").alias("text"),
     )
-    out = schema.replace(", bucket long", "") + ", sequence_id long, offset long"
-    packed = rows.mapInPandas(pieces, schema).groupBy("bucket").applyInPandas(windows, out)
+    cut = stage(rows.mapInPandas(pieces, schema), "pieces")
+    rests = cut.where(F.col("length") < capacity)
+    buckets = max(1, -(-rests.count() // rows_per_bucket))
+    out = schema.replace(", slot long", "") + ", sequence_id long, offset long"
+    packed = rests.withColumn("bucket", F.col("slot") % buckets).groupBy("bucket").applyInPandas(windows, out)
+    # Whole windows have odd numbers, the others even ones.
+    numbered = cut.where(F.col("length") == capacity).withColumn("sequence_id", F.monotonically_increasing_id() * 2 + 1)
+    packed = packed.unionByName(numbered.withColumn("offset", F.lit(0).cast("long")).drop("slot"))
     return packed.withColumn("doc_id", F.when(F.col("known"), F.col("doc_id"))).drop("known")

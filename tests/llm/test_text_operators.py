@@ -162,6 +162,7 @@ def test_packed_pieces_are_the_tokenizers(corpus):
         have[tuple(r)[:5]] += 1
         windows[r["sequence_id"]].append((r["offset"], r["length"]))
     assert have == want
+    assert sum(r["length"] == 2048 for r in got) == sum(len(p) == 1 and p[0][1] == 2048 for p in windows.values()) > 0
     for pieces in windows.values():
         pieces.sort()
         assert [o for o, _ in pieces] == [sum(n for _, n in pieces[:k]) for k in range(len(pieces))] and sum(n for _, n in pieces) <= 2048
@@ -200,6 +201,15 @@ def test_shards_equal_splitting_by_hand(corpus):
             assert r["shard"] == leaf(format(r["hash"], "060b")) and r["depth"] == len(r["shard"])
         else:
             assert "!" in r["shard"]
+    sizes, rows_of = defaultdict(int), defaultdict(int)
+    for r in got:
+        sizes[r["shard"]] += r["n_bytes"]
+        rows_of[r["shard"]] += 1
+    assert len({r["depth"] for r in got}) > 2 and len(sizes) > 4
+    again = sharding.with_directory(frame, limit).collect()
+    assert sorted((r["hash"], r["n_bytes"]) for r in again) == sorted((r["hash"], r["n_bytes"]) for r in got)
+    assert all((r["shard_documents"], r["shard_bytes"]) == (rows_of[r["shard"]], sizes[r["shard"]]) for r in again if "!" not in r["shard"])
+    assert sum(r["shard_documents"] for r in sharding.directory(sharding.shards(frame, limit)).collect()) == len(rows)
 
 
 def test_shards_split_repeated_rows(spark):
