@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinlake.llm.common import mix, shingle_sets, stage
+from clinlake.operators.joins import own_shuffle
 
 SIGNATURE = 64
 TREES = 12
@@ -306,6 +307,16 @@ def _is_stars(edges: DataFrame) -> bool:
     return ups.where("up > 1 or up = 1 and below = 1").isEmpty()
 
 
+def _with_least(rows: DataFrame, key: str, least: DataFrame) -> DataFrame:
+    """Rows with the aggregate of their key, by a shuffle for this join alone.
+
+    What was aggregated by the key lies by it already and would not be shuffled again, so the partition of a hot
+    key could not be split.
+    """
+    own = own_shuffle(F.hex(key))
+    return rows.withColumn("__llm_key", own).join(least.withColumn("__llm_key", own).drop(key), "__llm_key").drop("__llm_key")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node reachable) of a graph of links (a, b), by hooking on smaller neighbours."""
     edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
@@ -313,10 +324,10 @@ def components(links: DataFrame) -> DataFrame:
         # Large star: the larger neighbours of each node link to the smallest node around it; no more rows than edges.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = _with_least(both.where("v > u"), "u", least).select(F.col("v").alias("u"), F.col("m").alias("v"))
         # Small star: each node and its smaller neighbours link to the smallest of them.
         down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        small = _with_least(large, "u", down).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         edges = stage(small.union(down.select("u", F.col("m").alias("v"))).distinct(), "edges")
     nodes = edges.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")
     return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
@@ -369,7 +380,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     joined = nodes.join(roots, "fp").select("fp", "root", "rep")
     smallest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
-    linked = joined.join(smallest, "root").select("fp", "component_id")
+    linked = _with_least(joined, "root", smallest).select("fp", "component_id")
     alone = nodes.where("copies > 1").join(roots, "fp", "left_anti").select("fp", F.col("rep").alias("component_id"))
     classes = linked.union(alone)
     out = signed.drop("signature").join(classes, "fp", "left")
