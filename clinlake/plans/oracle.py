@@ -376,7 +376,8 @@ _BODIES = {
     "lineage_audit": "SELECT * FROM audit",
     "trace_lineage": """
         SELECT _source_file, _lineage_id, omop_table FROM audit
-        WHERE _source_file IN ('bundles/event/' || (SELECT max(event_id) FROM events WHERE event_type = 'purchase' AND event_id % 17 = 0),
+        WHERE _source_file IN (SELECT _source_file FROM audit GROUP BY 1 HAVING count(*) > 1)
+        OR _source_file IN ('bundles/event/' || (SELECT max(event_id) FROM events WHERE event_type = 'purchase' AND event_id % 17 = 0),
             'bundles/order/' || (SELECT max(o_orderkey) FROM orders))""",
     "cdm_contract_violations": """
         SELECT 'person' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS violations FROM person
